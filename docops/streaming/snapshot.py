@@ -1,0 +1,66 @@
+"""The document table a stream maintains: copy-on-write buckets under numbered versions.
+
+``root/data/version=N/bucket=B`` holds the documents of bucket B as of version N;
+``root/manifest/version=N`` says, for every bucket, which version holds it. A
+flush rewrites only buckets it touches and then adds its manifest; a reader takes
+the newest manifest, so an interrupted flush is never seen, and repeating it
+writes the same version again.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+STORED = "index string, id string, last_seq long, deleted boolean, source map<string,string>, bucket int"
+_MANIFEST = "bucket int, data_version long, version long"
+BUCKETS = 64
+
+
+class Snapshot:
+    """``buckets`` is fixed for the life of a table; size it so that one bucket is a few files."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.buckets = buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("index", "id"), F.lit(self.buckets)).cast("int")
+
+    def manifest(self, below: int | None = None) -> dict[int, int]:
+        """Bucket to data version, of the newest version (below ``below``). At most one row per bucket."""
+        try:
+            rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
+        except AnalysisException:
+            return {}
+        if below is not None:
+            rows = rows.where(F.col("version") < below)
+        newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar())
+        return {r["bucket"]: r["data_version"] for r in newest.collect()}
+
+    def stored(self, manifest: dict[int, int], wanted: set[int] | None = None) -> DataFrame:
+        """All kept keys, deleted ones included, of the wanted buckets."""
+        paths = [
+            f"{self.root}/data/version={version}/bucket={bucket}"
+            for bucket, version in sorted(manifest.items())
+            if wanted is None or bucket in wanted
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], STORED)
+        reader = self.spark.read.schema(STORED).option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).select("index", "id", "last_seq", "deleted", "source", "bucket")
+
+    def documents(self) -> DataFrame:
+        """The live documents."""
+        return self.stored(self.manifest()).where(~F.col("deleted")).select("index", "id", "last_seq", "source")
+
+    def commit(self, version: int, rows: DataFrame, touched: set[int], before: dict[int, int]) -> None:
+        """Writes the touched buckets as ``version``, then the manifest that makes them current."""
+        rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{self.root}/data/version={version}")
+        current = {**before, **{b: version for b in touched}}
+        manifest = self.spark.createDataFrame(list(current.items()), "bucket int, data_version long")
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
