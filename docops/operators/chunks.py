@@ -147,7 +147,7 @@ def _segment_starts(rows: DataFrame, writer: str, seq: str, size: str, limit: in
     """For every segment of a hot writer: bytes already in the open request, requests closed before."""
     kind = rows.schema[writer].dataType.simpleString()
 
-    def endings(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def endings(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         ordered = frame.sort_values(seq)
         out = _segment_endings(ordered[size].fillna(0).to_numpy(dtype="int64"), limit)
         out.insert(0, SEGMENT, key[1])

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from docops.functions.text import matches_any_token, matches_normalized, matches_wildcard
-from docops.plans.skew import number_all
+from docops.plans.skew import OrderedRanges, order_columns
 
 # Score of a filter-only match, count for a disabled index, page size of an id stream.
 CONSTANT_SCORE = 1.0
 DISABLED_COUNT = -1
 ID_PAGE = 1000
 
+# A page that ends within this many rows is taken by a top-k in memory.
+TOP_ROWS = 50_000
+
 __all__ = [
     "aggregate", "field_exists", "field_query", "in_indices", "match_all", "matches_any_token",
     "matches_normalized", "matches_wildcard", "page", "page_summary", "page_with_total", "project",
@@ -67,30 +70,34 @@ def searchable_count(docs: DataFrame, index: str, enabled: bool = True) -> DataF
     return docs.where(F.col("index") == index).agg(F.count("*").alias("docs"))
 
 
-def page(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
-    """``size`` rows from position ``start`` in ``order``; planned as a distributed top-k.
+def page(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
+    """``size`` rows from position ``start``; ``order`` names columns, ``-name`` for descending.
 
-    For positions far into a large result use ``scroll``.
+    A page near the front is a distributed top-k. A page further in is cut out of
+    ordered ranges, of which only those that hold the page are sorted.
     """
-    return df.orderBy(*order).offset(start).limit(size)
+    if start + size <= TOP_ROWS:
+        return df.orderBy(*order_columns(order)).offset(start).limit(size)
+    rows = OrderedRanges(df, order).rows_between(start, start + size, "_position")
+    return rows.orderBy("_position").drop("_position")
 
 
-def page_with_total(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
+def page_with_total(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
     """A page whose rows also carry the exact number of matches before paging."""
     total = df.agg(F.count("*").alias("n")).scalar()
     return page(df, order, start, size).withColumn("total", total)
 
 
-def page_summary(df: DataFrame, order: Sequence[Column], start: int, size: int) -> DataFrame:
+def page_summary(df: DataFrame, start: int, size: int) -> DataFrame:
     """Hits on the page, total matches, and whether the search yields a result at all.
 
-    A page without hits yields none, even if the total is above zero.
+    A page without hits yields none, even if the total is above zero. Both numbers
+    follow from one count.
     """
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return (
-        page(df, order, start, size)
-        .agg(F.count("*").alias("hits"))
-        .select("hits", total.alias("total"), (F.col("hits") > 0).alias("has_result"))
+    total = F.col("total")
+    hits = F.greatest(F.lit(0), F.least(F.lit(size), total - start)).cast("long")
+    return df.agg(F.count("*").alias("total")).select(
+        hits.alias("hits"), "total", (hits > 0).alias("has_result")
     )
 
 
@@ -104,14 +111,15 @@ def project(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(*fields)
 
 
-def scroll(df: DataFrame, order: str, size: int) -> DataFrame:
+def scroll(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """The whole match set with the number of the page each row falls on.
 
     ``order`` must be unique. The rows are numbered in ordered ranges, so no task
     sees more than its range. Pull the rows with ``toLocalIterator()``.
     """
-    numbered = number_all(df, order, "_position")
-    return numbered.withColumn("page", F.floor((F.col("_position") - 1) / F.lit(size)).cast("long")).drop("_position")
+    numbered = OrderedRanges(df, order).numbered("_position")
+    page_number = F.floor((F.col("_position") - 1) / F.lit(size)).cast("long")
+    return numbered.withColumn("page", page_number).drop("_position")
 
 
 def scroll_requests(df: DataFrame, size: int) -> DataFrame:

@@ -147,6 +147,8 @@ ORACLE: dict[str, str] = {
     "search_projection": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority = '2-HIGH'",
     "search_empty_page": """SELECT CAST(0 AS BIGINT) AS hits, count(*) AS total, false AS has_result
         FROM orders WHERE o_orderstatus = 'F'""",
+    "search_deep_page": """SELECT l_extendedprice, l_orderkey, l_linenumber FROM lineitem
+        ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 25 OFFSET 55000""",
     "bulk_index_last_wins": f"""WITH {OPS} SELECT "index", id, max(seq) AS seq, arg_max(value, seq) AS value,
         arg_max(k, seq) AS k FROM ops WHERE op = 'index' GROUP BY 1, 2""",
     "bulk_create_if_absent": f"""WITH {JUDGED} SELECT seq, "index", id FROM judged
@@ -156,9 +158,11 @@ ORACLE: dict[str, str] = {
         SELECT 'users' AS "index", b.id, any_value(b.last_seq) AS last_seq,
           arg_max(o.value, o.seq) FILTER (WHERE has_value) AS value, arg_max(o.k, o.seq) FILTER (WHERE has_k) AS k
         FROM b JOIN ops o ON o.id = b.id AND o.seq >= b.bar AND o.op IN ('index', 'update') GROUP BY b.id""",
-    "bulk_delete": f"""WITH {OPS} SELECT "index", id, max(seq) AS seq, arg_max(value, seq) AS value,
-        arg_max(k, seq) AS k FROM ops o WHERE op = 'index'
-        AND NOT EXISTS (SELECT 1 FROM ops d WHERE d.id = o.id AND d.op = 'delete') GROUP BY 1, 2""",
+    "bulk_delete": f"""WITH {OPS}, l AS (SELECT id, max(seq) AS last_seq FROM ops
+          WHERE op IN ('index', 'delete') GROUP BY id)
+        SELECT o."index", o.id, l.last_seq, o.value, o.k FROM l JOIN ops o ON o.seq = l.last_seq
+        WHERE o.op = 'index'""",
+    "delete_by_id": f"""WITH {LABELLED} SELECT "index", id FROM ld WHERE toxic IS DISTINCT FROM 1""",
     "bulk_apply": f"""WITH {APPLIED} SELECT * FROM applied""",
     "bulk_item_outcome": f"""WITH {JUDGED} SELECT seq, id, op, outcome FROM judged""",
     "bulk_fail_on_error": f"""WITH {JUDGED} SELECT count(*) AS submitted,

@@ -49,7 +49,7 @@ def registered() -> dict[str, Query]:
 
 
 def _price_order():
-    return [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    return ["-o_totalprice", "o_orderkey"]
 
 
 # Sources and sinks
@@ -95,7 +95,7 @@ def auto_id(spark, directory):
 
 @_query
 def scroll_pages(spark, directory):
-    return search.scroll(inputs.docs(spark, directory).select("doc_id", "index"), "doc_id", 79)
+    return search.scroll(inputs.docs(spark, directory).select("doc_id", "index"), ["doc_id"], 79)
 
 
 @_query
@@ -222,7 +222,14 @@ def search_projection(spark, directory):
 @_query
 def search_empty_page(spark, directory):
     orders = tables.load_table(spark, directory, "orders").where(search.term("o_orderstatus", "F"))
-    return search.page_summary(orders, _price_order(), 1_000_000_000, 10)
+    return search.page_summary(orders, 1_000_000_000, 10)
+
+
+@_query
+def search_deep_page(spark, directory):
+    lineitem = tables.load_table(spark, directory, "lineitem")
+    order = ["-l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"]
+    return search.page(lineitem, order, 55_000, 25).select("l_extendedprice", "l_orderkey", "l_linenumber")
 
 
 # Change logs
@@ -246,10 +253,14 @@ def bulk_partial_update(spark, directory):
 
 @_query
 def bulk_delete(spark, directory):
-    ops = inputs.oplog(spark, directory)
-    documents = changelog.index_last_wins(ops)
-    deletes = ops.where(F.col("op") == changelog.DELETE)
-    return inputs.flat_documents(changelog.delete_by_id(documents, deletes))
+    ops = inputs.oplog(spark, directory).where(F.col("op").isin(changelog.INDEX, changelog.DELETE))
+    return inputs.flat_documents(changelog.apply_changes(ops))
+
+
+@_query
+def delete_by_id(spark, directory):
+    toxic = inputs.labelled_docs(spark, directory).where("toxic = 1")
+    return changelog.delete_by_id(inputs.docs(spark, directory), toxic).select("index", "id")
 
 
 @_query
@@ -532,4 +543,4 @@ def matching_page(spark, directory):
     """Page one of the documents whose text contains a word, with the total."""
     docs = inputs.docs(spark, directory)
     found = docs.where(search.matches_any_token(F.col("text"), "that")).select("index", "id", "doc_id", "n_chars")
-    return search.page_with_total(found, [F.col("n_chars").desc(), F.col("doc_id")], 0, 10)
+    return search.page_with_total(found, ["-n_chars", "doc_id"], 0, 10)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import StructType
 
 BROADCAST_ROWS = 200_000
 HOT_ROWS = 1_000_000
@@ -76,46 +77,69 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = Non
     return HotKeys(tuple(keys), hashes)
 
 
-def order_bounds(df: DataFrame, order: str, parts: int) -> list:
+def order_columns(order: Sequence[str]) -> list[Column]:
+    """Sort columns for names in ``order``; a leading ``-`` means descending, nulls last."""
+    return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
+
+
+def _order_names(order: Sequence[str]) -> list[str]:
+    return [o.removeprefix("-") for o in order]
+
+
+def order_bounds(df: DataFrame, order: Sequence[str], parts: int) -> list[tuple]:
     """At most ``parts - 1`` ascending cut points that split ``order`` evenly.
 
     The cut points are quantiles of the values with the smallest hashes: a uniform
     sample of fixed size that a retry or a second pass finds again unchanged.
     """
-    wanted = parts * 16
-    sample = (
-        df.select(F.col(order).alias("v"))
-        .where(F.col("v").isNotNull())
-        .orderBy(F.xxhash64("v"), "v")
-        .limit(wanted)
-        .collect()
-    )
-    values = sorted({row["v"] for row in sample})
-    picks = {len(values) * i // parts for i in range(1, parts)}
-    return [values[i] for i in sorted(picks) if 0 < i < len(values)]
+    names = _order_names(order)
+    values = df.select(*names)
+    sample = values.orderBy(F.xxhash64(*names), *names).limit(parts * 16)
+    ranked = [tuple(row) for row in sample.distinct().orderBy(*order_columns(order)).collect()]
+    picks = {len(ranked) * i // parts for i in range(1, parts)}
+    return [ranked[i] for i in sorted(picks) if 0 < i < len(ranked)]
 
 
-def segment_of(order: Column, bounds: Sequence, dtype) -> Column:
-    """How many of ``bounds`` are at or below ``order``, by binary search in a constant array."""
+def segment_of(schema: StructType, order: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """How many of ``bounds`` are at or before the row, by binary search in a constant array."""
     if not bounds:
         return F.lit(0)
-    array = F.array(*[F.lit(b) for b in bounds]).cast(ArrayType(dtype))
-    steps = [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.try_element_at(array, at + step) <= order, at + step).otherwise(at),
-    )
+    names = _order_names(order)
+
+    def constant(value, name: str) -> Column:
+        text = str(value) if isinstance(value, (date, datetime)) else value
+        return F.lit(text).cast(schema[name].dataType).alias(name)
+
+    array = F.array(*[F.struct(*[constant(v, n) for v, n in zip(bound, names)]) for bound in bounds])
+
+    def at_or_before(bound: Column) -> Column:
+        result = F.lit(True)
+        for spec, name in reversed(list(zip(order, names))):
+            mark, value = bound[name], F.col(name)
+            if spec.startswith("-"):
+                earlier = F.coalesce(mark > value, mark.isNotNull() & value.isNull())
+            else:
+                earlier = F.coalesce(mark < value, mark.isNull() & value.isNotNull())
+            result = earlier | (mark.eqNullSafe(value) & result)
+        return result
+
+    count = len(bounds)
+    steps = [1 << i for i in range(count.bit_length() - 1, -1, -1)]
+
+    def step_right(at: Column, step: Column) -> Column:
+        inside = at + step <= count
+        return F.when(inside & at_or_before(F.try_element_at(array, at + step)), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step_right)
 
 
 def with_segments(df: DataFrame, hot: HotKeys, order: str, parts: int | None = None) -> DataFrame:
     """Adds the segment column: an order range for rows of hot keys, 0 for all others."""
-    bounds = order_bounds(df.where(hot.flag()), order, parts or partitions(df))
-    segment = segment_of(F.col(order), bounds, df.schema[order].dataType)
+    bounds = order_bounds(df.where(hot.flag()), [order], parts or partitions(df))
+    segment = segment_of(df.schema, [order], bounds)
     return df.withColumn(SEGMENT, F.when(hot.flag(), segment).otherwise(F.lit(0)))
 
 
-
 def join_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Left join of per-segment ``values``, null-safe on ``keys``; broadcast if it is small."""
     side = checked_broadcast(summary.select(*keys, *values)).alias("s")
@@ -131,27 +155,52 @@ def number_rows(
     hot = find_hot_keys(df, keys, hot_rows)
     if not hot:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
-    return _number_segments(with_segments(df, hot, order), list(keys), order, name, hot.flag())
-
-
-def number_all(df: DataFrame, order: str, name: str, parts: int | None = None) -> DataFrame:
-    """Row numbers from 1 over the whole frame by the unique column ``order``."""
-    bounds = order_bounds(df, order, parts or partitions(df))
-    split = df.withColumn(SEGMENT, segment_of(F.col(order), bounds, df.schema[order].dataType))
-    return _number_segments(split, [], order, name, F.lit(True))
-
-
-def _number_segments(df: DataFrame, keys: list[str], order: str, name: str, hot: Column) -> DataFrame:
+    split = with_segments(df, hot, order)
     by_segment = [*keys, SEGMENT]
-    sizes = df.where(hot).groupBy(*by_segment).agg(F.count("*").alias("_size"))
-    # One row per (hot key, segment): with no keys, one row per segment.
-    earlier = (
-        Window.partitionBy(*(keys or [F.lit(0)])).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    sizes = split.where(hot.flag()).groupBy(*by_segment).agg(F.count("*").alias("_size"))
+    # One row per (hot key, segment), however many rows the key has.
+    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.sum("_size").over(earlier))
     inside = F.row_number().over(Window.partitionBy(*by_segment).orderBy(order))
     return (
-        join_summary(df.withColumn("_inside", inside), offsets, by_segment, ["_before"])
-        .withColumn(name, F.col("_inside") + F.coalesce("_before", F.lit(0)))
+        join_summary(split.withColumn("_inside", inside), offsets, by_segment, ["_before"])
+        .withColumn(name, F.col("_inside") + F.coalesce("_before", F.lit(0).cast("long")))
         .drop(SEGMENT, "_inside", "_before")
     )
+
+
+class OrderedRanges:
+    """A frame cut into ordered ranges of about equal size, with the number of rows before each.
+
+    Only the cut points and one count per range come to the driver; both are
+    bounded by ``parts``. ``order`` must identify a row for positions to be stable.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[str], parts: int | None = None):
+        self.order = list(order)
+        bounds = order_bounds(df, order, parts or partitions(df))
+        self.rows = df.withColumn(SEGMENT, segment_of(df.schema, order, bounds))
+        counted = self.rows.groupBy(SEGMENT).agg(F.count("*").alias("n")).collect()
+        sizes = {row[SEGMENT]: row["n"] for row in counted}
+        self.before = [0]
+        for segment in range(len(bounds) + 1):
+            self.before.append(self.before[-1] + sizes.get(segment, 0))
+
+    @property
+    def total(self) -> int:
+        return self.before[-1]
+
+    def numbered(self, name: str, rows: DataFrame | None = None) -> DataFrame:
+        """Row numbers from 1 in ``order``; each range is sorted on its own."""
+        inside = F.row_number().over(Window.partitionBy(SEGMENT).orderBy(*order_columns(self.order)))
+        offsets = F.array(*[F.lit(b).cast("long") for b in self.before])
+        position = inside + F.element_at(offsets, F.col(SEGMENT) + 1)
+        return (self.rows if rows is None else rows).withColumn(name, position).drop(SEGMENT)
+
+    def rows_between(self, start: int, end: int, name: str) -> DataFrame:
+        """Numbered rows at positions start + 1 to end; only the ranges they lie in are sorted."""
+        overlapping = [
+            s for s in range(len(self.before) - 1) if self.before[s] < end and self.before[s + 1] > start
+        ]
+        rows = self.rows.where(F.col(SEGMENT).isin(overlapping)) if overlapping else self.rows.limit(0)
+        return self.numbered(name, rows).where((F.col(name) > start) & (F.col(name) <= end))
