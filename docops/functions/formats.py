@@ -15,24 +15,24 @@ UNIT_STEP = 1024
 MILLIS_PER = {"d": 86_400_000, "H": 3_600_000, "m": 60_000, "s": 1_000, "S": 1}
 
 
-def _with_unit(value: Column, units: tuple[str, ...], whole: bool) -> Column:
-    number = value.cast("double")
-    text = F.when(value < UNIT_STEP, F.concat(value.cast("string"), F.lit(f" {units[0]}")))
-    for power in range(1, len(units)):
-        scaled = number / F.lit(float(UNIT_STEP) ** power)
-        # A value moves to the next unit as soon as it is above step - 1.
-        cut = (scaled * 100).cast("long") / F.lit(100.0)
-        text = text.when(scaled <= UNIT_STEP - 1, F.concat(cut.cast("string"), F.lit(f" {units[power]}")))
-    if whole:
-        beyond = value.cast("string")
-    else:
-        power = F.ceil(F.log(number / F.lit(UNIT_STEP - 1.0)) / F.log(F.lit(float(UNIT_STEP))))
-        beyond = (F.floor(number / F.pow(F.lit(float(UNIT_STEP)), power) * 100) / F.lit(100.0)).cast("string")
-    return F.when(value > 0, text.otherwise(beyond))
-
-
 def _format(value: Column, units: tuple[str, ...], whole: bool) -> Column:
-    return _with_unit(value.cast("long") if whole else value.cast("double"), units, whole)
+    value = value.cast("long" if whole else "double")
+    number = value.cast("double")
+    step, below = F.lit(float(UNIT_STEP)), F.lit(UNIT_STEP - 1.0)
+    # A value moves to the next unit as soon as it is above step - 1 of the one below.
+    # The logarithm may be off by one at such a bound, which the two comparisons put right.
+    near = F.greatest(F.ceil(F.log2(number / below) / 10), F.lit(1).cast("long"))
+    over = (number > below * F.pow(step, near)).cast("long")
+    under = ((near > 1) & (number <= below * F.pow(step, near - 1))).cast("long")
+    power = near + over - under
+    scaled = F.floor(number / F.pow(step, power) * 100) / F.lit(100.0)
+    names = F.array(*[F.lit(f" {u}") for u in units[1:]], F.lit(""))
+    unit = F.element_at(names, F.least(power, F.lit(len(units)).cast("long")).cast("int"))
+    return (
+        F.when(value <= 0, F.lit(None).cast("string"))
+        .when(value < UNIT_STEP, F.concat(value.cast("string"), F.lit(f" {units[0]}")))
+        .otherwise(F.concat(scaled.cast("string"), unit))
+    )
 
 
 def fmt_size(value: Column, whole: bool = True) -> Column:
@@ -71,13 +71,13 @@ def fmt_duration(millis: Column, pattern: str) -> Column:
         elif quoted or plain:
             pieces.append(("text", quoted or plain))
     named = {piece for kind, piece in pieces if kind == "unit"}
-    rest = millis.cast("long")
+    whole = millis.cast("long")
     amounts: dict[str, Column] = {}
+    above = None
     for unit, size in MILLIS_PER.items():
         if unit in named:
-            # Truncating division and remainder keep the sign of the span.
-            amounts[unit] = F.call_function("div", rest, F.lit(size).cast("long"))
-            rest = rest % F.lit(size).cast("long")
+            amounts[unit] = _parts_of(whole, size, above)
+            above = size
     out: list[Column] = [F.lit("")]
     after_seconds = False
     for kind, piece in pieces:
@@ -97,26 +97,15 @@ def fmt_duration_words(millis: Column, suppress_leading: bool, suppress_trailing
 
     Without leading suppression the days are always printed.
     """
-    rest = millis.cast("long")
-    amounts = []
-    for unit in "dHms":
-        size = F.lit(MILLIS_PER[unit]).cast("long")
-        amounts.append(F.call_function("div", rest, size))
-        rest = rest % size
-    words = []
-    for at, (amount, name) in enumerate(zip(amounts, ("day", "hour", "minute", "second"))):
-        shown = F.lit(True)
-        if suppress_leading:
-            shown = shown & _any_nonzero(amounts[: at + 1])
-        if suppress_trailing and (suppress_leading or at > 0):
-            shown = shown & _any_nonzero(amounts[at:])
-        plural = F.when(amount == 1, F.lit(f" {name}")).otherwise(F.lit(f" {name}s"))
-        words.append(F.when(shown, F.concat(amount.cast("string"), plural)))
-    return F.when(millis.isNotNull(), F.concat_ws(" ", *words))
-
-
-def _any_nonzero(amounts: list[Column]) -> Column:
-    found = F.lit(False)
-    for amount in amounts:
-        found = found | (amount != 0)
-    return found
+    text = fmt_duration(millis, "d' days 'H' hours 'm' minutes 's' seconds'")
+    if suppress_leading:
+        text = F.regexp_replace(text, "^(0 [a-z]+( |$))+", "")
+    if suppress_trailing:
+        text = F.regexp_replace(text, "( 0 [a-z]+)+$", "")
+    return F.regexp_replace(text, "(?<![-0-9])1 ([a-z]+)s", "1 $1")
+
+
+def _parts_of(millis: Column, size: int, above: int | None = None) -> Column:
+    """Whole parts of ``size`` in ``millis``, beyond whole parts of ``above``; keeps the sign."""
+    rest = millis if above is None else millis % F.lit(above).cast("long")
+    return F.call_function("div", rest, F.lit(size).cast("long"))

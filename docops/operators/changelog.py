@@ -49,10 +49,14 @@ def index_last_wins(ops: DataFrame) -> DataFrame:
     return ops.where(F.col("op") == INDEX).groupBy(*KEY).agg(last).select(*KEY, "last.*")
 
 
-def _previous_state(ops: DataFrame, hot_rows: int | None) -> DataFrame:
+def hot_documents(ops: DataFrame, hot_rows: int | None = None) -> HotKeys:
+    """The keys with so many operations that ``outcomes`` and ``apply_changes`` should split them."""
+    return find_hot_keys(ops, KEY, hot_rows)
+
+
+def _previous_state(ops: DataFrame, hot: HotKeys) -> DataFrame:
     """Adds ``_previous``: the key's last non-update operation before each row."""
     changing = F.when(F.col("op") != UPDATE, F.col("op"))
-    hot = find_hot_keys(ops, KEY, hot_rows)
     if not hot:
         before = Window.partitionBy(*KEY).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
         return ops.withColumn("_previous", F.last(changing, ignorenulls=True).over(before))
@@ -74,10 +78,10 @@ def _previous_state(ops: DataFrame, hot_rows: int | None) -> DataFrame:
     )
 
 
-def outcomes(ops: DataFrame, snapshot: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+def outcomes(ops: DataFrame, snapshot: DataFrame | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Every operation with its ``outcome``: ok, conflict (create of a live id) or missing (update of none).
 
-    Deleting a missing id is ok.
+    Deleting a missing id is ok. ``hot`` saves the search for hot keys when it is known.
     """
     live = F.coalesce(F.col("_previous") != DELETE, F.lit(False))
     outcome = (
@@ -85,7 +89,8 @@ def outcomes(ops: DataFrame, snapshot: DataFrame | None = None, hot_rows: int |
         .when((F.col("op") == UPDATE) & ~live, MISSING)
         .otherwise(OK)
     )
-    states = _previous_state(_with_snapshot(ops, snapshot), hot_rows)
+    rows = _with_snapshot(ops, snapshot)
+    states = _previous_state(rows, hot_documents(rows) if hot is None else hot)
     return states.where(F.col("seq") != SNAPSHOT_SEQ).withColumn("outcome", outcome).drop("_previous")
 
 
@@ -164,7 +169,7 @@ def apply_changes(
     ops: DataFrame,
     snapshot: DataFrame | None = None,
     keep_deleted: bool = False,
-    hot_rows: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The documents after all operations: ``index, id, last_seq, source``.
 
@@ -174,7 +179,7 @@ def apply_changes(
     ``deleted`` true and an empty source.
     """
     rows = _with_snapshot(ops, snapshot).select(*OPERATION)
-    hot = find_hot_keys(rows, KEY, hot_rows)
+    hot = hot_documents(rows) if hot is None else hot
     if hot:
         judged = _barriers_by_window(rows.where(~hot.flag())).unionByName(_barriers_by_aggregate(rows, hot))
     else:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docops.definitions import IndexDefinition
 from docops.functions.names import NAME_PATTERN
 from docops.operators import aliases, profile, retention, search
+from docops.plans.skew import local_frame
 from docops.sources import tables
 
 
@@ -39,10 +40,10 @@ def shift_index(
     """Moves the aliases behind the definition's base name to its full name."""
     spark = table.sparkSession
     active = definition.enabled and definition.shift and extras is not None
-    shifts = spark.createDataFrame(
-        [(definition.index, definition.full_name)] if active else [], "base string, full string"
+    shifts = local_frame(
+        spark, [(definition.index, definition.full_name)] if active else [], "base string, full string"
     )
-    named = spark.createDataFrame([(definition.index, a) for a in extras or []], "base string, alias string")
+    named = local_frame(spark, [(definition.index, a) for a in extras or []], "base string, alias string")
     plan = aliases.plan_shift(table, shifts, named, adder)
     if active and definition.close_shifted:
         catalog = aliases.close_shifted(catalog, table, definition.index, definition.full_name)

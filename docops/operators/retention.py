@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docops.functions.names import NAME_PATTERN, base_of, suffix_of
 from docops.operators.catalog import OPEN, drop_indices
-from docops.plans.skew import checked_broadcast
+from docops.plans.skew import local_frame
 
 # Defaults of a retention policy, results, and what happens to a candidate.
 DELTA = 2
@@ -40,7 +40,7 @@ _POLICY = "base string, full string, delta long, min_to_keep long, current long"
 
 def _policies(spark: SparkSession, rules: list[Retention], pattern: str) -> DataFrame:
     rows = [(r.base, r.full, r.delta, r.min_to_keep, None) for r in rules if r.applies()]
-    return spark.createDataFrame(rows, _POLICY).withColumn("current", suffix_of(F.col("full"), pattern))
+    return local_frame(spark, rows, _POLICY).withColumn("current", suffix_of(F.col("full"), pattern))
 
 
 def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NAME_PATTERN) -> DataFrame:
@@ -50,7 +50,7 @@ def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NA
     order they are deleted while far enough behind and while at least
     ``min_to_keep`` would have been left before the step, counting no other index.
     """
-    policies = checked_broadcast(_policies(catalog.sparkSession, rules, pattern))
+    policies = F.broadcast(_policies(catalog.sparkSession, rules, pattern))  # one row per rule
     candidates = (
         catalog.where(F.col("state") == OPEN)
         .select("index", base_of(F.col("index"), pattern).alias("base"),
@@ -75,7 +75,7 @@ def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NA
 def retention_result(planned: DataFrame, rules: list[Retention]) -> DataFrame:
     """Per rule: NONE without candidates, else SUCCESS, with the numbers of candidates and deletions."""
     spark = planned.sparkSession
-    bases = spark.createDataFrame([(r.base,) for r in rules], "base string").distinct()
+    bases = local_frame(spark, [(r.base,) for r in rules], "base string").distinct()
     counts = planned.groupBy("base").agg(
         F.count("*").alias("candidates"), F.count_if(F.col("action") == DROP).alias("deleted")
     )

@@ -13,8 +13,10 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BROADCAST_ROWS = 200_000
@@ -29,10 +31,23 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     The check reads one row more than the bound; a side that passes is kept as a
     local relation, so it is not computed a second time by the join.
     """
+    table = bounded_arrow(df, max_rows)
+    return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+
+
+def bounded_arrow(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> pa.Table | None:
+    """The rows of ``df`` as an Arrow table, or None when there are more than ``max_rows``."""
     table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+    return table if table.num_rows <= max_rows else None
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A small frame of driver-side rows as a local relation, planned without a job of its own."""
+    kinds = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    arrow = to_arrow_schema(kinds)
+    table = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, kinds)
 
 
 def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list | None:

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode; past that, Spark's
+    # split projections are much faster than one interpreted whole-stage method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

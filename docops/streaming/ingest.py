@@ -10,17 +10,21 @@ from docops.operators.changelog import (
     DELETE,
     INDEX,
     KEY,
+    OK,
     OPERATION,
     BulkFailedError,
     apply_changes,
-    failure_counts,
+    hot_documents,
     outcomes,
 )
-from docops.plans.skew import join_summary
+from docops.plans.skew import bounded_arrow, join_summary, local_frame
 from docops.streaming.snapshot import BUCKETS, Snapshot
 
-# Fixed value: time between flushes.
+# Time between flushes, and the outcome of an operation that came too late.
 FLUSH_INTERVAL = "30 seconds"
+LATE = "late"
+
+_METRICS = "batch long, submitted long, succeeded long, failed long, late long"
 
 
 def flush_trigger(interval: str | None = FLUSH_INTERVAL, drain: bool = False) -> dict:
@@ -43,42 +47,64 @@ class BulkIngest:
         self.root = root.rstrip("/")
         self.snapshot = Snapshot(spark, root, buckets)
         self.fail_on_error = fail_on_error
+        self._known: tuple[int, dict[int, int]] = (-1, {})  # a version and its manifest
 
     def flush(self, ops: DataFrame, batch: int) -> None:
+        """Applies one batch; repeating the latest batch writes the same version again."""
+        ops = ops.select(*OPERATION).persist()
+        try:
+            self._flush(ops, batch)
+        finally:
+            ops.unpersist()
+
+    def _flush(self, ops: DataFrame, batch: int) -> None:
         version = batch + 1
-        before = self.snapshot.manifest(below=version)
-        bucketed = ops.select(*OPERATION).withColumn("bucket", self.snapshot.bucket())
-        touched = {r["bucket"] for r in bucketed.select("bucket").distinct().collect()}
+        if self._known[0] != batch:
+            self._known = (batch, self.snapshot.manifest(below=version))
+        before = self._known[1]
+        keys = ops.select(self.snapshot.bucket().alias("bucket"), *KEY).distinct()
+        listed = bounded_arrow(keys)
+        if listed is None:
+            touched = set(range(self.snapshot.buckets))
+        else:
+            touched = set(listed.column("bucket").to_pylist())
+            keys = F.broadcast(self.spark.createDataFrame(listed, keys.schema))
         stored = self.snapshot.stored(before, touched)
-        # Only the flush's own keys can be late, so the stored side is reduced to them first.
-        last = stored.join(ops.select(*KEY).distinct(), KEY, "left_semi").select(*KEY, "last_seq")
-        marked = join_summary(ops.select(*OPERATION), last, KEY, ["last_seq"]).withColumn(
+        # Keys the flush does not name are carried over; only the named ones are merged.
+        untouched = stored.join(keys, ["bucket", *KEY], "left_anti")
+        named = stored.join(keys, ["bucket", *KEY], "left_semi")
+        marked = join_summary(ops, named, KEY, ["last_seq"]).withColumn(
             "late", F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))
         )
-        fresh = marked.where(~F.col("late")).select(*OPERATION, F.lit(False).alias("stored"))
-        base = stored.select(
+        base = named.select(
             F.col("last_seq").alias("seq"),
             *KEY,
             F.when(F.col("deleted"), DELETE).otherwise(INDEX).alias("op"),
             "source",
             F.lit(True).alias("stored"),
         )
+        fresh = marked.where(~F.col("late")).select(*OPERATION, F.lit(False).alias("stored"))
         rows = base.unionByName(fresh)
-        judged = outcomes(rows).where(~F.col("stored"))
-        late = marked.agg(F.count_if("late").alias("n")).scalar()
-        counts = failure_counts(judged).select(
-            F.lit(batch).cast("long").alias("batch"),
-            (F.col("submitted") + late).alias("submitted"),
-            "succeeded",
-            "failed",
-            late.alias("late"),
-        )
+        hot = hot_documents(rows)
+        self._count(outcomes(rows, hot=hot).where(~F.col("stored")), marked, batch)
+        merged = apply_changes(rows, keep_deleted=True, hot=hot)
+        kept = untouched.select(*merged.columns).unionByName(merged)
+        self._known = (version, self.snapshot.commit(version, kept, touched, before))
+
+    def _count(self, judged: DataFrame, marked: DataFrame, batch: int) -> None:
+        """Writes the flush's metrics; raises if an operation failed and that is not allowed."""
+        late = marked.where("late").select(F.lit(LATE).alias("outcome"))
+        every = judged.select("outcome").unionByName(late)
+        row = every.agg(
+            F.count("*").alias("submitted"),
+            F.count_if(F.col("outcome") == OK).alias("succeeded"),
+            F.count_if(~F.col("outcome").isin(OK, LATE)).alias("failed"),
+            F.count_if(F.col("outcome") == LATE).alias("late"),
+        ).first()
+        counts = local_frame(self.spark, [(batch, *row)], _METRICS)
         counts.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/flush={batch}")
-        if self.fail_on_error:
-            failed = self.spark.read.parquet(f"{self.root}/metrics/flush={batch}").first()["failed"]
-            if failed:
-                raise BulkFailedError(f"bulk failed: flush = {batch}, n = {failed}")
-        self.snapshot.commit(version, apply_changes(rows, keep_deleted=True), touched, before)
+        if self.fail_on_error and row["failed"]:
+            raise BulkFailedError(f"bulk failed: flush = {batch}, n = {row['failed']}")
 
     def metrics(self) -> DataFrame:
         """One row per flush: submitted, succeeded, failed, late."""

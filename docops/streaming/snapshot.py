@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docops.plans.skew import local_frame
+
 STORED = "index string, id string, last_seq long, deleted boolean, source map<string,string>, bucket int"
 _MANIFEST = "bucket int, data_version long, version long"
 BUCKETS = 64
@@ -48,7 +50,7 @@ class Snapshot:
             if wanted is None or bucket in wanted
         ]
         if not paths:
-            return self.spark.createDataFrame([], STORED)
+            return local_frame(self.spark, [], STORED)
         reader = self.spark.read.schema(STORED).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select("index", "id", "last_seq", "deleted", "source", "bucket")
 
@@ -56,11 +58,12 @@ class Snapshot:
         """The live documents."""
         return self.stored(self.manifest()).where(~F.col("deleted")).select("index", "id", "last_seq", "source")
 
-    def commit(self, version: int, rows: DataFrame, touched: set[int], before: dict[int, int]) -> None:
+    def commit(self, version: int, rows: DataFrame, touched: set[int], before: dict[int, int]) -> dict[int, int]:
         """Writes the touched buckets as ``version``, then the manifest that makes them current."""
         rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
             "bucket"
         ).parquet(f"{self.root}/data/version={version}")
         current = {**before, **{b: version for b in touched}}
-        manifest = self.spark.createDataFrame(list(current.items()), "bucket int, data_version long")
+        manifest = local_frame(self.spark, list(current.items()), "bucket int, data_version long")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
+        return current

@@ -54,9 +54,11 @@ def test_change_log_equals_replay(spark, seed, hot_rows):
     ops = random_ops(seed, 900, 40)
     docs, outcome = replay(ops)
     df = spark.createDataFrame(ops, OPS).repartition(3)
-    judged = changelog.outcomes(df, hot_rows=hot_rows)
+    hot = changelog.hot_documents(df, hot_rows)
+    assert bool(hot) == (hot_rows is not None)
+    judged = changelog.outcomes(df, hot=hot)
     assert {r["seq"]: r["outcome"] for r in judged.collect()} == outcome
-    applied = changelog.apply_changes(df, hot_rows=hot_rows).collect()
+    applied = changelog.apply_changes(df, hot=hot).collect()
     assert {(r["index"], r["id"]): r["source"] for r in applied} == docs
     last = {}
     for seq, index, key, *_ in ops:
@@ -68,7 +70,9 @@ def test_change_log_equals_replay(spark, seed, hot_rows):
 def test_deleted_keys_are_kept_on_request(spark, hot_rows):
     ops = random_ops(9, 600, 60)
     docs, _ = replay(ops)
-    rows = changelog.apply_changes(spark.createDataFrame(ops, OPS), keep_deleted=True, hot_rows=hot_rows).collect()
+    df = spark.createDataFrame(ops, OPS)
+    hot = changelog.hot_documents(df, hot_rows)
+    rows = changelog.apply_changes(df, keep_deleted=True, hot=hot).collect()
     assert len(rows) == len({(o[1], o[2]) for o in ops})
     assert {(r["index"], r["id"]) for r in rows if not r["deleted"]} == set(docs)
     assert all(r["source"] == {} for r in rows if r["deleted"])
