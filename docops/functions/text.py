@@ -7,7 +7,6 @@ splitting into tokens and comparing them, without building an array per row.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -53,9 +52,13 @@ def matches_any_token(text: Column, query: str) -> Column:
     present = F.lit(False)
     for word in words:
         present = present | F.contains(low, F.lit(word))
-    pattern = f"{_START}(?:{'|'.join(words)}){_END}"
     # The substring test is cheap and rejects most rows before the pattern runs.
-    return present & low.rlike(pattern)
+    return present & low.rlike("|".join(_starting_with(word) + _END for word in words))
+
+
+def _starting_with(letters: str) -> str:
+    """A pattern for ``letters`` at the start of a token; letters first is what the matcher finds fastest."""
+    return f"{letters}(?<!{TOKEN_CHAR}{letters})"
 
 
 def parse_wildcard(pattern: str) -> list[tuple[str, bool]]:
@@ -80,8 +83,24 @@ def matches_wildcard(text: Column, pattern: str) -> Column:
         return matches_any_token(text, "".join(ch for ch, _ in parts))
     if any(not wild and not _is_token_char(ch) for ch, wild in parts):
         return F.lit(False)  # no token holds such a character
-    one = {"*": f"{TOKEN_CHAR}*", "?": TOKEN_CHAR}
-    body = "".join(one[ch] if wild else re.escape(ch) for ch, wild in parts)
-    if all(ch == "*" for ch, _ in parts):
-        body = f"{TOKEN_CHAR}+"
-    return F.lower(text).rlike(f"{_START}{body}{_END}")
+    low = F.lower(text)
+    runs = "".join("\0" if wild else ch for ch, wild in parts).split("\0")
+    core = list(parts)
+    # A token goes on as far as it can, so an outer star only means that the end is open.
+    while core and core[0] == ("*", True):
+        core.pop(0)
+    while core and core[-1] == ("*", True):
+        core.pop()
+    open_start, open_end = parts[0] == ("*", True), parts[-1] == ("*", True)
+    if not core:
+        return low.rlike(TOKEN_CHAR)
+    body = "".join({"*": f"{TOKEN_CHAR}*", "?": TOKEN_CHAR}[ch] if wild else ch for ch, wild in core)
+    if open_start:
+        start = ""
+    elif runs[0]:
+        start, body = _starting_with(runs[0]), body[len(runs[0]):]
+    else:
+        start = _START
+    matched = low.rlike(f"{start}{body}{'' if open_end else _END}")
+    longest = max(runs, key=len)
+    return F.contains(low, F.lit(longest)) & matched if longest else matched

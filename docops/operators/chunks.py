@@ -27,7 +27,7 @@ def chunk_by_count(
     if max_actions == -1:
         return df.withColumn("batch", F.lit(0).cast("long"))
     numbered = number_rows(df, [writer], seq, "_position", hot_rows)
-    batch = F.floor((F.col("_position") - 1) / F.lit(max_actions)).cast("long")
+    batch = F.call_function("div", F.col("_position") - 1, F.lit(max_actions).cast("long"))
     return numbered.withColumn("batch", batch).drop("_position")
 
 

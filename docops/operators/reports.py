@@ -54,7 +54,7 @@ def throughput_blocks(
     """
     numbered = number_rows(requests.select(writer, seq, took, size), [writer], seq, "_position", hot_rows)
     stats = (
-        numbered.withColumn("block", F.floor((F.col("_position") - 1) / F.lit(block)).cast("long"))
+        numbered.withColumn("block", F.call_function("div", F.col("_position") - 1, F.lit(block).cast("long")))
         .groupBy(writer, "block")
         .agg(
             F.count("*").alias("_n"),

@@ -118,7 +118,7 @@ def scroll(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     sees more than its range. Pull the rows with ``toLocalIterator()``.
     """
     numbered = OrderedRanges(df, order).numbered("_position")
-    page_number = F.floor((F.col("_position") - 1) / F.lit(size)).cast("long")
+    page_number = F.call_function("div", F.col("_position") - 1, F.lit(size).cast("long"))
     return numbered.withColumn("page", page_number).drop("_position")
 
 

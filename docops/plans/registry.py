@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docops.functions.formats import fmt_doc_speed, fmt_duration, fmt_duration_words, fmt_size, fmt_speed
+from docops.functions.names import utc_millis
 from docops.operators import aliases, catalog, changelog, chunks, keyed, profile, reports, retention, search
 from docops.plans import inputs
 from docops.session import scratch_path
@@ -300,8 +301,7 @@ def enabled_only(spark, directory):
 
 
 def _catalog_columns(df):
-    millis = F.floor(F.unix_micros(F.col("created").cast("timestamp")) / 1000).cast("long")
-    return df.select("index", "doc_count", millis.alias("created_millis"), "state")
+    return df.select("index", "doc_count", utc_millis(df, "created").alias("created_millis"), "state")
 
 
 @_query

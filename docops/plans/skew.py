@@ -112,31 +112,48 @@ def order_bounds(df: DataFrame, order: Sequence[str], parts: int) -> list[tuple]
     sample = values.orderBy(F.xxhash64(*names), *names).limit(parts * 16)
     ranked = [tuple(row) for row in sample.distinct().orderBy(*order_columns(order)).collect()]
     picks = {len(ranked) * i // parts for i in range(1, parts)}
-    return [ranked[i] for i in sorted(picks) if 0 < i < len(ranked)]
+    bounds = [ranked[i] for i in sorted(picks) if 0 < i < len(ranked)]
+    # Later columns only matter where the leading ones repeat.
+    for width in range(1, len(names)):
+        if len({bound[:width] for bound in bounds}) == len(bounds):
+            return [bound[:width] for bound in bounds]
+    return bounds
+
+
+def _constant(schema: StructType, name: str, value) -> Column:
+    text = str(value) if isinstance(value, (date, datetime)) else value
+    return F.lit(text).cast(schema[name].dataType)
 
 
 def segment_of(schema: StructType, order: Sequence[str], bounds: Sequence[tuple]) -> Column:
     """How many of ``bounds`` are at or before the row, by binary search in a constant array."""
     if not bounds:
         return F.lit(0)
-    names = _order_names(order)
+    names = _order_names(order)[: len(bounds[0])]
+
+    def earlier(spec: str, mark: Column, value: Column) -> Column:
+        if spec.startswith("-"):
+            return F.coalesce(mark > value, mark.isNotNull() & value.isNull())
+        return F.coalesce(mark < value, mark.isNull() & value.isNotNull())
+
+    if len(names) == 1 and all(bound[0] is not None for bound in bounds):
+        array = F.array(*[_constant(schema, names[0], bound[0]) for bound in bounds])
+        value = F.col(names[0])
 
-    def constant(value, name: str) -> Column:
-        text = str(value) if isinstance(value, (date, datetime)) else value
-        return F.lit(text).cast(schema[name].dataType).alias(name)
+        def at_or_before(mark: Column) -> Column:
+            return (value <= mark) | value.isNull() if order[0].startswith("-") else value >= mark
 
-    array = F.array(*[F.struct(*[constant(v, n) for v, n in zip(bound, names)]) for bound in bounds])
+    else:
+        array = F.array(
+            *[F.struct(*[_constant(schema, n, v).alias(n) for n, v in zip(names, bound)]) for bound in bounds]
+        )
 
-    def at_or_before(bound: Column) -> Column:
-        result = F.lit(True)
-        for spec, name in reversed(list(zip(order, names))):
-            mark, value = bound[name], F.col(name)
-            if spec.startswith("-"):
-                earlier = F.coalesce(mark > value, mark.isNotNull() & value.isNull())
-            else:
-                earlier = F.coalesce(mark < value, mark.isNull() & value.isNotNull())
-            result = earlier | (mark.eqNullSafe(value) & result)
-        return result
+        def at_or_before(bound: Column) -> Column:
+            result = F.lit(True)
+            for spec, name in reversed(list(zip(order, names))):
+                mark, value = bound[name], F.col(name)
+                result = earlier(spec, mark, value) | (mark.eqNullSafe(value) & result)
+            return result
 
     count = len(bounds)
     steps = [1 << i for i in range(count.bit_length() - 1, -1, -1)]
@@ -148,6 +165,29 @@ def segment_of(schema: StructType, order: Sequence[str], bounds: Sequence[tuple]
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step_right)
 
 
+def segments_between(
+    schema: StructType, order: Sequence[str], bounds: Sequence[tuple], first: int, last: int
+) -> Column | None:
+    """A plain comparison that holds for the rows of segments ``first`` to ``last``.
+
+    None unless the bounds are on one column; such a comparison can be pushed into the scan.
+    """
+    if bounds and (len(bounds[0]) > 1 or any(bound[0] is None for bound in bounds)):
+        return None
+    name, descending = _order_names(order)[0], order[0].startswith("-")
+    value = F.col(name)
+    low = _constant(schema, name, bounds[first - 1][0]) if first > 0 else None
+    high = _constant(schema, name, bounds[last][0]) if last < len(bounds) else None
+    kept = F.lit(True)
+    if low is not None:
+        kept = kept & (value <= low if descending else value >= low)
+    if high is not None:
+        kept = kept & (value > high if descending else value < high)
+    # Nulls are at the end in descending order, else at the beginning.
+    open_end = high if descending else low
+    return kept | value.isNull() if open_end is None else kept
+
+
 def with_segments(df: DataFrame, hot: HotKeys, order: str, parts: int | None = None) -> DataFrame:
     """Adds the segment column: an order range for rows of hot keys, 0 for all others."""
     bounds = order_bounds(df.where(hot.flag()), [order], parts or partitions(df))
@@ -193,7 +233,8 @@ class OrderedRanges:
 
     def __init__(self, df: DataFrame, order: Sequence[str], parts: int | None = None):
         self.order = list(order)
-        bounds = order_bounds(df, order, parts or partitions(df))
+        self.frame = df
+        self.bounds = bounds = order_bounds(df, order, parts or partitions(df))
         self.rows = df.withColumn(SEGMENT, segment_of(df.schema, order, bounds))
         counted = self.rows.groupBy(SEGMENT).agg(F.count("*").alias("n")).collect()
         sizes = {row[SEGMENT]: row["n"] for row in counted}
@@ -217,5 +258,12 @@ class OrderedRanges:
         overlapping = [
             s for s in range(len(self.before) - 1) if self.before[s] < end and self.before[s + 1] > start
         ]
-        rows = self.rows.where(F.col(SEGMENT).isin(overlapping)) if overlapping else self.rows.limit(0)
+        if not overlapping:
+            return self.numbered(name, self.rows.limit(0))
+        frame = self.frame
+        kept = segments_between(frame.schema, self.order, self.bounds, overlapping[0], overlapping[-1])
+        if kept is not None and len(overlapping) == 1:
+            rows = frame.where(kept).withColumn(SEGMENT, F.lit(overlapping[0]))
+        else:
+            rows = (self.rows if kept is None else self.rows.where(kept)).where(F.col(SEGMENT).isin(overlapping))
         return self.numbered(name, rows).where((F.col(name) > start) & (F.col(name) <= end))

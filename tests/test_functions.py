@@ -32,7 +32,10 @@ def test_matching_equals_token_comparison(spark):
         by_pattern = text.matches_any_token(F.col("t"), query)
         differing = df.where(F.coalesce(by_tokens, F.lit(False)) != F.coalesce(by_pattern, F.lit(False)))
         assert differing.count() == 0, query
-    for query, regex in (("a*", "^a.*$"), ("?b", "^.b$"), ("*1?", "^.*1.$"), ("*", "^.+$")):
+    for query, regex in (
+        ("a*", "^a.*$"), ("?b", "^.b$"), ("*1?", "^.*1.$"), ("*", "^.+$"), ("a?*b", "^a..*b$"), ("*b", "^.*b$"),
+        ("**a**", "^.*a.*$"), ("?", "^.$"), ("ab?", "^ab.$"), ("a*1", "^a.*1$"), ("??*", "^...*$"), ("É*", "^é.*$"),
+    ):
         by_tokens = F.exists(text.tokens(F.col("t")), lambda t: t.rlike(regex))
         by_pattern = text.matches_wildcard(F.col("t"), query)
         differing = df.where(F.coalesce(by_tokens, F.lit(False)) != F.coalesce(by_pattern, F.lit(False)))

@@ -174,18 +174,22 @@ def test_segmented_numbers_equal_plain_numbers(spark):
     assert sorted(map(str, plain)) == sorted(map(str, split))
 
 
-@pytest.mark.parametrize("order", [["a", "b"], ["-a", "b"], ["-s", "a", "-b"], ["s", "-b"]])
+@pytest.mark.parametrize("order", [["a", "b"], ["-a", "b"], ["-s", "a", "-b"], ["s", "-b"], ["b"], ["-c", "b"], ["c", "b"]])
 def test_ordered_ranges_follow_the_sort(spark, order):
     rng = random.Random(3)
-    rows = [(rng.choice([1.5, 2.5, 7.0, None]), n, rng.choice(["x", "y", None])) for n in range(400)]
-    df = spark.createDataFrame(rows, "a double, b long, s string").repartition(3)
+    rows = [
+        (rng.choice([1.5, 2.5, 7.0, None]), n, rng.choice(["x", "y", None]), rng.choice([rng.random(), rng.random(), None]))
+        for n in range(400)
+    ]
+    df = spark.createDataFrame(rows, "a double, b long, s string, c double").repartition(3)
     ranges = OrderedRanges(df, order, parts=16)
     assert ranges.total == 400 and len(ranges.before) > 10
     numbered = {r["b"]: r["n"] for r in ranges.numbered("n").collect()}
     columns = [F.col(o[1:]).desc() if o[0] == "-" else F.col(o).asc() for o in order]
     assert [numbered[r["b"]] for r in df.orderBy(*columns).collect()] == list(range(1, 401))
-    between = ranges.rows_between(123, 130, "n").collect()
-    assert sorted(r["n"] for r in between) == list(range(124, 131))
+    for start, end in ((0, 5), (123, 130), (390, 410)):
+        between = ranges.rows_between(start, end, "n").collect()
+        assert {r["b"]: r["n"] for r in between} == {b: n for b, n in numbered.items() if start < n <= end}
     assert ranges.rows_between(400, 410, "n").count() == 0
 
 
