@@ -77,7 +77,7 @@ def keep_indices(docs: DataFrame, names: DataFrame) -> DataFrame:
     rows = bounded_rows(names.select("index").distinct(), PRUNING_NAMES)
     if rows is not None:
         return docs.where(F.col("index").isin([row["index"] for row in rows]))
-    return docs.join(names.select("index").distinct(), "index", "left_semi")
+    return docs.join(checked_broadcast(names.select("index").distinct()), "index", "left_semi")
 
 
 def drop_indices(docs: DataFrame, names: DataFrame | Sequence[str]) -> DataFrame:
@@ -89,7 +89,7 @@ def drop_indices(docs: DataFrame, names: DataFrame | Sequence[str]) -> DataFrame
         listed = list(names)
     if listed is not None:
         return docs.where(F.col("index").isNull() | ~F.col("index").isin(listed))
-    return docs.join(names.select("index").distinct(), "index", "left_anti")
+    return docs.join(checked_broadcast(names.select("index").distinct()), "index", "left_anti")
 
 
 def purge_closed(docs: DataFrame, catalog: DataFrame, created_before: Column | None = None) -> DataFrame:

@@ -17,7 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docops.plans.skew import SEGMENT, HotKeys, checked_broadcast, find_hot_keys, join_summary, with_segments
+from docops.plans.skew import (
+    SEGMENT,
+    HotKeys,
+    bounded_rows,
+    checked_broadcast,
+    find_hot_keys,
+    join_summary,
+    local_frame,
+    with_segments,
+)
 
 # Operation names and outcomes.
 INDEX, CREATE, UPDATE, DELETE = "index", "create", "update", "delete"
@@ -39,8 +48,13 @@ def snapshot_operations(documents: DataFrame) -> DataFrame:
     )
 
 
-def _with_snapshot(ops: DataFrame, snapshot: DataFrame | None) -> DataFrame:
-    return ops if snapshot is None else snapshot_operations(snapshot).unionByName(ops.select(*OPERATION))
+def _named(ops: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The documents the log names, and the others; without others when the log names too many keys."""
+    rows = bounded_rows(ops.select(*KEY).distinct())
+    if rows is None:
+        return snapshot, None
+    keys = F.broadcast(local_frame(ops.sparkSession, rows, ops.select(*KEY).schema))
+    return snapshot.join(keys, KEY, "left_semi"), snapshot.join(keys, KEY, "left_anti")
 
 
 def index_last_wins(ops: DataFrame) -> DataFrame:
@@ -89,7 +103,9 @@ def outcomes(ops: DataFrame, snapshot: DataFrame | None = None, hot: HotKeys | N
         .when((F.col("op") == UPDATE) & ~live, MISSING)
         .otherwise(OK)
     )
-    rows = _with_snapshot(ops, snapshot)
+    rows = ops
+    if snapshot is not None:
+        rows = snapshot_operations(_named(ops, snapshot)[0]).unionByName(ops, allowMissingColumns=True)
     states = _previous_state(rows, hot_documents(rows) if hot is None else hot)
     return states.where(F.col("seq") != SNAPSHOT_SEQ).withColumn("outcome", outcome).drop("_previous")
 
@@ -175,10 +191,22 @@ def apply_changes(
 
     One shuffle on the key serves the barrier, the field merge and the assembly of
     the document. Hot keys skip the window and merge through partial aggregates.
-    With ``keep_deleted`` keys that end without a document stay as rows with
-    ``deleted`` true and an empty source.
+    Documents of the snapshot that a short log does not name are passed on as they
+    are, with ``last_seq`` -1. With ``keep_deleted`` keys that end without a document
+    stay as rows with ``deleted`` true and an empty source.
     """
-    rows = _with_snapshot(ops, snapshot).select(*OPERATION)
+    ops = ops.select(*OPERATION)
+    if snapshot is None:
+        return _fold(ops, keep_deleted, hot)
+    named, others = _named(ops, snapshot)
+    folded = _fold(snapshot_operations(named).unionByName(ops), keep_deleted, hot)
+    if others is None:
+        return folded
+    constants = {"last_seq": F.lit(SNAPSHOT_SEQ).cast("long"), "deleted": F.lit(False)}
+    return folded.unionByName(others.withColumns(constants).select(*folded.columns))
+
+
+def _fold(rows: DataFrame, keep_deleted: bool, hot: HotKeys | None) -> DataFrame:
     hot = hot_documents(rows) if hot is None else hot
     if hot:
         judged = _barriers_by_window(rows.where(~hot.flag())).unionByName(_barriers_by_aggregate(rows, hot))

@@ -17,43 +17,42 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 
 BROADCAST_ROWS = 200_000
 HOT_ROWS = 1_000_000
-HOT_CANDIDATES = 1_000
 SEGMENT = "_segment"
+MAX_SEGMENTS = 10_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``df`` unchanged.
+def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list | None:
+    """The rows of ``df`` on the driver, or None when there are more than ``max_rows``.
 
-    The check reads one row more than the bound; a side that passes is kept as a
-    local relation, so it is not computed a second time by the join.
+    The limit is taken partition by partition, so a large frame is given up early.
     """
-    table = bounded_arrow(df, max_rows)
-    return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
-
-
-def bounded_arrow(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> pa.Table | None:
-    """The rows of ``df`` as an Arrow table, or None when there are more than ``max_rows``."""
-    table = df.limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows else None
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
 
 
-def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str | StructType) -> DataFrame:
     """A small frame of driver-side rows as a local relation, planned without a job of its own."""
-    kinds = StructType.fromDDL(schema)
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if any(isinstance(field.dataType, TimestampType) for field in kinds):
+        return spark.createDataFrame(list(rows), kinds)  # keeps the session's time zone
     columns = list(zip(*rows)) or [()] * len(kinds)
     arrow = to_arrow_schema(kinds)
     table = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
     return spark.createDataFrame(table, kinds)
 
 
-def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> list | None:
-    """The rows of ``df`` on the driver, or None when there are more than ``max_rows``."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads one row more than the bound; a side that passes is kept as a
+    local relation, so it is not computed a second time by the join.
+    """
+    rows = bounded_rows(df, max_rows)
+    return df if rows is None else F.broadcast(local_frame(df.sparkSession, rows, df.schema))
 
 
 def partitions(df: DataFrame) -> int:
@@ -75,20 +74,25 @@ class HotKeys:
 
 
 def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> HotKeys:
-    """Keys with more than ``hot_rows`` rows, from one pass with a mergeable sketch.
+    """Keys with more than ``hot_rows`` rows, from one pass with mergeable sketches.
 
     The default limit is an average shuffle partition, at least one million rows.
-    The sketch only chooses the plan: results are the same whichever keys it finds.
+    Keys are spread over several sketches so that no single task merges them all;
+    each is wide enough to hold every key that can exceed its share. The sketches
+    only choose the plan: results are the same whichever keys they find.
     """
-    tracked = HOT_CANDIDATES * 20
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    found = hashed.agg(
-        F.count("*").alias("n"),
-        F.expr(f"approx_top_k(h, {HOT_CANDIDATES}, {tracked})").alias("top"),
-    ).first()
+    parts = partitions(df)
+    sketches = min(128, max(1, parts // 32))
+    kept = max(64, 2 * parts // sketches)
+    found = (
+        df.select(F.xxhash64(*keys).alias("h"))
+        .groupBy(F.pmod("h", F.lit(sketches)).alias("sketch"))
+        .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(h, {kept}, {4 * kept})").alias("top"))
+        .collect()
+    )
     if hot_rows is None:
-        hot_rows = max(HOT_ROWS, found["n"] // max(partitions(df), 1))
-    hashes = tuple(item["item"] for item in found["top"] or [] if item["count"] > hot_rows)
+        hot_rows = max(HOT_ROWS, sum(row["n"] for row in found) // max(parts, 1))
+    hashes = tuple(item["item"] for row in found for item in row["top"] if item["count"] > hot_rows)
     return HotKeys(tuple(keys), hashes)
 
 
@@ -104,13 +108,17 @@ def _order_names(order: Sequence[str]) -> list[str]:
 def order_bounds(df: DataFrame, order: Sequence[str], parts: int) -> list[tuple]:
     """At most ``parts - 1`` ascending cut points that split ``order`` evenly.
 
-    The cut points are quantiles of the values with the smallest hashes: a uniform
-    sample of fixed size that a retry or a second pass finds again unchanged.
+    The cut points are quantiles of a sample by hash, some sixteen values per part
+    whatever the size of the frame; a retry or a second pass finds the same sample.
     """
     names = _order_names(order)
-    values = df.select(*names)
-    sample = values.orderBy(F.xxhash64(*names), *names).limit(parts * 16)
-    ranked = [tuple(row) for row in sample.distinct().orderBy(*order_columns(order)).collect()]
+    parts = min(parts, MAX_SEGMENTS)
+    rows = df.count()
+    scale = 1 << 40
+    share = min(scale, scale * parts * 16 // max(rows, 1) + 1)
+    chosen = F.pmod(F.xxhash64(*names), F.lit(scale)) < share
+    sample = df.select(*names).where(chosen).distinct()
+    ranked = [tuple(row) for row in sample.orderBy(*order_columns(order)).collect()]
     picks = {len(ranked) * i // parts for i in range(1, parts)}
     bounds = [ranked[i] for i in sorted(picks) if 0 < i < len(ranked)]
     # Later columns only matter where the leading ones repeat.

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docops.operators import changelog, chunks, reports, search
-from docops.plans.skew import OrderedRanges, checked_broadcast, find_hot_keys, number_rows
+from docops.plans.skew import OrderedRanges, bounded_rows, checked_broadcast, find_hot_keys, local_frame, number_rows
 
 OPS = "seq long, index string, id string, op string, source map<string,string>"
 
@@ -92,6 +92,23 @@ def test_snapshot_precedes_the_log(spark):
     assert applied == {"a": {"x": "1", "y": "9"}, "b": {"x": "2"}}
 
 
+@pytest.mark.parametrize("bound", [1, 1_000])
+def test_snapshot_merge_with_short_and_long_logs(spark, monkeypatch, bound):
+    ops = random_ops(21, 400, 30)
+    docs, _ = replay(ops[:200])
+    snapshot = spark.createDataFrame(
+        [(*key, source) for key, source in docs.items()], "index string, id string, source map<string,string>"
+    )
+    # Only what the later half names is merged; a log above the bound is merged with everything.
+    later = [o for o in ops[200:] if o[2] in ("hot", "k1", "k2", "k3", "k99")]
+    monkeypatch.setattr(changelog, "bounded_rows", lambda df: bounded_rows(df, bound))
+    applied = changelog.apply_changes(spark.createDataFrame(later, OPS), snapshot).collect()
+    want, outcome = replay(ops[:200] + later)
+    assert {(r["index"], r["id"]): r["source"] for r in applied} == want
+    judged = changelog.outcomes(spark.createDataFrame(later, OPS), snapshot).collect()
+    assert {r["seq"]: r["outcome"] for r in judged} == {o[0]: outcome[o[0]] for o in later}
+
+
 def requests(spark, seed=5, count=1500, biggest=40):
     rng = random.Random(seed)
     rows = [
@@ -208,3 +225,22 @@ def test_broadcast_only_below_the_bound(spark):
     assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString()
     assert big.count() == small.count() == 50
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_local_frames_keep_values(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(
+            """select timestamp'2024-01-01 10:00:00' z, timestamp_ntz'2024-01-01 10:00:00' n, 1 i union all
+               select null, null, null"""
+        )
+        same = local_frame(spark, df.collect(), df.schema)
+        assert same.schema == df.schema and same.exceptAll(df).count() == 0 == df.exceptAll(same).count()
+        nested = spark.sql("select named_struct('a', 1L, 'b', 'x') s, map('k', 'v') m, array(1, null) l, date'2024-02-03' d")
+        same = local_frame(spark, nested.collect(), nested.schema)
+        assert [tuple(r) for r in same.collect()] == [tuple(r) for r in nested.collect()]
+        assert local_frame(spark, [], "a int, b string").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
