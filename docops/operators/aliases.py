@@ -15,6 +15,9 @@ from docops.plans.skew import bounded_rows, checked_broadcast
 ALIAS_ROW = ["alias", "index", "filter_field", "filter_value"]
 MOVED, NEW = "moved", "new"
 
+# Up to this many rows of one alias become a filter of the scan; more are joined.
+LISTED_ROWS = 1_000
+
 AliasAdder = Callable[[Column, Column], tuple[Column, Column]]
 
 
@@ -125,11 +128,11 @@ def scan_aliases(docs: DataFrame, aliases: DataFrame, fields: Sequence[str]) ->
 
 def scan_alias(docs: DataFrame, aliases: DataFrame, alias: str) -> DataFrame:
     """Rows visible through one alias: its indices and filters become a filter of the scan itself."""
-    rows = bounded_rows(aliases.where(F.col("alias") == alias).select(*ALIAS_ROW), 1_000)
+    rows = bounded_rows(aliases.where(F.col("alias") == alias).select(*ALIAS_ROW), LISTED_ROWS)
     if rows is None:
         fields = [f for f in docs.columns if f != "index"]
         seen = scan_aliases(docs, aliases.where(F.col("alias") == alias), fields)
-        return seen.select(*[docs[c] for c in docs.columns])
+        return seen.select(*docs.columns)
     open_names = [r["index"] for r in rows if r["filter_field"] is None]
     visible = F.col("index").isin(open_names) if open_names else F.lit(False)
     for row in rows:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -34,44 +35,71 @@ def chunk_by_count(
 def chunk_by_volume(
     df: DataFrame, writer: str, seq: str, size: str, limit: int = MAX_VOLUME, hot_rows: int | None = None
 ) -> DataFrame:
-    """Adds ``batch``: a request closes after the operation that brings it to ``limit`` bytes.
+    """Adds ``batch``: a request closes after the operation that brings it to ``limit`` bytes."""
+    return chunk(df, writer, seq, size, -1, limit, hot_rows)
+
+
+def chunk(
+    df: DataFrame,
+    writer: str,
+    seq: str,
+    size: str,
+    max_actions: int = MAX_ACTIONS,
+    max_volume: int = MAX_VOLUME,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Adds ``batch``: a request closes at ``max_actions`` operations or ``max_volume`` bytes, whichever is first.
 
     Each writer is a running sum that starts over, streamed through sorted
     partitions. A writer with too many operations for one task is cut into
-    segments: every segment first lists how it ends for each fill it may start
-    with, the short lists are followed from segment to segment, and then all
-    segments are numbered at once from their known start.
+    segments: every segment first lists how it ends for each way it may start,
+    the short lists are followed from segment to segment, and then all segments
+    are numbered at once from their known start.
     """
-    if limit == -1:
-        return df.withColumn("batch", F.lit(0).cast("long"))
+    if max_volume == -1:
+        return chunk_by_count(df, writer, seq, max_actions, hot_rows)
+    limits = Limits(max_actions if max_actions != -1 else NO_LIMIT, max_volume)
     hot = find_hot_keys(df, [writer], hot_rows)
     if hot:
         rows = with_segments(df, hot, seq)
-        rows = join_summary(rows, _segment_starts(rows.where(hot.flag()), writer, seq, size, limit),
-                            [writer, SEGMENT], ["_fill", "_closed"])
+        starts = _segment_starts(rows.where(hot.flag()), writer, seq, size, limits)
+        rows = join_summary(rows, starts, [writer, SEGMENT], _STATE)
     else:
-        rows = df.select("*", F.lit(0).alias(SEGMENT), F.lit(0).alias("_fill"), F.lit(0).alias("_closed"))
+        rows = df.select("*", F.lit(0).alias(SEGMENT), *[F.lit(0).alias(c) for c in _STATE])
     numbered = StructType([*df.schema.fields, StructField("batch", LongType())])
     names = df.columns
     return (
-        rows.withColumn("_fill", F.coalesce("_fill", F.lit(0)).cast("long"))
-        .withColumn("_closed", F.coalesce("_closed", F.lit(0)).cast("long"))
+        rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in _STATE})
         .repartition(writer, SEGMENT)
         .sortWithinPartitions(writer, SEGMENT, seq)
-        .mapInArrow(lambda batches: _number(batches, names, writer, size, limit), numbered)
+        .mapInArrow(lambda batches: _number(batches, names, writer, size, limits), numbered)
     )
 
 
-def _closing_positions(sizes: np.ndarray, fill: int, limit: int) -> tuple[np.ndarray, int]:
-    """Positions after which a request closes, starting with ``fill`` bytes; and the bytes left over."""
+NO_LIMIT = 1 << 62
+
+
+class Limits(NamedTuple):
+    actions: int
+    volume: int
+
+
+# Where a segment starts: bytes and operations in the open request, requests closed before.
+_STATE = ["_fill", "_held", "_closed"]
+
+
+def _closing_positions(sizes: np.ndarray, fill: int, held: int, limits: Limits) -> tuple[list[int], int, int]:
+    """Positions after which a request closes, and the bytes and operations left open at the end."""
     total = np.cumsum(sizes)
-    closed, spent = [], -fill
+    count = len(sizes)
+    closed: list[int] = []
+    spent, begin = -fill, -held
     while True:
-        at = int(np.searchsorted(total, spent + limit))
-        if at >= len(total):
-            return np.array(closed, dtype="int64"), int((total[-1] if len(total) else 0) - spent)
+        at = min(int(np.searchsorted(total, spent + limits.volume)), begin + limits.actions - 1)
+        if at >= count:
+            return closed, int((total[-1] if count else 0) - spent), count - begin
         closed.append(at)
-        spent = int(total[at])
+        spent, begin = int(total[at]), at + 1
 
 
 def _run_starts(columns: list[pa.Array]) -> np.ndarray:
@@ -88,9 +116,9 @@ def _run_starts(columns: list[pa.Array]) -> np.ndarray:
 
 
 def _number(
-    batches: Iterator[pa.RecordBatch], names: list[str], writer: str, size: str, limit: int
+    batches: Iterator[pa.RecordBatch], names: list[str], writer: str, size: str, limits: Limits
 ) -> Iterator[pa.RecordBatch]:
-    current, fill, done = None, 0, 0
+    current, fill, held, done = None, 0, 0, 0
     for rows in batches:
         if not rows.num_rows:
             continue
@@ -102,81 +130,89 @@ def _number(
             key = (writers[int(begin)].as_py(), segments[int(begin)].as_py())
             if key != current:
                 current = key
-                fill = rows.column("_fill")[int(begin)].as_py()
-                done = rows.column("_closed")[int(begin)].as_py()
-            closed, fill = _closing_positions(sizes[begin:end], fill, limit)
+                fill, held, done = (rows.column(c)[int(begin)].as_py() for c in _STATE)
+            closed, fill, held = _closing_positions(sizes[begin:end], fill, held, limits)
             numbers[begin:end] = done + np.searchsorted(closed, np.arange(end - begin))
             done += len(closed)
         yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in names), pa.array(numbers)], [*names, "batch"])
 
 
-_ENDINGS = "_least long, _closes long, _left long, _grows boolean"
+_ENDINGS = ["_position", "_least", "_closes", "_left", "_kept"]
 
 
-def _segment_endings(sizes: np.ndarray, limit: int) -> pd.DataFrame:
-    """How a segment ends for every fill: rows (least fill, requests closed, bytes left).
+def _segment_endings(sizes: np.ndarray, limits: Limits) -> pd.DataFrame:
+    """How a segment ends: one row per position that may be the first to close a request.
 
-    With the first closing position p known, the rest no longer depends on the
-    fill. ``grows`` marks the fills that close nothing and only add up.
+    ``least`` is the smallest fill with which the position closes by volume. What
+    follows it (requests closed, bytes and operations left open) no longer depends
+    on the start. Neighbours with the same ending are one row, at the last of them.
+    A final row at the length of the segment stands for starts that close nothing.
     """
     count = len(sizes)
     total = np.concatenate([[0], np.cumsum(sizes)])
     # From an empty request at position i, the next request starts at follow[i].
-    follow = np.searchsorted(total[1:], total[:-1] + limit) + 1
-    closes = np.zeros(count + 1, dtype="int64")
-    left = np.zeros(count + 1, dtype="int64")
+    by_volume = np.searchsorted(total[1:], total[:-1] + limits.volume) + 1
+    follow = np.minimum(by_volume, np.arange(count) + limits.actions)
+    closes, left, kept = (np.zeros(count + 1, dtype="int64") for _ in range(3))
     for i in range(count - 1, -1, -1):
         if follow[i] > count:
-            left[i] = total[count] - total[i]
+            left[i], kept[i] = total[count] - total[i], count - i
         else:
-            closes[i], left[i] = closes[follow[i]] + 1, left[follow[i]]
-    rows = []
-    if total[count] < limit:
-        rows.append((0, 0, int(total[count]), True))
-    # Position p closes first exactly for fills in [limit - total[p + 1], limit - total[p]).
-    last = min(int(np.searchsorted(total[1:], limit)), count - 1)
-    for p in range(last, -1, -1):
-        least = max(int(limit - total[p + 1]), 0)
-        row = (least, int(closes[p + 1]) + 1, int(left[p + 1]), False)
-        if sizes[p] > 0 and (not rows or rows[-1][1:] != row[1:]):
-            rows.append(row)
-    return pd.DataFrame(rows, columns=["_least", "_closes", "_left", "_grows"])
-
-
-def _segment_starts(rows: DataFrame, writer: str, seq: str, size: str, limit: int) -> DataFrame:
-    """For every segment of a hot writer: bytes already in the open request, requests closed before."""
+            closes[i], left[i], kept[i] = closes[follow[i]] + 1, left[follow[i]], kept[follow[i]]
+    rows: list[tuple] = []
+    for p in range(min(int(follow[0]) if count else 0, count)):
+        ending = (int(closes[p + 1]) + 1, int(left[p + 1]), int(kept[p + 1]))
+        if rows and rows[-1][2:] == ending:
+            rows.pop()
+        rows.append((p, int(limits.volume - total[p + 1]), *ending))
+    rows.append((count, 0, 0, int(total[count]), count))
+    return pd.DataFrame(rows, columns=_ENDINGS)
+
+
+def _segment_starts(rows: DataFrame, writer: str, seq: str, size: str, limits: Limits) -> DataFrame:
+    """For every segment of a hot writer, the state it starts in."""
     kind = rows.schema[writer].dataType.simpleString()
+    key_type = f"`{writer}` {kind}, {SEGMENT} int"
 
     def endings(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         ordered = frame.sort_values(seq)
-        out = _segment_endings(ordered[size].fillna(0).to_numpy(dtype="int64"), limit)
+        out = _segment_endings(ordered[size].fillna(0).to_numpy(dtype="int64"), limits)
+        out["_length"] = len(ordered)
         out.insert(0, SEGMENT, key[1])
         out.insert(0, writer, key[0])
         return out
 
+    columns = [*_ENDINGS, "_length"]
     listed = (
         rows.select(writer, SEGMENT, seq, size)
         .groupBy(writer, SEGMENT)
-        .applyInPandas(endings, f"`{writer}` {kind}, {SEGMENT} int, {_ENDINGS}")
+        .applyInPandas(endings, f"{key_type}, {', '.join(f'{c} long' for c in columns)}")
     )
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, fill, closed, end = None, 0, 0, None
+        at, state, end = None, (0, 0, 0), None
         for batch in batches:
             found = []
-            for name, segment, least, closes, left, grows in zip(*(c.to_pylist() for c in batch.columns)):
+            for name, segment, position, least, closes, left, kept, length in zip(
+                *(c.to_pylist() for c in batch.columns)
+            ):
                 if at != (name, segment):
-                    fill, closed = end if at is not None and at[0] == name else (0, 0)
-                    at = (name, segment)
-                    found.append((name, segment, fill, closed))
-                if least <= fill:
-                    end = (fill + left, closed) if grows else (left, closed + closes)
-            types = [batch.schema.types[0], pa.int32(), pa.int64(), pa.int64()]
-            columns = [pa.array([row[i] for row in found], types[i]) for i in range(4)]
-            yield pa.RecordBatch.from_arrays(columns, [writer, SEGMENT, "_fill", "_closed"])
+                    state = end if at is not None and at[0] == name else (0, 0, 0)
+                    at, end = (name, segment), None
+                    found.append((name, segment, *state))
+                if end is not None:
+                    continue
+                fill, held, closed = state
+                if position == length:
+                    end = (fill + left, held + kept, closed)
+                elif fill >= least or held + position + 1 >= limits.actions:
+                    end = (left, kept, closed + closes)
+            types = [batch.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            arrays = [pa.array([row[i] for row in found], types[i]) for i in range(len(types))]
+            yield pa.RecordBatch.from_arrays(arrays, [writer, SEGMENT, *_STATE])
 
     return (
         listed.repartition(writer)
-        .sortWithinPartitions(writer, SEGMENT, F.col("_grows").desc(), "_least")
-        .mapInArrow(follow, f"`{writer}` {kind}, {SEGMENT} int, _fill long, _closed long")
+        .sortWithinPartitions(writer, SEGMENT, "_position")
+        .mapInArrow(follow, f"{key_type}, {', '.join(f'{c} long' for c in _STATE)}")
     )

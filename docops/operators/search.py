@@ -17,8 +17,8 @@ CONSTANT_SCORE = 1.0
 DISABLED_COUNT = -1
 ID_PAGE = 1000
 
-# A page that ends within this many rows is taken by a top-k in memory.
-TOP_ROWS = 50_000
+# A page that ends within this many rows is a top-k: every task hands over that many rows to one merge.
+TOP_ROWS = 1_000
 
 __all__ = [
     "aggregate", "field_exists", "field_query", "in_indices", "match_all", "matches_any_token",

@@ -88,6 +88,18 @@ def _words(lead: bool, trail: bool) -> str:
     return f"concat_ws(' ', {', '.join(shown)})"
 
 
+def _chunks(full: str) -> str:
+    return f"""WITH RECURSIVE r AS (SELECT user_id AS writer, event_id AS seq,
+          CAST(round(value * 100) AS BIGINT) AS bytes,
+          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+        walk AS (SELECT writer, seq, bytes, rn, CAST(0 AS BIGINT) AS batch, bytes AS filled, 1 AS held
+            FROM r WHERE rn = 1
+          UNION ALL SELECT r.writer, r.seq, r.bytes, r.rn, w.batch + CASE WHEN {full} THEN 1 ELSE 0 END,
+            CASE WHEN {full} THEN r.bytes ELSE w.filled + r.bytes END, CASE WHEN {full} THEN 1 ELSE w.held + 1 END
+          FROM walk w JOIN r ON r.writer = w.writer AND r.rn = w.rn + 1)
+        SELECT writer, seq, bytes, batch FROM walk"""
+
+
 ORACLE: dict[str, str] = {
     "ingest_json_source": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
         json_extract_string(props, '$.k') AS dynamic_k FROM events""",
@@ -100,15 +112,8 @@ ORACLE: dict[str, str] = {
           ELSE source || chr(10) END AS body FROM src""",
     "bulk_chunk_by_count": """SELECT user_id AS writer, event_id AS seq,
         (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10 AS batch FROM events""",
-    "bulk_chunk_by_volume": """WITH RECURSIVE r AS (SELECT user_id AS writer, event_id AS seq,
-          CAST(round(value * 100) AS BIGINT) AS bytes,
-          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
-        walk AS (SELECT writer, seq, bytes, rn, CAST(0 AS BIGINT) AS batch, bytes AS filled FROM r WHERE rn = 1
-          UNION ALL SELECT r.writer, r.seq, r.bytes, r.rn,
-            w.batch + CASE WHEN w.filled >= 10000 THEN 1 ELSE 0 END,
-            CASE WHEN w.filled >= 10000 THEN r.bytes ELSE w.filled + r.bytes END
-          FROM walk w JOIN r ON r.writer = w.writer AND r.rn = w.rn + 1)
-        SELECT writer, seq, bytes, batch FROM walk""",
+    "bulk_chunk_by_volume": _chunks("w.filled >= 10000"),
+    "bulk_chunk": _chunks("w.filled >= 10000 OR w.held >= 5"),
     "auto_id": """SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR)
         ELSE sha256(CAST(event_id AS VARCHAR) || '|' || props) END AS id FROM events""",
     "scroll_pages": f"""WITH {DOCS} SELECT doc_id, "index",

@@ -87,6 +87,12 @@ def bulk_chunk_by_volume(spark, directory):
     return chunks.chunk_by_volume(requests, "writer", "seq", "bytes", 10_000)
 
 
+@_query
+def bulk_chunk(spark, directory):
+    requests = inputs.request_log(spark, directory).select("writer", "seq", "bytes")
+    return chunks.chunk(requests, "writer", "seq", "bytes", 5, 10_000)
+
+
 @_query
 def auto_id(spark, directory):
     events = tables.load_table(spark, directory, "events")

@@ -92,7 +92,9 @@ def test_alias_lookup(spark):
     assert as_set(aliases.aliases_of(rows, "other")) == {("test", "f", "v")}
 
 
-def test_alias_scan_applies_each_filter(spark):
+@pytest.mark.parametrize("listed", [1_000, 1])
+def test_alias_scan_applies_each_filter(spark, monkeypatch, listed):
+    monkeypatch.setattr(aliases, "LISTED_ROWS", listed)
     docs = spark.createDataFrame([("i1", 1, "x"), ("i1", 2, "y"), ("i2", 3, "y"), ("i3", 4, "y")],
                                  "index string, n int, kind string")
     rows = table(spark, ("all", "i1", None, None), ("all", "i2", None, None), ("some", "i1", "kind", "y"),

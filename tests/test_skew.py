@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,28 +119,39 @@ def requests(spark, seed=5, count=1500, biggest=40):
     return rows, spark.createDataFrame(rows, "writer string, seq long, bytes long, took long").repartition(3)
 
 
-def greedy(rows, limit):
-    batch, filled, out = {}, {}, {}
+def greedy(rows, actions, volume):
+    batch, held, out = {}, {}, {}
     for writer, seq, size, _ in sorted(rows, key=lambda r: r[1]):
         out[seq] = batch.setdefault(writer, 0)
-        filled[writer] = filled.get(writer, 0) + size
-        if filled[writer] >= limit:
+        count, filled = held.get(writer, (0, 0))
+        count, filled = count + 1, filled + size
+        if (actions != -1 and count >= actions) or filled >= volume:
             batch[writer] += 1
-            filled[writer] = 0
+            count, filled = 0, 0
+        held[writer] = (count, filled)
     return out
 
 
 @pytest.mark.parametrize("hot_rows", [None, 30])
-@pytest.mark.parametrize("limit", [1, 25, 130, 3_000, 1_000_000])
-def test_chunk_by_volume_equals_greedy(spark, limit, hot_rows):
+@pytest.mark.parametrize(
+    "actions, volume",
+    [(-1, 1), (-1, 25), (-1, 130), (-1, 3_000), (-1, 1_000_000), (1, 50), (5, 100), (7, 130), (100, 2_500), (9, 10**7)],
+)
+def test_chunks_equal_greedy(spark, actions, volume, hot_rows):
     rows, df = requests(spark)
-    got = chunks.chunk_by_volume(df, "writer", "seq", "bytes", limit, hot_rows).collect()
-    assert {r["seq"]: r["batch"] for r in got} == greedy(rows, limit)
+    got = chunks.chunk(df, "writer", "seq", "bytes", actions, volume, hot_rows).collect()
+    assert {r["seq"]: r["batch"] for r in got} == greedy(rows, actions, volume)
     assert sorted((r["writer"] or "", r["seq"], r["bytes"], r["took"]) for r in got) == sorted(
         (w or "", *rest) for w, *rest in rows
     )
 
 
+def test_segment_endings_by_hand():
+    # Sizes 4 4 4 with a limit of 6: the start fill decides which operation closes first.
+    rows = chunks._segment_endings(np.array([4, 4, 4]), chunks.Limits(chunks.NO_LIMIT, 6)).to_numpy().tolist()
+    assert rows == [[0, 2, 2, 0, 0], [1, -2, 1, 4, 1], [3, 0, 0, 12, 3]]
+
+
 @pytest.mark.parametrize("hot_rows", [None, 30])
 def test_chunk_by_count(spark, hot_rows):
     rows, df = requests(spark)
