@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from docops.functions.mapping import field_names
-from docops.functions.names import NAME_PATTERN
+from docops.functions.names import DATE_SUFFIX, NAME_PATTERN
 from docops.operators.retention import DELTA, MIN_TO_KEEP, Retention
 
-# Fixed value: date suffix of a full index name, in Python's notation.
-SUFFIX_FORMAT = "%Y%m%d"
+# Parts of a date suffix, and the setting behind each switch.
+DATE_PARTS = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S"}
+SETTING = {
+    "name": "name",
+    "mapping": "mapping",
+    "enabled": "enabled",
+    "compaction": "forcemerge",
+    "shift": "shift",
+    "date_suffix": "dateTimeFormat",
+    "pattern": "dateTimePattern",
+    "prune": "prune",
+    "min_to_keep": "retention.mintokeep",
+    "delta": "retention.delta",
+    "close_shifted": "closeShifted",
+}
+
+
+def format_date(moment: datetime, pattern: str) -> str:
+    """The date under a suffix pattern such as ``yyyyMMdd``, the same as routing writes it."""
+    parts = re.split(f"({'|'.join(DATE_PARTS)})", pattern)
+    if any(part not in DATE_PARTS and re.search("[A-Za-z]", part) for part in parts):
+        raise ValueError(f"unsupported date suffix: {pattern}")
+    return "".join(moment.strftime(DATE_PARTS[part]) if part in DATE_PARTS else part for part in parts)
 
 
 @dataclass(frozen=True)
@@ -26,6 +48,7 @@ class IndexDefinition:
     shift: bool = False
     close_shifted: bool = False
     prune: bool = False
+    date_suffix: str = DATE_SUFFIX
     pattern: str | None = NAME_PATTERN
     delta: int = 0
     min_to_keep: int = 0
@@ -34,34 +57,39 @@ class IndexDefinition:
     def dated(cls, index: str, at: datetime | None = None, **switches) -> IndexDefinition:
         """A definition whose full name carries the UTC date."""
         moment = at or datetime.now(timezone.utc)
-        return cls(index=index, full_name=index + moment.strftime(SUFFIX_FORMAT), **switches)
+        suffix = format_date(moment, switches.get("date_suffix", DATE_SUFFIX))
+        return cls(index=index, full_name=index + suffix, **switches)
 
     @classmethod
     def from_settings(cls, index: str, settings: Mapping[str, object], at: datetime | None = None) -> IndexDefinition:
         """Reads the switches from settings; only a shifting definition is dated, and only then prunes."""
 
+        def setting(name: str, default=None):
+            return settings.get(SETTING[name], default)
+
         def flag(name: str, default: bool) -> bool:
-            value = settings.get(name, default)
+            value = setting(name, default)
             return value.lower() == "true" if isinstance(value, str) else bool(value)
 
-        name = str(settings.get("name", index))
+        base = str(setting("name", index))
         common = {
-            "mapping": settings.get("mapping"),
+            "mapping": setting("mapping"),
             "enabled": flag("enabled", True),
-            "compaction": flag("forcemerge", True),
+            "compaction": flag("compaction", True),
         }
         if not flag("shift", False):
-            return cls(index=name, full_name=name, **common)
+            return cls(index=base, full_name=base, **common)
         prune = flag("prune", False)
         return cls.dated(
-            name,
+            base,
             at,
             shift=True,
-            close_shifted=flag("closeShifted", False),
+            close_shifted=flag("close_shifted", False),
             prune=prune,
-            pattern=str(settings.get("dateTimePattern", NAME_PATTERN)),
-            delta=int(settings.get("retention.delta", DELTA)) if prune else 0,
-            min_to_keep=int(settings.get("retention.mintokeep", MIN_TO_KEEP)) if prune else 0,
+            date_suffix=str(setting("date_suffix", DATE_SUFFIX)),
+            pattern=str(setting("pattern", NAME_PATTERN)),
+            delta=int(setting("delta", DELTA)) if prune else 0,
+            min_to_keep=int(setting("min_to_keep", MIN_TO_KEEP)) if prune else 0,
             **common,
         )
 

@@ -58,6 +58,12 @@ def prune_index(definition: IndexDefinition | None, catalog: DataFrame) -> tuple
     return planned, retention.retention_result(planned, rules)
 
 
+def route_rows(definition: IndexDefinition, df: DataFrame, timestamp: str) -> DataFrame:
+    """Rows with the dated index of the definition each belongs to; none for a disabled definition."""
+    routed = tables.route(df, definition.index or "", timestamp, definition.date_suffix)
+    return routed if definition.enabled else routed.where(F.lit(False))
+
+
 def index_rows(definition: IndexDefinition, docs: DataFrame) -> DataFrame:
     return docs.where(F.col("index") == definition.full_name)
 

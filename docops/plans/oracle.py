@@ -274,3 +274,6 @@ ORACLE: dict[str, str] = {
         SELECT "index", id, doc_id, n_chars, (SELECT count(*) FROM f) AS total FROM f
         ORDER BY n_chars DESC, doc_id LIMIT 10""",
 }
+
+for _name in ("bulk_apply", "bulk_item_outcome", "bulk_chunk", "bulk_chunk_by_count", "throughput_blocks"):
+    ORACLE[f"{_name}_split"] = ORACLE[_name]

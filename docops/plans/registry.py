@@ -489,15 +489,20 @@ def bulk_report(spark, directory):
     )
 
 
-@_query
-def throughput_blocks(spark, directory):
-    blocks = reports.throughput_blocks(inputs.request_log(spark, directory), "writer", "seq", "took_ms", "bytes", 8)
+def _blocks(spark, directory, hot_rows=None):
+    log = inputs.request_log(spark, directory)
+    blocks = reports.throughput_blocks(log, "writer", "seq", "took_ms", "bytes", 8, hot_rows)
     rounded = ["avg_took", "avg_size", "throughput", "delta", "delta_percent"]
     return blocks.select(
         "writer", "block", "min_took", "max_took", "min_size", "max_size", *[F.round(c, 6).alias(c) for c in rounded]
     )
 
 
+@_query
+def throughput_blocks(spark, directory):
+    return _blocks(spark, directory)
+
+
 @_query
 def search_report(spark, directory):
     return reports.search_report(inputs.query_log(spark, directory))
@@ -544,6 +549,41 @@ def format_duration_words(spark, directory):
     )
 
 
+# The same operators with so low a limit that most keys take the plan for hot keys
+
+SPLIT_ROWS = 60
+
+
+@_query
+def bulk_apply_split(spark, directory):
+    ops = inputs.oplog(spark, directory)
+    return inputs.flat_documents(changelog.apply_changes(ops, hot=changelog.hot_documents(ops, SPLIT_ROWS)))
+
+
+@_query
+def bulk_item_outcome_split(spark, directory):
+    ops = inputs.oplog(spark, directory)
+    judged = changelog.outcomes(ops, hot=changelog.hot_documents(ops, SPLIT_ROWS))
+    return judged.select("seq", "id", "op", "outcome")
+
+
+@_query
+def bulk_chunk_split(spark, directory):
+    requests = inputs.request_log(spark, directory).select("writer", "seq", "bytes")
+    return chunks.chunk(requests, "writer", "seq", "bytes", 5, 10_000, SPLIT_ROWS)
+
+
+@_query
+def bulk_chunk_by_count_split(spark, directory):
+    requests = inputs.request_log(spark, directory).select("writer", "seq")
+    return chunks.chunk_by_count(requests, "writer", "seq", 10, SPLIT_ROWS)
+
+
+@_query
+def throughput_blocks_split(spark, directory):
+    return _blocks(spark, directory, SPLIT_ROWS)
+
+
 @_query
 def matching_page(spark, directory):
     """Page one of the documents whose text contains a word, with the total."""

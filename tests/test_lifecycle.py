@@ -231,3 +231,14 @@ def test_definition_from_settings():
     assert (dated.full_name, dated.close_shifted) == ("a20240304", True)
     assert dated.retention() == retention.Retention("a", "a20240304", 2, 2, True)
     assert not IndexDefinition.dated("a", at).compaction
+    hourly = IndexDefinition.from_settings("a", {"shift": True, "dateTimeFormat": "yyyy.MM.dd.HH"}, at)
+    assert hourly.full_name == "a2024.03.04.00"
+    with pytest.raises(ValueError):
+        IndexDefinition.from_settings("a", {"shift": True, "dateTimeFormat": "EEE"}, at)
+
+
+def test_routing_by_definition(spark):
+    df = spark.sql("select timestamp_ntz'2024-03-04 05:06:07' ts")
+    hourly = IndexDefinition.from_settings("a", {"shift": True, "dateTimeFormat": "yyyyMMddHH"})
+    assert only(lifecycle.route_rows(hourly, df, "ts").select("index")) == {"a2024030405"}
+    assert lifecycle.route_rows(IndexDefinition("a", "a1", enabled=False), df, "ts").count() == 0
