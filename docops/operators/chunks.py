@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -9,12 +10,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from docops.plans.skew import SEGMENT, find_hot_keys, join_summary, number_rows, with_segments
 
+# Tasks receive this module's functions by value: workers need not have the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Default limits of one request (-1 means no limit), volume in bytes.
 MAX_ACTIONS = -1
 MIN_VOLUME = 1024

@@ -1,14 +1,19 @@
 """Hot keys: every operator gives the same rows whether or not keys are split."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docops.operators import changelog, chunks, reports, search
 from docops.plans.skew import OrderedRanges, bounded_rows, checked_broadcast, find_hot_keys, local_frame, number_rows
 
+ENVIRONMENT = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
 OPS = "seq long, index string, id string, op string, source map<string,string>"
 
 
@@ -146,6 +151,20 @@ def test_chunks_equal_greedy(spark, actions, volume, hot_rows):
     )
 
 
+def test_task_functions_load_without_the_package(tmp_path):
+    function = tmp_path / "function.pickle"
+    function.write_bytes(cloudpickle.dumps((chunks._number, chunks._segment_endings, chunks.Limits(3, 6))))
+    code = f"""
+import pickle, sys
+assert "docops" not in sys.modules
+number, endings, limits = pickle.load(open({str(function)!r}, "rb"))
+import numpy
+print(len(endings(numpy.array([4, 4, 4]), limits)), limits.actions)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=ENVIRONMENT, capture_output=True, text=True)
+    assert done.stdout.split() == ["3", "3"], done.stderr
+
+
 def test_segment_endings_by_hand():
     # Sizes 4 4 4 with a limit of 6: the start fill decides which operation closes first.
     rows = chunks._segment_endings(np.array([4, 4, 4]), chunks.Limits(chunks.NO_LIMIT, 6)).to_numpy().tolist()
