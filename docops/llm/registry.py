@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docops.llm import mixing, packing, revisits
+from docops.llm import mixing, packing, revisits, topk
 
-MODULES = (packing, mixing, revisits)
+MODULES = (packing, mixing, revisits, topk)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
