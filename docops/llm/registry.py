@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docops.llm import mixing, packing, quality, revisits, simhash, topk
+from docops.llm import linedup, mixing, packing, quality, revisits, simhash, topk
 
-MODULES = (packing, mixing, revisits, topk, quality, simhash)
+MODULES = (packing, mixing, revisits, topk, quality, simhash, linedup)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
