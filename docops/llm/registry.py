@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docops.llm import divergence, linedup, mixing, packing, quality, revisits, simhash, substrings, topk
+from docops.llm import divergence, linedup, mixing, packing, quality, revisits, secrets, simhash, substrings, topk
 
-MODULES = (packing, mixing, revisits, topk, quality, simhash, linedup, divergence, substrings)
+MODULES = (packing, mixing, revisits, topk, quality, simhash, linedup, divergence, substrings, secrets)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
