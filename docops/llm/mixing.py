@@ -127,7 +127,7 @@ def mix(
         F.sum(F.when(chance > 0, F.col("words"))).alias("_open"),
     )
     need = F.col("target") - F.col("_sure")
-    mean = F.least(F.greatest(need / F.col("_open"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    mean = F.least(F.greatest(F.try_divide(need, F.col("_open")), F.lit(1e-6)), F.lit(1 - 1e-6))
     needs = needs.select("source", need.alias("_need"), F.coalesce(mean, F.lit(0.5)).alias("_mean"))
     needs = needs.withColumnRenamed("target", "_target")
     by_class = checked_broadcast(_by_source(plan, needs)).alias("p")
