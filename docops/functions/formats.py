@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,27 +13,28 @@ SIZE_UNITS = ("B", "kB", "MB", "GB", "TB", "PB", "EB", "ZB", "YB")
 SPEED_UNITS = ("B/s", "kB/s", "MB/s", "GB/s", "TB/s", "PB/s", "EB/s", "ZB/s", "YB/s")
 DOC_SPEED_UNITS = ("dps", "kdps", "Mdps", "Gdps", "Tdps", "Pdps", "Edps", "Zdps", "Ydps")
 UNIT_STEP = 1024
+WORDS = {"d": "day", "H": "hour", "m": "minute", "s": "second"}
 MILLIS_PER = {"d": 86_400_000, "H": 3_600_000, "m": 60_000, "s": 1_000, "S": 1}
 
 
 def _format(value: Column, units: tuple[str, ...], whole: bool) -> Column:
     value = value.cast("long" if whole else "double")
     number = value.cast("double")
-    step, below = F.lit(float(UNIT_STEP)), F.lit(UNIT_STEP - 1.0)
+
+    def scaled(size: Column) -> Column:
+        return (F.floor(number / size * 100) / F.lit(100.0)).cast("string")
+
+    text = F.when(value <= 0, F.lit(None).cast("string"))
+    text = text.when(value < UNIT_STEP, F.concat(value.cast("string"), F.lit(f" {units[0]}")))
     # A value moves to the next unit as soon as it is above step - 1 of the one below.
-    # The logarithm may be off by one at such a bound, which the two comparisons put right.
-    near = F.greatest(F.ceil(F.log2(number / below) / 10), F.lit(1).cast("long"))
-    over = (number > below * F.pow(step, near)).cast("long")
-    under = ((near > 1) & (number <= below * F.pow(step, near - 1))).cast("long")
-    power = near + over - under
-    scaled = F.floor(number / F.pow(step, power) * 100) / F.lit(100.0)
-    names = F.array(*[F.lit(f" {u}") for u in units[1:]], F.lit(""))
-    unit = F.element_at(names, F.least(power, F.lit(len(units)).cast("long")).cast("int"))
-    return (
-        F.when(value <= 0, F.lit(None).cast("string"))
-        .when(value < UNIT_STEP, F.concat(value.cast("string"), F.lit(f" {units[0]}")))
-        .otherwise(F.concat(scaled.cast("string"), unit))
-    )
+    for power, unit in enumerate(units[1:], 1):
+        size = float(UNIT_STEP**power)
+        if whole and size > 2.0**63:
+            break
+        text = text.when(number <= (UNIT_STEP - 1) * size, F.concat(scaled(F.lit(size)), F.lit(f" {unit}")))
+    # Beyond the last unit the number goes on being divided and has no unit.
+    beyond = F.ceil(F.log2(number / (UNIT_STEP - 1.0)) / 10)
+    return text.otherwise(scaled(F.pow(F.lit(float(UNIT_STEP)), beyond)))
 
 
 def fmt_size(value: Column, whole: bool = True) -> Column:
@@ -97,12 +99,21 @@ def fmt_duration_words(millis: Column, suppress_leading: bool, suppress_trailing
 
     Without leading suppression the days are always printed.
     """
-    text = fmt_duration(millis, "d' days 'H' hours 'm' minutes 's' seconds'")
-    if suppress_leading:
-        text = F.regexp_replace(text, "^(0 [a-z]+( |$))+", "")
-    if suppress_trailing:
-        text = F.regexp_replace(text, "( 0 [a-z]+)+$", "")
-    return F.regexp_replace(text, "(?<![-0-9])1 ([a-z]+)s", "1 $1")
+    whole, above, amounts = millis.cast("long"), None, []
+    for unit in WORDS:
+        amounts.append(_parts_of(whole, MILLIS_PER[unit], above))
+        above = MILLIS_PER[unit]
+
+    def any_of(columns: list[Column]) -> Column:
+        return reduce(lambda a, b: a | b, [c != 0 for c in columns])
+
+    shown = []
+    for at, (amount, word) in enumerate(zip(amounts, WORDS.values())):
+        begun = any_of(amounts[: at + 1]) if suppress_leading else F.lit(True)
+        more = any_of(amounts[at:]) if suppress_trailing and (suppress_leading or at) else F.lit(True)
+        name = F.when(amount == 1, f" {word}").otherwise(f" {word}s")
+        shown.append(F.when(begun & more, F.concat(amount.cast("string"), name)))
+    return F.when(whole.isNotNull(), F.concat_ws(" ", *shown))
 
 
 def _parts_of(millis: Column, size: int, above: int | None = None) -> Column:

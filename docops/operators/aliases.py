@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docops.functions.names import NAME_PATTERN, base_of
-from docops.operators.catalog import CLOSE, with_state
-from docops.plans.skew import bounded_rows, checked_broadcast
+from docops.operators.catalog import CLOSE, keep_indices, with_state
+from docops.plans.skew import checked_broadcast
 
 ALIAS_ROW = ["alias", "index", "filter_field", "filter_value"]
 MOVED, NEW = "moved", "new"
 
-# Up to this many rows of one alias become a filter of the scan; more are joined.
-LISTED_ROWS = 1_000
-
 AliasAdder = Callable[[Column, Column], tuple[Column, Column]]
 
 
@@ -113,31 +109,36 @@ def close_shifted(catalog: DataFrame, aliases: DataFrame, base: str, full: str)
     return with_state(catalog, behind.select("index"), CLOSE)
 
 
-def passes_filter(fields: Sequence[str]) -> Column:
-    """True where the row passes the filter of its alias row, over the given filterable fields."""
-    checks = [
-        (F.col("filter_field") == name) & (F.col(name).cast("string") == F.col("filter_value")) for name in fields
-    ]
-    return F.col("filter_field").isNull() | reduce(lambda a, b: a | b, checks, F.lit(False))
-
-
 def scan_aliases(docs: DataFrame, aliases: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Rows visible through each alias, with the alias added."""
-    return docs.join(checked_broadcast(aliases.select(*ALIAS_ROW)), "index").where(passes_filter(fields))
+    """Rows visible through each alias, with the alias added: one row for each document and alias.
+
+    A filter compares in the type of its field; one on a field not among ``fields`` matches
+    nothing. Filtered aliases are found by equality of index and value, one field after
+    the other, so an index with very many filtered aliases makes no pairs.
+    """
+    rows = aliases.select(*ALIAS_ROW).distinct()
+    everything = rows.where(F.col("filter_field").isNull()).select("alias", "index").distinct()
+    seen = docs.join(checked_broadcast(everything), "index")
+    # An alias that shows the whole index needs none of its filters.
+    filtered = rows.where(F.col("filter_field").isNotNull()).join(everything, ["alias", "index"], "left_anti")
+    sides: list[tuple[str, DataFrame]] = []
+    for name in fields:
+        wanted = F.col("filter_value").try_cast(docs.schema[name].dataType).alias("_value")
+        side = filtered.where(F.col("filter_field") == name).select("alias", "index", wanted).distinct()
+        part = docs.withColumn("_value", F.col(name)).join(checked_broadcast(side), ["index", "_value"])
+        for earlier, shown in sides:  # rows that another filter of the alias has shown already
+            part = part.withColumn("_value", F.col(earlier)).join(shown, ["alias", "index", "_value"], "left_anti")
+        sides.append((name, side))
+        seen = seen.unionByName(part.drop("_value"))
+    return seen
 
 
 def scan_alias(docs: DataFrame, aliases: DataFrame, alias: str) -> DataFrame:
-    """Rows visible through one alias: its indices and filters become a filter of the scan itself."""
-    rows = bounded_rows(aliases.where(F.col("alias") == alias).select(*ALIAS_ROW), LISTED_ROWS)
-    if rows is None:
-        fields = [f for f in docs.columns if f != "index"]
-        seen = scan_aliases(docs, aliases.where(F.col("alias") == alias), fields)
-        return seen.select(*docs.columns)
-    open_names = [r["index"] for r in rows if r["filter_field"] is None]
-    visible = F.col("index").isin(open_names) if open_names else F.lit(False)
-    for row in rows:
-        if row["filter_field"] is not None:
-            field = F.col(row["filter_field"])
-            wanted = F.lit(row["filter_value"]).try_cast(docs.schema[row["filter_field"]].dataType)
-            visible = visible | ((F.col("index") == row["index"]) & (field == wanted))
-    return docs.where(visible)
+    """Rows visible through one alias, by the rules of ``scan_aliases``; other indices are pruned."""
+    rows = aliases.where(F.col("alias") == alias).select(*ALIAS_ROW)
+    named = rows.select("filter_field").distinct()
+    fields = [f for f in docs.columns if f not in ("index", "alias")]
+    used = {r["filter_field"] for r in named.where(F.col("filter_field").isin(fields)).collect()}
+    scoped = keep_indices(docs.drop("alias"), rows)
+    seen = scan_aliases(scoped, rows, [f for f in fields if f in used])
+    return seen.select(*[c for c in docs.columns if c != "alias"])

@@ -73,23 +73,25 @@ def scan_open(docs: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def keep_indices(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows whose index is among ``names``."""
-    rows = bounded_rows(names.select("index").distinct(), PRUNING_NAMES)
+    """Rows whose index is among ``names``; a null name or index matches nothing."""
+    known = names.where(F.col("index").isNotNull()).select("index").distinct()
+    rows = bounded_rows(known, PRUNING_NAMES)
     if rows is not None:
         return docs.where(F.col("index").isin([row["index"] for row in rows]))
-    return docs.join(checked_broadcast(names.select("index").distinct()), "index", "left_semi")
+    return docs.join(checked_broadcast(known), "index", "left_semi")
 
 
 def drop_indices(docs: DataFrame, names: DataFrame | Sequence[str]) -> DataFrame:
-    """Rows of all other indices; a name that does not exist is skipped."""
+    """Rows of all other indices; null names and names that do not exist are skipped."""
     if isinstance(names, DataFrame):
-        rows = bounded_rows(names.select("index").distinct(), PRUNING_NAMES)
+        known = names.where(F.col("index").isNotNull()).select("index").distinct()
+        rows = bounded_rows(known, PRUNING_NAMES)
         listed = None if rows is None else [row["index"] for row in rows]
     else:
-        listed = list(names)
+        listed = [name for name in names if name is not None]
     if listed is not None:
         return docs.where(F.col("index").isNull() | ~F.col("index").isin(listed))
-    return docs.join(checked_broadcast(names.select("index").distinct()), "index", "left_anti")
+    return docs.join(checked_broadcast(known), "index", "left_anti")
 
 
 def purge_closed(docs: DataFrame, catalog: DataFrame, created_before: Column | None = None) -> DataFrame:

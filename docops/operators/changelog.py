@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 from docops.plans.skew import (
     SEGMENT,
     HotKeys,
-    bounded_rows,
     checked_broadcast,
     find_hot_keys,
     join_summary,
-    local_frame,
     with_segments,
 )
 
@@ -48,12 +46,9 @@ def snapshot_operations(documents: DataFrame) -> DataFrame:
     )
 
 
-def _named(ops: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The documents the log names, and the others; without others when the log names too many keys."""
-    rows = bounded_rows(ops.select(*KEY).distinct())
-    if rows is None:
-        return snapshot, None
-    keys = F.broadcast(local_frame(ops.sparkSession, rows, ops.select(*KEY).schema))
+def _named(ops: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents the log names, and the others, however many keys it names."""
+    keys = checked_broadcast(ops.select(*KEY).distinct())
     return snapshot.join(keys, KEY, "left_semi"), snapshot.join(keys, KEY, "left_anti")
 
 
@@ -191,7 +186,7 @@ def apply_changes(
 
     One shuffle on the key serves the barrier, the field merge and the assembly of
     the document. Hot keys skip the window and merge through partial aggregates.
-    Documents of the snapshot that a short log does not name are passed on as they
+    Documents of the snapshot that the log does not name are passed on as they
     are, with ``last_seq`` -1. With ``keep_deleted`` keys that end without a document
     stay as rows with ``deleted`` true and an empty source.
     """
@@ -200,8 +195,6 @@ def apply_changes(
         return _fold(ops, keep_deleted, hot)
     named, others = _named(ops, snapshot)
     folded = _fold(snapshot_operations(named).unionByName(ops), keep_deleted, hot)
-    if others is None:
-        return folded
     constants = {"last_seq": F.lit(SNAPSHOT_SEQ).cast("long"), "deleted": F.lit(False)}
     return folded.unionByName(others.withColumns(constants).select(*folded.columns))
 

@@ -44,7 +44,7 @@ def _policies(spark: SparkSession, rules: list[Retention], pattern: str) -> Data
 
 
 def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NAME_PATTERN) -> DataFrame:
-    """Candidates of every rule with their fate: ``base, index, action``.
+    """Candidates with their fate: ``base, index, action``; one that any rule deletes is deleted.
 
     Candidates are open indices of the base other than the current one. In text
     order they are deleted while far enough behind and while at least
@@ -61,7 +61,7 @@ def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NA
     )
     behind = (F.col("delta") == 0) | ((F.col("delta") > 0) & (F.col("current") - F.col("number") >= F.col("delta")))
     eligible = F.coalesce(behind, F.lit(False)) & F.col("current").isNotNull()
-    of_base = Window.partitionBy("base")
+    of_base = Window.partitionBy("base", "full")  # a rule; two rules on one base do not mix
     ranked = (
         candidates.withColumn("_eligible", eligible)
         .withColumn("_n", F.count("*").over(of_base))
@@ -69,11 +69,12 @@ def plan_retention(catalog: DataFrame, rules: list[Retention], pattern: str = NA
     )
     spared = (F.col("min_to_keep") > 0) & (F.col("_n") <= F.col("min_to_keep"))
     deleted = F.col("_eligible") & ~spared & (F.col("_rank") <= F.col("_n") - F.col("min_to_keep") + 1)
-    return ranked.select("base", "index", F.when(deleted, DROP).otherwise(KEEP).alias("action"))
+    fate = F.when(F.bool_or(deleted), DROP).otherwise(KEEP)
+    return ranked.groupBy("base", "index").agg(fate.alias("action"))
 
 
 def retention_result(planned: DataFrame, rules: list[Retention]) -> DataFrame:
-    """Per rule: NONE without candidates, else SUCCESS, with the numbers of candidates and deletions."""
+    """Per base: NONE without candidates, else SUCCESS, with the numbers of candidates and deletions."""
     spark = planned.sparkSession
     bases = local_frame(spark, [(r.base,) for r in rules], "base string").distinct()
     counts = planned.groupBy("base").agg(

@@ -70,16 +70,25 @@ def searchable_count(docs: DataFrame, index: str, enabled: bool = True) -> DataF
     return docs.where(F.col("index") == index).agg(F.count("*").alias("docs"))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; maps by their JSON text."""
+    return F.xxhash64(*[F.to_json(c) if "map<" in kind else F.col(c) for c, kind in df.dtypes])
+
+
 def page(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
     """``size`` rows from position ``start``; ``order`` names columns, ``-name`` for descending.
 
     A page near the front is a distributed top-k. A page further in is cut out of
-    ordered ranges, of which only those that hold the page are sorted.
+    ordered ranges, of which only those that hold the page are sorted. Rows that tie
+    in ``order`` follow each other by a hash of the whole row, so pages never overlap
+    and an order with few values is cut into ranges too.
     """
+    tied = df.withColumn("_tie", row_hash(df))
+    order = [*order, "_tie"]
     if start + size <= TOP_ROWS:
-        return df.orderBy(*order_columns(order)).offset(start).limit(size)
-    rows = OrderedRanges(df, order).rows_between(start, start + size, "_position")
-    return rows.orderBy("_position").drop("_position")
+        return tied.orderBy(*order_columns(order)).offset(start).limit(size).drop("_tie")
+    rows = OrderedRanges(tied, order).rows_between(start, start + size, "_position")
+    return rows.orderBy("_position").drop("_position", "_tie")
 
 
 def page_with_total(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
@@ -122,12 +131,9 @@ def scroll(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     return numbered.withColumn("page", page_number).drop("_position")
 
 
-def scroll_requests(df: DataFrame, size: int) -> DataFrame:
-    """What a scroll of ``df`` costs: hits, pages with hits, and requests with the final empty one."""
-    pages = F.ceil(F.col("hits") / F.lit(size)).cast("long")
-    return df.agg(F.count("*").alias("hits")).select(
-        "hits",
-        pages.alias("pages"),
-        (pages + 1).alias("requests"),
-        F.lit(1).cast("long").alias("empty_requests"),
+def scroll_requests(scrolled: DataFrame) -> DataFrame:
+    """What a scroll took, from its rows: hits, pages with hits, and requests with the final empty one."""
+    pages = scrolled.groupBy("page").agg(F.count("*").alias("n"))
+    return pages.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hits"), F.count("*").alias("pages")).select(
+        "hits", "pages", (F.col("pages") + 1).alias("requests"), F.lit(1).cast("long").alias("empty_requests")
     )

@@ -60,11 +60,12 @@ def oplog(spark: SparkSession, directory: str) -> DataFrame:
     return to_operations(load_table(spark, directory, "events"))
 
 
-def flat_documents(documents: DataFrame) -> DataFrame:
+def flat_documents(documents: DataFrame, *more: str) -> DataFrame:
     """Documents of the change log with their two fields as columns."""
     return documents.select(
         "index",
         "id",
+        *more,
         *[c for c in ("last_seq", "seq") if c in documents.columns],
         F.try_element_at("source", F.lit("value")).cast("double").alias("value"),
         F.try_element_at("source", F.lit("k")).cast("long").alias("k"),

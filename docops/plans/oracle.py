@@ -120,6 +120,8 @@ ORACLE: dict[str, str] = {
         (row_number() OVER (ORDER BY doc_id) - 1) // 79 AS page FROM docs""",
     "scroll_stats": """SELECT count(*) AS hits, CAST(ceil(count(*) / 79.0) AS BIGINT) AS pages,
         CAST(ceil(count(*) / 79.0) AS BIGINT) + 1 AS requests, CAST(1 AS BIGINT) AS empty_requests FROM documents""",
+    "compact_index": f"""WITH {EVENTS} SELECT "index", count(*) AS docs, CAST(1 AS BIGINT) AS files FROM ev
+        WHERE "index" = 'events20240130' GROUP BY 1""",
     "get_ids": "SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE lang = 'fr'",
     "doc_get": f"""WITH {DOCS} SELECT "index", id, text, CAST(-1 AS FLOAT) AS score FROM docs
         WHERE "index" = 'documents_en' AND id = '1'""",
@@ -154,19 +156,15 @@ ORACLE: dict[str, str] = {
         FROM orders WHERE o_orderstatus = 'F'""",
     "search_deep_page": """SELECT l_extendedprice, l_orderkey, l_linenumber FROM lineitem
         ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 25 OFFSET 55000""",
+    "search_deep_page_ties": """SELECT l_quantity FROM lineitem ORDER BY l_quantity DESC LIMIT 40 OFFSET 30000""",
     "bulk_index_last_wins": f"""WITH {OPS} SELECT "index", id, max(seq) AS seq, arg_max(value, seq) AS value,
         arg_max(k, seq) AS k FROM ops WHERE op = 'index' GROUP BY 1, 2""",
     "bulk_create_if_absent": f"""WITH {JUDGED} SELECT seq, "index", id FROM judged
         WHERE op = 'create' AND outcome = 'ok'""",
-    "bulk_partial_update": f"""WITH {OPS}, b AS (SELECT id, max(seq) FILTER (WHERE op = 'index') AS bar,
-          max(seq) AS last_seq FROM ops WHERE op IN ('index', 'update') GROUP BY id)
-        SELECT 'users' AS "index", b.id, any_value(b.last_seq) AS last_seq,
-          arg_max(o.value, o.seq) FILTER (WHERE has_value) AS value, arg_max(o.k, o.seq) FILTER (WHERE has_k) AS k
-        FROM b JOIN ops o ON o.id = b.id AND o.seq >= b.bar AND o.op IN ('index', 'update') GROUP BY b.id""",
-    "bulk_delete": f"""WITH {OPS}, l AS (SELECT id, max(seq) AS last_seq FROM ops
-          WHERE op IN ('index', 'delete') GROUP BY id)
-        SELECT o."index", o.id, l.last_seq, o.value, o.k FROM l JOIN ops o ON o.seq = l.last_seq
-        WHERE o.op = 'index'""",
+    "bulk_partial_update": f"""WITH {APPLIED} SELECT * FROM applied
+        WHERE id IN (SELECT id FROM ops WHERE op = 'update')""",
+    "bulk_delete": f"""WITH {APPLIED} SELECT 'users' AS "index", b.id, a.id IS NULL AS deleted, b.last_seq, a.value, a.k
+        FROM bars b LEFT JOIN applied a ON a.id = b.id WHERE b.id IN (SELECT id FROM ops WHERE op = 'delete')""",
     "delete_by_id": f"""WITH {LABELLED} SELECT "index", id FROM ld WHERE toxic IS DISTINCT FROM 1""",
     "bulk_apply": f"""WITH {APPLIED} SELECT * FROM applied""",
     "bulk_item_outcome": f"""WITH {JUDGED} SELECT seq, id, op, outcome FROM judged""",
@@ -211,6 +209,8 @@ ORACLE: dict[str, str] = {
         ELSE 'CLOSE' END AS state FROM cat""",
     "filtered_alias_scan": f"""WITH {ALIASES} SELECT a.alias, e."index", e.event_id FROM ev e
         JOIN al a ON a."index" = e."index" WHERE a.filter_field IS NULL OR e.event_type = a.filter_value""",
+    "alias_scan_one": f"""WITH {EVENTS} SELECT "index", event_id FROM ev WHERE event_type = 'click'
+        AND "index" = (SELECT max("index") FROM ev)""",
     "prune_index": f"""WITH {RETAIN} SELECT base, "index", action FROM fate""",
     "prune_result": f"""WITH {RETAIN} SELECT base, 'SUCCESS' AS state, count(*) AS candidates,
           count(*) FILTER (WHERE action = 'delete') AS deleted FROM fate GROUP BY base

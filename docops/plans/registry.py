@@ -107,7 +107,7 @@ def scroll_pages(spark, directory):
 
 @_query
 def scroll_stats(spark, directory):
-    return search.scroll_requests(inputs.docs(spark, directory).select("id"), 79)
+    return search.scroll_requests(scroll_pages(spark, directory))
 
 
 @_query
@@ -232,6 +232,13 @@ def search_empty_page(spark, directory):
     return search.page_summary(orders, 1_000_000_000, 10)
 
 
+@_query
+def search_deep_page_ties(spark, directory):
+    """A deep page in an order with few values; the keys shown are those of the order alone."""
+    lineitem = tables.load_table(spark, directory, "lineitem")
+    return search.page(lineitem, ["-l_quantity"], 30_000, 40).select("l_quantity")
+
+
 @_query
 def search_deep_page(spark, directory):
     lineitem = tables.load_table(spark, directory, "lineitem")
@@ -254,14 +261,19 @@ def bulk_create_if_absent(spark, directory):
 
 @_query
 def bulk_partial_update(spark, directory):
-    ops = inputs.oplog(spark, directory).where(F.col("op").isin(changelog.INDEX, changelog.UPDATE))
-    return inputs.flat_documents(changelog.apply_changes(ops))
+    """The documents after the whole log that it updated at any time."""
+    ops = inputs.oplog(spark, directory)
+    updated = ops.where(F.col("op") == changelog.UPDATE).select(*changelog.KEY).distinct()
+    return inputs.flat_documents(changelog.apply_changes(ops).join(updated, changelog.KEY, "left_semi"))
 
 
 @_query
 def bulk_delete(spark, directory):
-    ops = inputs.oplog(spark, directory).where(F.col("op").isin(changelog.INDEX, changelog.DELETE))
-    return inputs.flat_documents(changelog.apply_changes(ops))
+    """What the whole log leaves of every document that it deleted at any time."""
+    ops = inputs.oplog(spark, directory)
+    gone = ops.where(F.col("op") == changelog.DELETE).select(*changelog.KEY).distinct()
+    left = changelog.apply_changes(ops, keep_deleted=True).join(gone, changelog.KEY, "left_semi")
+    return inputs.flat_documents(left, "deleted")
 
 
 @_query
@@ -395,6 +407,13 @@ def filtered_alias_scan(spark, directory):
     return seen.select("alias", "index", "event_id")
 
 
+@_query
+def alias_scan_one(spark, directory):
+    rows = inputs.dated_events(spark, directory)
+    seen = aliases.scan_alias(rows, inputs.event_aliases(spark, directory), "events_click")
+    return seen.select("index", "event_id")
+
+
 def _retention(spark, directory):
     known = inputs.catalog(spark, directory).select("index", "state")
     return retention.plan_retention(
@@ -456,11 +475,8 @@ def observed_fields(spark, directory):
 def _stream(spark, directory):
     """The event table as a file stream, drained into a new snapshot."""
     schema = tables.load_table(spark, directory, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(directory)
-    )
+    # The glob matches the table whether it is one file or a directory of files.
+    events = spark.readStream.schema(schema).parquet(f"{directory}/events.parque[t]")
     ingest = BulkIngest(spark, scratch_path(spark, "stream"), buckets=8, fail_on_error=False)
     ingest.start(inputs.to_operations(events), drain=True).awaitTermination()
     return ingest

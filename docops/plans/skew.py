@@ -21,6 +21,9 @@ from pyspark.sql.types import StructType, TimestampType
 
 BROADCAST_ROWS = 200_000
 HOT_ROWS = 1_000_000
+# However few partitions there are, a key or a range with more rows than this is cut.
+MOST_HOT_ROWS = 16_000_000
+RANGE_ROWS = 2_000_000
 SEGMENT = "_segment"
 MAX_SEGMENTS = 10_000
 
@@ -91,7 +94,7 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = Non
         .collect()
     )
     if hot_rows is None:
-        hot_rows = max(HOT_ROWS, sum(row["n"] for row in found) // max(parts, 1))
+        hot_rows = min(max(HOT_ROWS, sum(row["n"] for row in found) // max(parts, 1)), MOST_HOT_ROWS)
     hashes = tuple(item["item"] for row in found for item in row["top"] if item["count"] > hot_rows)
     return HotKeys(tuple(keys), hashes)
 
@@ -106,14 +109,15 @@ def _order_names(order: Sequence[str]) -> list[str]:
 
 
 def order_bounds(df: DataFrame, order: Sequence[str], parts: int) -> list[tuple]:
-    """At most ``parts - 1`` ascending cut points that split ``order`` evenly.
+    """Ascending cut points that split ``order`` evenly: ``parts - 1``, or more where a
+    range would have more than ``RANGE_ROWS`` rows.
 
     The cut points are quantiles of a sample by hash, some sixteen values per part
     whatever the size of the frame; a retry or a second pass finds the same sample.
     """
     names = _order_names(order)
-    parts = min(parts, MAX_SEGMENTS)
     rows = df.count()
+    parts = min(max(parts, rows // RANGE_ROWS), MAX_SEGMENTS)
     scale = 1 << 40
     share = min(scale, scale * parts * 16 // max(rows, 1) + 1)
     chosen = F.pmod(F.xxhash64(*names), F.lit(scale)) < share

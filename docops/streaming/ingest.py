@@ -17,7 +17,7 @@ from docops.operators.changelog import (
     hot_documents,
     outcomes,
 )
-from docops.plans.skew import bounded_rows, join_summary, local_frame
+from docops.plans.skew import checked_broadcast, join_summary, local_frame
 from docops.streaming.snapshot import BUCKETS, Snapshot
 
 # Time between flushes, and the outcome of an operation that came too late.
@@ -63,12 +63,8 @@ class BulkIngest:
             self._known = (batch, self.snapshot.manifest(below=version))
         before = self._known[1]
         keys = ops.select(self.snapshot.bucket().alias("bucket"), *KEY).distinct()
-        listed = bounded_rows(keys)
-        if listed is None:
-            touched = set(range(self.snapshot.buckets))
-        else:
-            touched = {row["bucket"] for row in listed}
-            keys = F.broadcast(local_frame(self.spark, listed, keys.schema))
+        touched = {row["bucket"] for row in keys.select("bucket").distinct().collect()}  # one row for each bucket
+        keys = checked_broadcast(keys)
         stored = self.snapshot.stored(before, touched)
         # Keys the flush does not name are carried over; only the named ones are merged.
         untouched = stored.join(keys, ["bucket", *KEY], "left_anti")

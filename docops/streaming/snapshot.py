@@ -35,8 +35,10 @@ class Snapshot:
         """Bucket to data version, of the newest version (below ``below``). At most one row per bucket."""
         try:
             rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
-        except AnalysisException:
-            return {}
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}  # nothing was flushed yet
         if below is not None:
             rows = rows.where(F.col("version") < below)
         newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar())

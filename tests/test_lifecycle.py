@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docops.definitions import IndexDefinition
 from docops.operators import aliases, catalog, lifecycle, profile, retention
+from docops.plans import skew
 
 ALIAS = "alias string, index string, filter_field string, filter_value string"
 STATE = "index string, state string"
@@ -92,9 +93,10 @@ def test_alias_lookup(spark):
     assert as_set(aliases.aliases_of(rows, "other")) == {("test", "f", "v")}
 
 
-@pytest.mark.parametrize("listed", [1_000, 1])
-def test_alias_scan_applies_each_filter(spark, monkeypatch, listed):
-    monkeypatch.setattr(aliases, "LISTED_ROWS", listed)
+@pytest.mark.parametrize("bound", [200_000, 1])
+def test_alias_scan_applies_each_filter(spark, monkeypatch, bound):
+    """The same rows whether the sides are broadcast or joined by shuffle."""
+    monkeypatch.setattr(skew.checked_broadcast, "__defaults__", (bound,))
     docs = spark.createDataFrame([("i1", 1, "x"), ("i1", 2, "y"), ("i2", 3, "y"), ("i3", 4, "y")],
                                  "index string, n int, kind string")
     rows = table(spark, ("all", "i1", None, None), ("all", "i2", None, None), ("some", "i1", "kind", "y"),
@@ -106,6 +108,34 @@ def test_alias_scan_applies_each_filter(spark, monkeypatch, listed):
     assert aliases.scan_alias(docs, rows, "unknown").count() == 0
 
 
+def test_alias_scan_shows_a_document_once_and_compares_in_the_type_of_the_field(spark):
+    docs = spark.createDataFrame([("i1", 1, 1.0), ("i1", 2, 2.5), (None, 3, 1.0)], "index string, n int, v double")
+    rows = table(spark, ("a", "i1", "n", "1"), ("a", "i1", "v", "1"), ("a", "i1", "n", "1"), ("b", "i1", None, None),
+                 ("b", "i1", "n", "2"), ("c", "i1", "v", "none"), ("c", "i1", "v", None), ("d", None, None, None))
+    seen = [tuple(r) for r in aliases.scan_aliases(docs, rows, ["n", "v"]).select("alias", "n").collect()]
+    assert sorted(seen) == [("a", 1), ("b", 1), ("b", 2)]
+    assert [r["n"] for r in aliases.scan_alias(docs, rows, "a").collect()] == [1]
+
+
+def test_null_names_drop_and_keep_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([("j", 1), ("k", 2), (None, 3)], "index string, n int")
+    names = spark.createDataFrame([("j",), (None,)], "index string")
+    for bound in (10_000, 0):
+        monkeypatch.setattr(catalog, "PRUNING_NAMES", bound)
+        assert only(catalog.drop_indices(docs, names).select("n")) == {2, 3}
+        assert only(catalog.keep_indices(docs, names).select("n")) == {1}
+    assert only(catalog.drop_indices(docs, ["j", None]).select("n")) == {2, 3}
+
+
+def test_two_rules_on_one_base_do_not_mix(spark):
+    known = spark.createDataFrame([(f"b{n}", "OPEN") for n in range(1, 7)], STATE)
+    one = [retention.Retention("b", "b6", 3, 2)]
+    other = [retention.Retention("b", "b5", 100, 1)]
+    alone = as_set(retention.plan_retention(known, one).where("action = 'delete'").select("index"))
+    both = as_set(retention.plan_retention(known, one + other).where("action = 'delete'").select("index"))
+    assert alone == both and as_set(retention.plan_retention(known, other).where("action = 'delete'")) == set()
+
+
 def prune_loop(names, rule):
     """Retention, one candidate after the other."""
     if not rule.applies():

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from docops.plans.oracle import ORACLE
+from docops.plans.registry import registered
 from tests.compare import connect, spark_rows, sql_rows
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -13,14 +15,14 @@ def connection():
     return connect(DIRECTORY)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, connection, name):
     df = entry_point.queries()[name](spark, DIRECTORY)
-    assert spark_rows(df) == sql_rows(connection, entry_point.oracle_sql()[name])
+    assert spark_rows(df) == sql_rows(connection, ORACLE[name])
 
 
-def test_only_the_file_report_has_no_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {"compact_index"}
+def test_every_query_has_sql():
+    assert set(registered()) == set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
