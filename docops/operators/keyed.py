@@ -19,9 +19,15 @@ def with_document_key(df: DataFrame, index: Column, id_column: str) -> DataFrame
     return df.select(index.alias("index"), F.col(id_column).cast("string").alias("id"), "*")
 
 
-def get(docs: DataFrame, index: str, doc_id: str) -> DataFrame:
-    """The document under (index, id): one row or none, score -1."""
+def get(docs: DataFrame, index: str, doc_id: str, stored: str | None = None) -> DataFrame:
+    """The document under (index, id): one row or none, score -1.
+
+    ``stored`` names the column the text id was made from; comparing it in its own type
+    as well lets the scan skip files and row groups.
+    """
     wanted = (F.col("index") == index) & (F.col("id") == doc_id)
+    if stored is not None:
+        wanted = wanted & (F.col(stored) == F.lit(doc_id).try_cast(docs.schema[stored].dataType))
     return docs.where(wanted).withColumn("score", F.lit(KEYED_SCORE).cast("float"))
 
 

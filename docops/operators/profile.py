@@ -6,10 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from docops.functions.mapping import typed_paths
 from docops.functions.names import utc_millis
-from docops.operators.search import field_exists
 
 # Newest-document answers without a document and without a value.
 NO_DOCUMENT = -1
@@ -34,28 +34,53 @@ def most_recent_by_index(docs: DataFrame, timestamp: str) -> DataFrame:
     return docs.groupBy("index").agg(F.coalesce(newest, F.lit(NO_VALUE).cast("long")).alias("millis"))
 
 
-def _present(docs: DataFrame, path: str) -> Column | None:
-    """Whether a row has the field at a dotted path; None when the frame has no such field."""
-    name, _, rest = path.partition(".")
-    if name not in docs.columns:
-        return None
-    if not rest:
-        return field_exists(docs, name)
-    dtype = docs.schema[name].dataType
-    for part in rest.split("."):
-        if not hasattr(dtype, "names") or part not in dtype.names:
-            return None
-        dtype = dtype[part].dataType
-    return F.col(path).isNotNull()
-
+def _has(value: Column, dtype: DataType, parts: list[str]) -> Column | None:
+    """Whether ``value`` has a field below it; None when its type has no such field.
 
-def field_coverage(docs: DataFrame, mapping: str | dict) -> DataFrame:
+    An array has a field if one of its elements has it. Maps hold dotted leaf fields; one
+    that is an object is there if any leaf below it is.
+    """
+    if isinstance(dtype, ArrayType):
+        found = _has(F.lit(None), dtype.elementType, parts)
+        if found is None:
+            return None
+        return F.coalesce(F.exists(value, lambda item: _has(item, dtype.elementType, parts)), F.lit(False))
+    if not parts:
+        return value.isNotNull()
+    if isinstance(dtype, StructType):
+        if parts[0] not in dtype.names:
+            return None
+        return _has(value[parts[0]], dtype[parts[0]].dataType, parts[1:])
+    if isinstance(dtype, MapType):
+        path = ".".join(parts)
+        leaf = F.exists(
+            F.map_entries(value),
+            lambda e: e["value"].isNotNull() & ((e["key"] == path) | e["key"].startswith(f"{path}.")),
+        )
+        return F.coalesce(leaf, F.lit(False))
+    raise ValueError(f"no field {'.'.join(parts)} can be read from a value of type {dtype.simpleString()}")
+
+
+def field_coverage(docs: DataFrame, mapping: str | dict, within: str | None = None) -> DataFrame:
     """Documents per mapped field: ``path, docs, percent``, least used first.
 
-    All fields are counted in one pass. An empty index reports nothing.
+    Fields are columns of ``docs``, or parts of the column ``within``: a struct, a map of
+    dotted leaf fields, or an array of either. A mapped field that the documents do not
+    know counts 0; one below a plain value raises, as it could not be counted. All fields
+    are counted in one pass. An empty index reports nothing.
     """
     paths = typed_paths(mapping)
-    present: Mapping[str, Column | None] = {p: _present(docs, p) for p in paths}
+    schema = docs.schema if within is None else docs.schema[within].dataType
+
+    def seen_at(path: str) -> Column | None:
+        parts = path.split(".")
+        if within is not None:
+            return _has(F.col(within), schema, parts)
+        if parts[0] not in docs.columns:
+            return None
+        return _has(F.col(parts[0]), schema[parts[0]].dataType, parts[1:])
+
+    present: Mapping[str, Column | None] = {p: seen_at(p) for p in paths}
     counts = [
         (F.count_if(seen) if seen is not None else F.lit(0).cast("long")).alias(f"c{i}")
         for i, seen in enumerate(present.values())

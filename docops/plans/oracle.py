@@ -103,6 +103,13 @@ def _chunks(full: str) -> str:
 ORACLE: dict[str, str] = {
     "ingest_json_source": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
         json_extract_string(props, '$.k') AS dynamic_k FROM events""",
+    "ingest_rejected": """SELECT event_id, CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0
+        THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k, event_id % 5 = 0 OR event_id % 7 = 0 AS rejected
+        FROM events""",
+    "field_coverage_documents": f"""WITH {APPLIED}, c AS (SELECT count(*) AS n, count(value) AS v, count(k) AS k FROM applied),
+        p AS (SELECT 'value' AS path, v AS docs, n FROM c UNION ALL SELECT 'k', k, n FROM c
+          UNION ALL SELECT 'author', 0, n FROM c)
+        SELECT path, docs, round(docs * 100.0 / CAST(n AS DOUBLE), 6) AS percent FROM p""",
     "rollover_route": f"""WITH {EVENTS} SELECT event_id, "index" FROM ev""",
     "bulk_ndjson_export": f"""WITH {OPS}, src AS (SELECT *, '{{' || concat_ws(',',
           CASE WHEN has_value THEN '"value":"' || CAST(value AS VARCHAR) || '"' END,

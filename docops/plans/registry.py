@@ -66,6 +66,27 @@ def ingest_json_source(spark, directory):
     )
 
 
+@_query
+def ingest_rejected(spark, directory):
+    """Event properties of which every fifth is cut short and every seventh has a wrong type."""
+    broken = (
+        F.when(F.col("event_id") % 5 == 0, F.expr("left(props, length(props) - 1)"))
+        .when(F.col("event_id") % 7 == 0, '{"k":"x"}')
+        .otherwise(F.col("props"))
+    )
+    events = tables.load_table(spark, directory, "events").select("event_id", broken.alias("props"))
+    typed = json_ingest.ingest_json(events, "props", PROPS_MAPPING, rejected="rejected")
+    return typed.select("event_id", F.when(~F.col("rejected"), F.col("doc.k")).alias("k"), "rejected")
+
+
+@_query
+def field_coverage_documents(spark, directory):
+    """Coverage of the documents that the change log leaves, in the map they are stored in."""
+    mapping = {"properties": {n: {"type": "keyword"} for n in ("value", "k", "author")}}
+    found = profile.field_coverage(changelog.apply_changes(inputs.oplog(spark, directory)), mapping, within="source")
+    return found.withColumn("percent", F.round("percent", 6))
+
+
 @_query
 def rollover_route(spark, directory):
     return inputs.dated_events(spark, directory).select("event_id", "index")
@@ -128,7 +149,7 @@ def compact_index(spark, directory):
 
 @_query
 def doc_get(spark, directory):
-    return keyed.get(inputs.docs(spark, directory), "documents_en", "1").select("index", "id", "text", "score")
+    return keyed.get(inputs.docs(spark, directory), "documents_en", "1", stored="doc_id").select("index", "id", "text", "score")
 
 
 @_query

@@ -2,19 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from docops.functions.mapping import load_mapping, mapping_schema
+from docops.functions.mapping import FIELD_TYPES, load_mapping, mapping_schema
 
 
-def ingest_json(df: DataFrame, column: str, mapping: str | dict | None = None) -> DataFrame:
+_BROKEN = "_broken"
+
+
+def ingest_json(
+    df: DataFrame, column: str, mapping: str | dict | None = None, rejected: str | None = None
+) -> DataFrame:
     """Adds ``doc``: a struct with the mapped types, or text values by name for a dynamic index.
 
-    A document that does not parse gives nulls.
+    A value that does not parse gives null. With ``rejected``, a column of that name tells
+    the documents of which some part did not parse from those that lack it; a null
+    document is not rejected. Points are read in all three forms: an object, the text
+    ``lat,lon``, and the array ``[lon, lat]``.
     """
-    if load_mapping(mapping):
-        doc = F.from_json(F.col(column), mapping_schema(mapping), {"mode": "PERMISSIVE"})
-    else:
-        doc = F.from_json(F.col(column), "map<string,string>", {"mode": "PERMISSIVE"})
-    return df.withColumn("doc", doc)
+    text = F.col(column)
+    if not load_mapping(mapping):
+        doc = F.from_json(text, "map<string,string>", {"mode": "PERMISSIVE"})
+        rows = df.withColumn("doc", doc)
+        return rows if rejected is None else rows.withColumn(rejected, text.isNotNull() & F.col("doc").isNull())
+    wanted = mapping_schema(mapping)
+    parsed = F.from_json(
+        text,
+        _as_text(wanted).add(_BROKEN, StringType()),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN},
+    )
+    rows = df.withColumn(_BROKEN, parsed)
+    doc = F.when(F.col(_BROKEN).isNotNull(), _rebuilt(F.col(_BROKEN), wanted))
+    rows = rows.withColumn("doc", doc)
+    if rejected is not None:
+        wrong = F.col(_BROKEN)[_BROKEN].isNotNull() | _bad_point(F.col(_BROKEN), F.col("doc"), wanted)
+        rows = rows.withColumn(rejected, text.isNotNull() & F.coalesce(wrong, F.lit(False)))
+    return rows.drop(_BROKEN)
+
+
+def _is_point(dtype: DataType) -> bool:
+    return dtype == FIELD_TYPES["geo_point"]
+
+
+def _as_text(schema: StructType) -> StructType:
+    """The schema with points as text, which holds whatever form the document has."""
+    fields = []
+    for field in schema:
+        kind = field.dataType
+        if _is_point(kind):
+            kind = StringType()
+        elif isinstance(kind, StructType):
+            kind = _as_text(kind)
+        fields.append(StructField(field.name, kind))
+    return StructType(fields)
+
+
+def _point(text: Column) -> Column:
+    pair = F.from_json(text, "array<double>")
+    named = F.from_json(text, FIELD_TYPES["geo_point"])
+    split = F.split(text, ",")
+    comma = F.struct(split[0].try_cast("double").alias("lat"), F.get(split, 1).try_cast("double").alias("lon"))
+    point = (
+        F.when(text.startswith("{"), named)
+        .when(text.startswith("["), F.struct(F.get(pair, 1).alias("lat"), F.get(pair, 0).alias("lon")))
+        .otherwise(comma)
+    )
+    return F.when(text.isNotNull() & (point["lat"].isNotNull() | point["lon"].isNotNull()), point)
+
+
+def _rebuilt(value: Column, schema: StructType) -> Column:
+    parts = []
+    for field in schema:
+        part = value[field.name]
+        if _is_point(field.dataType):
+            part = _point(part)
+        elif isinstance(field.dataType, StructType):
+            part = F.when(part.isNotNull(), _rebuilt(part, field.dataType))
+        parts.append(part.alias(field.name))
+    return F.struct(*parts)
+
+
+def _bad_point(text: Column, value: Column, schema: StructType) -> Column:
+    """Whether some point was given but could not be read."""
+    wrong = F.lit(False)
+    for field in schema:
+        if _is_point(field.dataType):
+            wrong = wrong | (text[field.name].isNotNull() & value[field.name].isNull())
+        elif isinstance(field.dataType, StructType):
+            wrong = wrong | F.coalesce(_bad_point(text[field.name], value[field.name], field.dataType), F.lit(False))
+    return wrong

@@ -2,8 +2,9 @@
 
 import pytest
 
-from docops.operators import changelog, search
+from docops.operators import changelog, profile, search
 from docops.plans import registry, skew
+from docops.sources.json_ingest import ingest_json
 from docops.streaming.ingest import BulkIngest
 from tests.compare import spark_rows
 from tests.test_skew import OPS
@@ -60,3 +61,35 @@ def test_a_broken_manifest_is_not_an_empty_table(spark, tmp_path):
     (tmp_path / "manifest" / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         ingest.snapshot.manifest()
+
+
+def test_coverage_of_maps_and_arrays(spark):
+    docs = spark.sql(
+        """select map('a.b', '1', 'c', cast(null as string)) source, array(named_struct('x', 1, 'y', cast(null as int))) items, 's' flat
+           union all select map('a.d', '2', 'c', '3'), array(named_struct('x', null, 'y', 2), named_struct('x', 1, 'y', 2)), null
+           union all select null, null, null""")
+    leaf = {"type": "keyword"}
+    mapped = {"properties": {"a": {"type": "object", "properties": {"b": leaf, "d": leaf}}, "c": leaf, "z": leaf}}
+    inside = {r["path"]: r["docs"] for r in profile.field_coverage(docs, mapped, within="source").collect()}
+    assert inside == {"a": 2, "a.b": 1, "a.d": 1, "c": 1, "z": 0}
+    listed = {"properties": {"items": {"properties": {"x": leaf, "y": leaf, "w": leaf}}}}
+    assert {r["path"]: r["docs"] for r in profile.field_coverage(docs, listed).collect()} == {
+        "items.w": 0, "items.x": 2, "items.y": 1}
+    with pytest.raises(ValueError):
+        profile.field_coverage(docs, {"properties": {"flat": {"properties": {"x": leaf}}}})
+
+
+def test_points_in_three_forms_and_rejected_documents(spark):
+    texts = ['{"p":{"lat":1.5,"lon":2},"n":1}', '{"p":"1.5,2","n":1}', '{"p":[2,1.5],"n":1}', '{"p":"north","n":1}',
+             '{"n":1}', '{"n":"x"}', '{"n":1', None]
+    mapping = {"properties": {"p": {"type": "geo_point"}, "n": {"type": "integer"}}}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = ingest_json(df, "t", mapping, rejected="bad").collect()
+    assert [r["bad"] for r in rows] == [False, False, False, True, False, True, True, False]
+    assert [tuple(r["doc"]["p"]) for r in rows[:3]] == [(1.5, 2.0)] * 3 and rows[4]["doc"]["n"] == 1
+    assert [r["bad"] for r in ingest_json(df, "t", rejected="bad").collect()][-2:] == [True, False]
+
+
+def test_one_key_is_pushed_to_the_scan(spark, capsys):
+    registry.doc_get(spark, SMALL).explain()
+    assert "EqualTo(doc_id,1)" in capsys.readouterr().out
