@@ -357,13 +357,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = rows.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min("doc_id").alias("_one"))
     places = stored(keyed.select(*_KEY, "text").mapInArrow(_anchor_rows, "t1 long, t2 long, pos long, h long"), "substrings-anchors")
     counts = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = places.join(counts, "h").select(*_KEY, F.struct("pos", "h", (F.col("n") > HOT).alias("hot")).alias("place"))
+    # Merge joins at every size: none of these sides is bounded.
+    repeated = places.join(counts.hint("merge"), "h").select(*_KEY, F.struct("pos", "h", (F.col("n") > HOT).alias("hot")).alias("place"))
     # Rows that repeat a text give its anchors more than once.
     repeated = repeated.groupBy(*_KEY).agg(F.collect_set("place").alias("places"))
     one = texts.join(repeated, _KEY).select(*_KEY, "_one", F.sort_array("places").alias("places"))
     k, o = keyed.alias("k"), one.alias("o")
     on = (F.col("k.t1") == F.col("o.t1")) & (F.col("k.t2") == F.col("o.t2")) & F.col("k.doc_id").eqNullSafe(F.col("o._one"))
-    some = stored(k.join(o, on).select("k.t1", "k.t2", "text", "places"), "substrings-texts")
+    some = stored(k.join(o.hint("merge"), on).select("k.t1", "k.t2", "text", "places"), "substrings-texts")
     buckets = 2 * partitions(docs)
     runs = some.mapInArrow(_runs(buckets), "bucket int, run binary")
     spans = runs.groupBy("bucket").applyInPandas(_spans, "t1 long, t2 long, first long, last long")
@@ -374,7 +375,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     twice = strings.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
     hot = strings.join(twice, ["w1", "w2"]).select(*_KEY, F.col("pos").alias("first"), (F.col("pos") + LENGTH).alias("last"))
     spans = spans.unionByName(hot).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    cut = some.dropDuplicates(_KEY).join(spans, _KEY).select(*_KEY, "text", "spans")
+    cut = some.dropDuplicates(_KEY).join(spans.hint("merge"), _KEY).select(*_KEY, "text", "spans")
     cut = cut.mapInArrow(_cut, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string")
     known = texts.select(*_KEY, "n").join(cut, _KEY, "left")
     whole = (F.col("n") > 1) & (F.col("n_bytes") >= LENGTH)
