@@ -47,7 +47,7 @@ class BulkIngest:
         self.root = root.rstrip("/")
         self.snapshot = Snapshot(spark, root, buckets)
         self.fail_on_error = fail_on_error
-        self._known: tuple[int, dict[int, int]] = (-1, {})  # a version and its manifest
+        self._known: tuple[int, dict[int, list[int]]] = (-1, {})  # a version and its layers
 
     def flush(self, ops: DataFrame, batch: int) -> None:
         """Applies one batch; repeating the latest batch writes the same version again."""
@@ -60,14 +60,15 @@ class BulkIngest:
     def _flush(self, ops: DataFrame, batch: int) -> None:
         version = batch + 1
         if self._known[0] != batch:
-            self._known = (batch, self.snapshot.manifest(below=version))
+            self._known = (batch, self.snapshot.layers(below=version))
         before = self._known[1]
         keys = ops.select(self.snapshot.bucket().alias("bucket"), *KEY).distinct()
         touched = {row["bucket"] for row in keys.select("bucket").distinct().collect()}  # one row for each bucket
         keys = checked_broadcast(keys)
         stored = self.snapshot.stored(before, touched)
-        # Keys the flush does not name are carried over; only the named ones are merged.
-        untouched = stored.join(keys, ["bucket", *KEY], "left_anti")
+        # Only the named keys are merged and written; the others are carried over where a bucket is folded.
+        folded = stored.where(F.col("bucket").isin(sorted(self.snapshot.full(before, touched))))
+        untouched = folded.join(keys, ["bucket", *KEY], "left_anti")
         named = stored.join(keys, ["bucket", *KEY], "left_semi")
         marked = join_summary(ops, named, KEY, ["last_seq"]).withColumn(
             "late", F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))

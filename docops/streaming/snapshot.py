@@ -1,10 +1,10 @@
-"""The document table a stream maintains: copy-on-write buckets under numbered versions.
+"""The document table a stream maintains: layers of buckets under numbered versions.
 
-``root/data/version=N/bucket=B`` holds the documents of bucket B as of version N;
-``root/manifest/version=N`` says, for every bucket, which version holds it. A
-flush rewrites only buckets it touches and then adds its manifest; a reader takes
-the newest manifest, so an interrupted flush is never seen, and repeating it
-writes the same version again.
+``root/data/version=N/bucket=B`` holds the documents of bucket B that flush N changed;
+``root/manifest/version=N`` lists, for every bucket, the versions that make it up. A
+reader takes the newest manifest and of every key the row of its newest layer, so an
+interrupted flush is never seen, and repeating it writes the same version again. A flush
+writes only the keys it names; a bucket with ``MOST_LAYERS`` layers is folded into one.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from docops.plans.skew import local_frame
 STORED = "index string, id string, last_seq long, deleted boolean, source map<string,string>, bucket int"
 _MANIFEST = "bucket int, data_version long, version long"
 BUCKETS = 64
+# Layers a bucket may have before a flush folds them.
+MOST_LAYERS = 8
 
 
 class Snapshot:
@@ -31,8 +33,8 @@ class Snapshot:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64("index", "id"), F.lit(self.buckets)).cast("int")
 
-    def manifest(self, below: int | None = None) -> dict[int, int]:
-        """Bucket to data version, of the newest version (below ``below``). At most one row per bucket."""
+    def layers(self, below: int | None = None) -> dict[int, list[int]]:
+        """Bucket to its data versions, ascending, of the newest version (below ``below``)."""
         try:
             rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
         except AnalysisException as error:
@@ -42,30 +44,51 @@ class Snapshot:
         if below is not None:
             rows = rows.where(F.col("version") < below)
         newest = rows.where(F.col("version") == rows.agg(F.max("version")).scalar())
-        return {r["bucket"]: r["data_version"] for r in newest.collect()}
+        found: dict[int, list[int]] = {}
+        for bucket, version in sorted((r["bucket"], r["data_version"]) for r in newest.collect()):
+            found.setdefault(bucket, []).append(version)
+        return found
+
+    def manifest(self, below: int | None = None) -> dict[int, int]:
+        """Bucket to the version that last changed it."""
+        return {bucket: versions[-1] for bucket, versions in self.layers(below).items()}
 
-    def stored(self, manifest: dict[int, int], wanted: set[int] | None = None) -> DataFrame:
+    def stored(self, layers: dict[int, list[int]], wanted: set[int] | None = None) -> DataFrame:
         """All kept keys, deleted ones included, of the wanted buckets."""
-        paths = [
-            f"{self.root}/data/version={version}/bucket={bucket}"
-            for bucket, version in sorted(manifest.items())
-            if wanted is None or bucket in wanted
-        ]
+        chosen = {b: v for b, v in layers.items() if wanted is None or b in wanted}
+        paths = [f"{self.root}/data/version={v}/bucket={b}" for b, versions in sorted(chosen.items()) for v in versions]
         if not paths:
             return local_frame(self.spark, [], STORED)
-        reader = self.spark.read.schema(STORED).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).select("index", "id", "last_seq", "deleted", "source", "bucket")
+        kinds = f"{STORED}, version long"
+        rows = self.spark.read.schema(kinds).option("basePath", f"{self.root}/data").parquet(*paths)
+        columns = ["index", "id", "last_seq", "deleted", "source", "bucket"]
+        if all(len(versions) == 1 for versions in chosen.values()):
+            return rows.select(*columns)
+        latest = F.max_by(F.struct("last_seq", "deleted", "source"), "version").alias("row")
+        return rows.groupBy("bucket", "index", "id").agg(latest).select("bucket", "index", "id", "row.*").select(*columns)
 
     def documents(self) -> DataFrame:
         """The live documents."""
-        return self.stored(self.manifest()).where(~F.col("deleted")).select("index", "id", "last_seq", "source")
+        return self.stored(self.layers()).where(~F.col("deleted")).select("index", "id", "last_seq", "source")
+
+    def full(self, layers: dict[int, list[int]], touched: set[int]) -> set[int]:
+        """The touched buckets that the next flush folds into one layer."""
+        return {b for b in touched if len(layers.get(b, [])) >= MOST_LAYERS}
+
+    def commit(
+        self, version: int, rows: DataFrame, touched: set[int], before: dict[int, list[int]]
+    ) -> dict[int, list[int]]:
+        """Writes ``rows`` as the layer ``version`` of the touched buckets, then the manifest that adds it.
 
-    def commit(self, version: int, rows: DataFrame, touched: set[int], before: dict[int, int]) -> dict[int, int]:
-        """Writes the touched buckets as ``version``, then the manifest that makes them current."""
+        Of buckets that are full, ``rows`` must hold every key.
+        """
         rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
             "bucket"
         ).parquet(f"{self.root}/data/version={version}")
-        current = {**before, **{b: version for b in touched}}
-        manifest = local_frame(self.spark, list(current.items()), "bucket int, data_version long")
+        folded = self.full(before, touched)
+        added = {b: [version] if b in folded else [*before.get(b, []), version] for b in touched}
+        current = {**before, **added}
+        entries = [(b, v) for b, versions in current.items() for v in versions]
+        manifest = local_frame(self.spark, entries, "bucket int, data_version long")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
         return current
