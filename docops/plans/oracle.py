@@ -237,6 +237,7 @@ ORACLE: dict[str, str] = {
     "observed_fields": """SELECT field, count(*) AS docs FROM (SELECT unnest(json_keys(props)) AS field FROM events)
         GROUP BY field""",
     "stream_bulk_apply": f"""WITH {APPLIED} SELECT * FROM applied""",
+    "stream_flush_by_size": f"""WITH {APPLIED} SELECT *, true AS several, CAST(0 AS BIGINT) AS late FROM applied""",
     "stream_ingest_metrics": f"""WITH {JUDGED} SELECT CAST(0 AS BIGINT) AS batch, count(*) AS submitted,
         count(*) FILTER (WHERE outcome = 'ok') AS succeeded, count(*) FILTER (WHERE outcome <> 'ok') AS failed,
         CAST(0 AS BIGINT) AS late FROM judged""",

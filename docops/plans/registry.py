@@ -513,6 +513,26 @@ def stream_ingest_metrics(spark, directory):
     return _stream(spark, directory).metrics()
 
 
+@_query
+def stream_flush_by_size(spark, directory):
+    """The change log as files in the order of its operations, one file a flush; late keys would show."""
+    ops = inputs.oplog(spark, directory).select(*changelog.OPERATION)
+    known = ops.agg(F.min("seq").alias("low"), F.max("seq").alias("high"), F.count("*").alias("n")).first()
+    files, low = scratch_path(spark, "operations"), known["low"] or 0
+    width = ((known["high"] or 0) - low) // 3 + 1
+    for part in range(3):
+        rows = ops.where((F.col("seq") >= low + part * width) & (F.col("seq") < low + (part + 1) * width))
+        # All operations of a key in a part are in one file, of a million or so.
+        rows.repartition(known["n"] // 3_000_000 + 1, *changelog.KEY).write.mode("append").parquet(files)
+    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    ingest = BulkIngest(spark, scratch_path(spark, "stream"), buckets=8, fail_on_error=False)
+    ingest.start(stream, drain=True).awaitTermination()
+    flushed = ingest.metrics().agg(F.count("*").alias("n"), F.sum("late").alias("late")).first()
+    return inputs.flat_documents(ingest.snapshot.documents()).withColumns(
+        {"several": F.lit(flushed["n"] >= 3), "late": F.lit(flushed["late"]).cast("long")}
+    )
+
+
 # Reports and formats
 
 
