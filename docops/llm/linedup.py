@@ -97,7 +97,8 @@ def delete_repeats(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed") and not c.startswith("_")]
     runs = repeated_runs(docs, min_lines).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "lines")).alias("_runs"))
     runs = stored(runs, "linedup-runs")
-    rows = _keyed(docs.select(*own)).join(runs, _KEY, "left")
+    # Always a merge join: the side that grows with the corpus is never broadcast.
+    rows = _keyed(docs.select(*own)).join(runs.hint("merge"), _KEY, "left")
     gone = F.flatten(F.transform("_runs", lambda r: F.sequence(r["start"], r["start"] + r["lines"] - 1)))
     # Bound in a one-element array, so that the text is split once and not for each line.
     places = F.transform(F.array(_lines()), lambda all_: F.transform(gone, lambda i: all_[i]["place"]))[0]
