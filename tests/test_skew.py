@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from docops.operators import changelog, chunks, reports, search
-from docops.plans.skew import OrderedRanges, bounded_rows, checked_broadcast, find_hot_keys, local_frame, number_rows
+from docops.plans.skew import OrderedRanges, checked_broadcast, find_hot_keys, local_frame, number_rows
 
 ENVIRONMENT = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
 OPS = "seq long, index string, id string, op string, source map<string,string>"
@@ -105,9 +105,9 @@ def test_snapshot_merge_with_short_and_long_logs(spark, monkeypatch, bound):
     snapshot = spark.createDataFrame(
         [(*key, source) for key, source in docs.items()], "index string, id string, source map<string,string>"
     )
-    # Only what the later half names is merged; a log above the bound is merged with everything.
+    # Only what the later half names is merged, whether its keys are broadcast or joined by shuffle.
     later = [o for o in ops[200:] if o[2] in ("hot", "k1", "k2", "k3", "k99")]
-    monkeypatch.setattr(changelog, "bounded_rows", lambda df: bounded_rows(df, bound))
+    monkeypatch.setattr(checked_broadcast, "__defaults__", (bound,))
     applied = changelog.apply_changes(spark.createDataFrame(later, OPS), snapshot).collect()
     want, outcome = replay(ops[:200] + later)
     assert {(r["index"], r["id"]): r["source"] for r in applied} == want
