@@ -34,3 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
+
+
+def sample_by_hash(rows: DataFrame, keys: list[str], size: int, count: int) -> DataFrame:
+    """``size`` of the ``count`` rows by a hash of ``keys``; all, if there are no more.
+
+    Rows are thinned by the hash before they are ordered, so tasks do not each send
+    ``size`` rows on when there are many tasks.
+    """
+    scale = 1 << 30
+    share = min(scale, scale * 3 * size // (2 * max(count, 1)) + 1)
+    thinned = rows.where(F.pmod(F.xxhash64(*keys), F.lit(scale)) < share)
+    return thinned.orderBy(F.xxhash64(*keys), *keys).limit(size)

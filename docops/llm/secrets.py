@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table
+from docops.llm.common import sample_by_hash, stored, table
 
 MIN_LENGTH = 16
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}"
@@ -154,16 +154,19 @@ def with_features(found: DataFrame, known: list[str]) -> DataFrame:
 
 
 def learn(labelled: DataFrame) -> RandomForestClassificationModel | None:
-    """A forest from rows of ``FEATURES`` and label (0 or 1): a bounded sample of each kind by hash."""
-    samples = []
-    for label in (0, 1):
-        rows = labelled.where(F.col("label") == label).select(*FEATURES, "label")
-        order = F.xxhash64(*FEATURES)
-        samples.append(rows.orderBy(order, *FEATURES).limit(SAMPLE))
+    """A forest from rows of ``FEATURES``, label (0 or 1) and candidate: a sample of each kind by hash."""
+    labelled = labelled.withColumn("sha", F.sha2("candidate", 256))
+    counts = {r["label"]: r["count"] for r in labelled.where("label IN (0, 1)").groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+    samples = [
+        sample_by_hash(
+            labelled.where(F.col("label") == label).select(*FEATURES, "label", "sha"), ["sha", *FEATURES], SAMPLE, counts[label]
+        )
+        for label in (0, 1)
+    ]
     # Both samples are bounded; one sorted partition makes the fit repeatable.
     sample = stored(samples[0].unionByName(samples[1]).orderBy("label", *FEATURES).coalesce(1), "secrets-sample")
-    if sample.select("label").distinct().count() < 2:
-        return None
     sample = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1))
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
