@@ -65,7 +65,8 @@ def _fingerprints(shingle: int):
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(values, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
     return fingerprints
 
@@ -241,38 +242,50 @@ def near_links(codes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(_link(distance), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_hash"))
     kind = dict(docs.dtypes)["doc_id"]
-    prints = stored(texts.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fp long"), "simhash-prints")
+    found = texts.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, text_hash long, fp long")
+    prints = stored(found, "simhash-prints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(near_links(first.select("fp"), distance))
     rooted = first.join(roots, first["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(names, "root").select("fp", "component_id"), "simhash-components")
+    return prints, stored(rooted.join(names, "root").select("fp", "root", "component_id"), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
+    prints, named = _grouped(docs, shingle, distance)
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The row of each component that has its smallest id; of repeated ids, the smallest text.
+    """One row of each component: that of the smallest id, and of a repeated id one text.
 
-    Rows without id are kept only if their whole component has none, one for each text.
+    Rows without id come last, so they are kept only where a whole component has none. Of
+    rows that repeat id and text, one is kept.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, distance)
-    kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("doc_id").agg(F.count("*").alias("_n"))
-    kept = stored(kept, "simhash-kept")
-    rows = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))).select("d.*", "_n")
+    prints, named = _grouped(docs.select("doc_id", "text"), shingle, distance)
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
+    kept = prints.join(named, "fp").groupBy("root").agg(chosen).select("one.doc_id", "one.text_hash")
+    copies = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n"))
+    on = F.col("o.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("o.text_hash") == F.col("c.text_hash"))
+    kept = kept.alias("o").join(copies.alias("c"), on).select("c.*")
+    kept = stored(kept, "simhash-kept").alias("k")
+    # Always a merge join: the side that grows with the corpus is never broadcast.
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.text_hash"))
+    rows = docs.alias("d").join(kept.hint("merge"), same).select("d.*", "_n")
     single = rows.where("_n = 1").drop("_n")
-    again = rows.where("_n > 1").drop("_n")
-    # Of rows with one id, all but the smallest text go.
-    order = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    least = again.groupBy("doc_id").agg(F.min(order).alias("_row"))
-    return single.unionByName(least.select("doc_id", "_row.*").select(*docs.columns))
+    least = rows.where("_n > 1").groupBy("doc_id", "text").agg(
+        F.min(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row")
+    )
+    return single.unionByName(least.select("doc_id", "text", "_row.*").select(*docs.columns))
 
 
 def op7_simhash(spark, directory: str) -> DataFrame:
