@@ -38,20 +38,26 @@ LARGE = 16 * CHUNK
 LEAF, NODE = 16, 256
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of one text as a signed integer."""
+def shingles(text: bytes | None, shingle: int) -> list[bytes]:
+    """All word shingles of one text in order; a shorter text is one shingle."""
     found = (text or b"").lower().split()
     if not found:
-        return 0
+        return []
+    joined = b" ".join(found)
     if len(found) < shingle:
-        parts = [b" ".join(found)]
-    else:
-        joined = b" ".join(found)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
-        first = starts[: len(found) - shingle + 1]
-        last = starts[shingle:] - 1
-        parts = [joined[a:b] for a, b in zip(first.tolist(), last.tolist())]
+        return [joined]
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+    first = starts[: len(found) - shingle + 1]
+    last = starts[shingle:] - 1
+    return [joined[a:b] for a, b in zip(first.tolist(), last.tolist())]
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of one text as a signed integer."""
+    parts = shingles(text, shingle)
+    if not parts:
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(parts), 1 << 15):  # bounded memory for very long texts
         some = parts[at : at + (1 << 15)]
@@ -272,8 +278,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     rows that repeat id and text, one is kept.
     """
     prints, named = _grouped(docs.select("doc_id", "text"), shingle, distance)
+    return keep_one(docs, prints, named, "fp")
+
+
+def keep_one(docs: DataFrame, prints: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """The rows of ``one_of_each`` for groups ``root`` of the ``key`` of each (doc_id, text_hash)."""
     chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
-    kept = prints.join(named, "fp").groupBy("root").agg(chosen).select("one.doc_id", "one.text_hash")
+    kept = prints.join(named, key).groupBy("root").agg(chosen).select("one.doc_id", "one.text_hash")
     copies = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n"))
     on = F.col("o.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("o.text_hash") == F.col("c.text_hash"))
     kept = kept.alias("o").join(copies.alias("c"), on).select("c.*")
