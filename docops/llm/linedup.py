@@ -4,7 +4,9 @@ Lines get ranks in an order of their own; doubling ranks the suffixes of all doc
 their first 2, 4, ... lines until the ranks cover ``min_lines``. Suffixes of equal rank are
 then the longest-common-prefix intervals of at least that length. The first suffix of an
 interval, in order of document and line, stays; the runs of the others are deleted. A
-suffix that is alone at some depth is left out of all deeper ones.
+suffix that is alone at some depth is left out of all deeper ones. With ``min_words`` shorter
+runs of more words than that are repeats too; ranks then grow by one line, so that every
+length below ``min_lines`` is looked at. The pipeline asks for that, the query op3_linedup does not.
 
 Only DataFrame functions are used. Ranks are numbered in ordered ranges, and a line with a
 third of all rows is only met in counts and in joins that can be split.
@@ -20,13 +22,17 @@ third of all rows is only met in counts and in joins that can be split.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docops.llm.common import WORD, stored, table
+from docops.llm.common import WORD, stored, table, word_count
 from docops.plans.skew import OrderedRanges
 
 MIN_LINES = 3
+#: With this rule, runs of fewer lines but more words than this are deleted too.
+MIN_WORDS = 50
 _KEY = ["_doc", "_text"]
 
 
@@ -52,25 +58,33 @@ def _ranked(groups: DataFrame, order: list[str]) -> DataFrame:
     return OrderedRanges(groups, order).numbered("_rank")
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """(_doc, _text, start, lines): maximal runs of later copies, counted among lines with a word."""
     documents = _keyed(docs.select("doc_id", "text")).where("text IS NOT NULL")
     lines = documents.select(*_KEY, F.posexplode(_lines()).alias("_pos", "_line"))
     # Two hashes with different seeds stand for a line: 128 bits.
     ids = [F.xxhash64(F.col("_line.line")).alias("_a"), F.xxhash64(F.lit(1), F.col("_line.line")).alias("_b")]
+    # Words of the whole window, and of its last line.
+    size = [] if min_words is None else ["_words", "_last"]
+    words = [word_count(F.col("_line.line")).alias(c) for c in size]
     # Rows that repeat a document must not make their own lines repeat: one occurrence counts.
-    pairs = stored(lines.select(*_KEY, "_pos", *ids).distinct(), "linedup-lines")
-    depth = 1
+    pairs = stored(lines.select(*_KEY, "_pos", *ids, *words).distinct(), "linedup-lines")
+    depth, found = 1, []
     while True:
         at = F.struct(*_KEY, "_pos")
         groups = pairs.groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.min(at).alias("_first"))
         groups = stored(groups.where("_n > 1"), "linedup-groups")
+        if size or depth >= min_lines:
+            long = pairs if depth >= min_lines else pairs.where(F.col("_words") > min_words)
+            later = long.join(groups, ["_a", "_b"]).where(F.struct(*_KEY, "_pos") != F.col("_first"))
+            found.append(later.select(*_KEY, "_pos", (F.col("_pos") + depth).alias("_end")))
         if depth >= min_lines:
             break
         ranks = _ranked(groups.select("_a", "_b"), ["_a", "_b"])
-        ranked = pairs.join(stored(ranks, "linedup-ranks"), ["_a", "_b"]).select(*_KEY, "_pos", "_rank")
-        step = min(depth, min_lines - depth)
+        ranked = pairs.join(stored(ranks, "linedup-ranks"), ["_a", "_b"]).select(*_KEY, "_pos", "_rank", *size)
+        step = 1 if size else min(depth, min_lines - depth)
         order = Window.partitionBy(*_KEY).orderBy("_pos")
+        last = F.lead("_last").over(order) if size else None
         # Positions ascend, so the row ``step`` further on is that position or there is none.
         pairs = ranked.select(
             *_KEY,
@@ -78,24 +92,25 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
             F.col("_rank").alias("_a"),
             F.lead("_rank", step).over(order).alias("_b"),
             F.lead("_pos", step).over(order).alias("_next"),
+            *([(F.col("_words") + last).alias("_words"), last.alias("_last")] if size else []),
         ).where(F.col("_next") == F.col("_pos") + step)
         pairs = stored(pairs.drop("_next"), "linedup-pairs")
         depth += step
-    later = pairs.join(groups, ["_a", "_b"]).where(F.struct(*_KEY, "_pos") != F.col("_first"))
-    # Starts that follow each other closely enough make one run.
-    order = Window.partitionBy(*_KEY).orderBy("_pos")
-    gap = F.col("_pos") - F.lag("_pos").over(order)
-    runs = later.select(*_KEY, "_pos", F.when(gap <= min_lines, 0).otherwise(1).alias("_new"))
+    # Copies that overlap or follow each other at once make one run.
+    order = Window.partitionBy(*_KEY).orderBy("_pos", "_end")
+    reached = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = reduce(DataFrame.unionByName, found)
+    runs = runs.withColumn("_new", F.when(F.col("_pos") <= reached, 0).otherwise(1))
     runs = runs.withColumn("_run", F.sum("_new").over(order))
     return runs.groupBy(*_KEY, "_run").agg(
-        F.min("_pos").alias("start"), (F.max("_pos") - F.min("_pos") + min_lines).alias("lines")
+        F.min("_pos").alias("start"), (F.max("_end") - F.min("_pos")).alias("lines")
     ).drop("_run")
 
 
-def delete_repeats(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def delete_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with later copies of repeated runs cut from ``text``, and n_lines and n_removed."""
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed") and not c.startswith("_")]
-    runs = repeated_runs(docs, min_lines).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "lines")).alias("_runs"))
+    runs = repeated_runs(docs, min_lines, min_words).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "lines")).alias("_runs"))
     runs = stored(runs, "linedup-runs")
     # Always a merge join: the side that grows with the corpus is never broadcast.
     rows = _keyed(docs.select(*own)).join(runs.hint("merge"), _KEY, "left")
