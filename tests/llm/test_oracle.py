@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
