@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from docops.plans.skew import SEGMENT, find_hot_keys, join_summary, number_rows, with_segments
+from docops.session import scratch_path
 
 # Tasks receive this module's functions by value: workers need not have the package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,8 +59,8 @@ def chunk(
     Each writer is a running sum that starts over, streamed through sorted
     partitions. A writer with too many operations for one task is cut into
     segments: every segment first lists how it ends for each way it may start,
-    the short lists are followed from segment to segment, and then all segments
-    are numbered at once from their known start.
+    these lists are composed in a tree of pairs, and then all segments are
+    numbered at once from their known start.
     """
     if max_volume == -1:
         return chunk_by_count(df, writer, seq, max_actions, hot_rows)
@@ -174,50 +175,105 @@ def _segment_endings(sizes: np.ndarray, limits: Limits) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=_ENDINGS)
 
 
-def _segment_starts(rows: DataFrame, writer: str, seq: str, size: str, limits: Limits) -> DataFrame:
-    """For every segment of a hot writer, the state it starts in."""
-    kind = rows.schema[writer].dataType.simpleString()
-    key_type = f"`{writer}` {kind}, {SEGMENT} int"
-
-    def endings(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        ordered = frame.sort_values(seq)
-        out = _segment_endings(ordered[size].fillna(0).to_numpy(dtype="int64"), limits)
-        out["_length"] = len(ordered)
-        out.insert(0, SEGMENT, key[1])
-        out.insert(0, writer, key[0])
-        return out
-
-    columns = [*_ENDINGS, "_length"]
-    listed = (
-        rows.select(writer, SEGMENT, seq, size)
-        .groupBy(writer, SEGMENT)
-        .applyInPandas(endings, f"{key_type}, {', '.join(f'{c} long' for c in columns)}")
-    )
+class Endings(NamedTuple):
+    """How a run of operations ends for every start: the closing positions of ``_segment_endings``, and its size."""
 
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, state, end = None, (0, 0, 0), None
-        for batch in batches:
-            found = []
-            for name, segment, position, least, closes, left, kept, length in zip(
-                *(c.to_pylist() for c in batch.columns)
-            ):
-                if at != (name, segment):
-                    state = end if at is not None and at[0] == name else (0, 0, 0)
-                    at, end = (name, segment), None
-                    found.append((name, segment, *state))
-                if end is not None:
-                    continue
-                fill, held, closed = state
-                if position == length:
-                    end = (fill + left, held + kept, closed)
-                elif fill >= least or held + position + 1 >= limits.actions:
-                    end = (left, kept, closed + closes)
-            types = [batch.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            arrays = [pa.array([row[i] for row in found], types[i]) for i in range(len(types))]
-            yield pa.RecordBatch.from_arrays(arrays, [writer, SEGMENT, *_STATE])
+    position: np.ndarray
+    least: np.ndarray
+    closes: np.ndarray
+    left: np.ndarray
+    kept: np.ndarray
+    count: int
+    total: int
 
-    return (
-        listed.repartition(writer)
-        .sortWithinPartitions(writer, SEGMENT, "_position")
-        .mapInArrow(follow, f"{key_type}, {', '.join(f'{c} long' for c in _STATE)}")
-    )
+    def first(self, fill, held, limits: Limits):
+        """The closing position for each start; the number of positions, where none closes."""
+        # Both conditions hold from some position on: fills needed fall, operations rise.
+        by_volume = np.searchsorted(-self.least, -np.asarray(fill), side="left")
+        by_count = np.searchsorted(self.position, limits.actions - np.asarray(held) - 1, side="left")
+        return np.minimum(by_volume, by_count)
+
+    def after(self, state: tuple[int, int, int], limits: Limits) -> tuple[int, int, int]:
+        """The state (fill, held, closed) behind the run."""
+        fill, held, closed = state
+        at = int(self.first(fill, held, limits))
+        if at == len(self.position):
+            return fill + self.total, held + self.count, closed
+        return int(self.left[at]), int(self.kept[at]), closed + int(self.closes[at])
+
+    def then(self, other: Endings, limits: Limits) -> Endings:
+        """This run followed by ``other``, no larger than the operations of one request."""
+        at = other.first(self.left, self.kept, limits)
+        none = at == len(other.position)
+        closes, left, kept = self.closes.copy(), self.left + other.total, self.kept + other.count
+        closes[~none] += other.closes[at[~none]]
+        left[~none], kept[~none] = other.left[at[~none]], other.kept[at[~none]]
+        columns = [self.position, self.least, closes, left, kept]
+        if int(self.first(0, 0, limits)) == len(self.position):  # some starts close nothing here
+            shifted = (other.position + self.count, other.least - self.total, other.closes, other.left, other.kept)
+            columns = [np.concatenate(pair) for pair in zip(columns, shifted)]
+        # Neighbours with the same ending are one, at the last of them.
+        ending = np.stack(columns[2:])
+        last = np.append((ending[:, 1:] != ending[:, :-1]).any(axis=0), True)[: len(columns[0])]
+        return Endings(*[c[last] for c in columns], self.count + other.count, self.total + other.total)
+
+
+_LISTS = ["position", "least", "closes", "left", "kept"]
+_NODE = f"{SEGMENT} int, {', '.join(f'_{c} array<long>' for c in _LISTS)}, _count long, _total long"
+
+
+def _endings_of(row) -> Endings:
+    lists = [np.asarray(row[f"_{c}"], dtype="int64") for c in _LISTS]
+    return Endings(*lists, int(row["_count"]), int(row["_total"]))
+
+
+def _node(writer: str, name, segment: int, endings: Endings) -> pd.DataFrame:
+    values = {f"_{c}": [v.tolist()] for c, v in zip(_LISTS, endings)}
+    return pd.DataFrame({writer: [name], SEGMENT: [segment], **values, "_count": endings.count, "_total": endings.total})
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _segment_starts(rows: DataFrame, writer: str, seq: str, size: str, limits: Limits) -> DataFrame:
+    """For every segment of a hot writer, the state it starts in.
+
+    The endings of neighbouring segments are composed pairwise until each writer has one;
+    then the states are read back down, a pair at a time. A task has one pair, and a list
+    of endings is no longer than one request, so no task sees a writer.
+    """
+    key = f"`{writer}` {rows.schema[writer].dataType.simpleString()}"
+
+    def segment(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        sizes = frame.sort_values(seq)[size].fillna(0).to_numpy(dtype="int64")
+        table = _segment_endings(sizes, limits).iloc[:-1]
+        lists = [table[c].to_numpy(dtype="int64") for c in _ENDINGS]
+        return _node(writer, key[0], key[1], Endings(*lists, len(sizes), int(sizes.sum())))
+
+    def pair(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        halves = [_endings_of(row) for _, row in frame.sort_values(SEGMENT).iterrows()]
+        return _node(writer, key[0], key[1], halves[0] if len(halves) == 1 else halves[0].then(halves[1], limits))
+
+    def halves(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        found, state = [], None
+        for _, row in frame.sort_values("_half").iterrows():
+            state = tuple(int(row[c]) for c in _STATE) if state is None else _endings_of(before).after(state, limits)
+            found.append((key[0], row["_half"], *state))
+            before = row
+        return pd.DataFrame(found, columns=[writer, SEGMENT, *_STATE])
+
+    sized = rows.select(writer, SEGMENT, seq, size).groupBy(writer, SEGMENT).applyInPandas(segment, f"{key}, {_NODE}")
+    levels = [_written(sized, "segments")]
+    for _ in range((levels[0].agg(F.max(SEGMENT)).first()[0] or 0).bit_length()):
+        parents = levels[-1].groupBy(writer, (F.col(SEGMENT) / 2).cast("int").alias("_parent"))
+        levels.append(_written(parents.applyInPandas(pair, f"{key}, {_NODE}"), "segments"))
+    starts = levels.pop().select(writer, SEGMENT, *[F.lit(0).cast("long").alias(c) for c in _STATE])
+    for level in reversed(levels):
+        below = level.withColumn("_half", F.col(SEGMENT)).withColumn(SEGMENT, (F.col(SEGMENT) / 2).cast("int"))
+        placed = join_summary(below, starts, [writer, SEGMENT], _STATE).groupBy(writer, SEGMENT)
+        schema = f"{key}, {SEGMENT} int, {', '.join(f'{c} long' for c in _STATE)}"
+        starts = _written(placed.applyInPandas(halves, schema), "segments")
+    return starts

@@ -171,6 +171,42 @@ def test_segment_endings_by_hand():
     assert rows == [[0, 2, 2, 0, 0], [1, -2, 1, 4, 1], [3, 0, 0, 12, 3]]
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_composed_endings_equal_one_long_run(seed):
+    rng = random.Random(seed)
+    limits = chunks.Limits(rng.choice([chunks.NO_LIMIT, 1, 3, 17]), rng.choice([1, 40, 300, 10**6]))
+
+    def endings(sizes):
+        table = chunks._segment_endings(np.array(sizes, dtype="int64"), limits).iloc[:-1]
+        lists = [table[c].to_numpy(dtype="int64") for c in chunks._ENDINGS]
+        return chunks.Endings(*lists, len(sizes), sum(sizes))
+
+    parts = [[rng.choice([0, 1, 5, 60]) for _ in range(rng.randrange(0, 25))] for _ in range(9)]
+    nodes = [endings(part) for part in parts]
+    while len(nodes) > 1:  # a tree of pairs, as the segments take
+        nodes = [nodes[i].then(nodes[i + 1], limits) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
+    sizes = [n for part in parts for n in part]
+    for fill, held in ((0, 0), (1, 1), (39, 2), (limits.volume - 1, 1)):
+        held = min(held, limits.actions - 1)
+        closed, left, kept = chunks._closing_positions(np.array(sizes, dtype="int64"), fill, held, limits)
+        assert nodes[0].after((fill, held, 0), limits) == (left, kept, len(closed))
+    assert len(nodes[0].position) <= len(sizes)
+
+
+def test_requests_longer_than_segments(spark):
+    """Every request spans many segments: the endings of a segment are as many as its operations."""
+    rng = random.Random(4)
+    rows = [("hot" if n % 9 else "w", n, rng.randrange(0, 50), 1) for n in range(3000)]
+    df = spark.createDataFrame(rows, "writer string, seq long, bytes long, took long")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        for actions, volume in ((-1, 20_000), (1500, 10**9), (-1, 10**9)):
+            got = chunks.chunk(df, "writer", "seq", "bytes", actions, volume, 50).collect()
+            assert {r["seq"]: r["batch"] for r in got} == greedy(rows, actions, volume)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.mark.parametrize("hot_rows", [None, 30])
 def test_chunk_by_count(spark, hot_rows):
     rows, df = requests(spark)
