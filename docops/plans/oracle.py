@@ -238,6 +238,9 @@ ORACLE: dict[str, str] = {
         GROUP BY field""",
     "stream_bulk_apply": f"""WITH {APPLIED} SELECT * FROM applied""",
     "stream_flush_by_size": f"""WITH {APPLIED} SELECT *, true AS several, CAST(0 AS BIGINT) AS late FROM applied""",
+    "stream_flush_by_bytes": f"""WITH {APPLIED} SELECT *, true AS several, CAST(0 AS BIGINT) AS late FROM applied""",
+    "stream_fold": f"""WITH {APPLIED} SELECT *, CAST(1 AS BIGINT) AS rows_per_key, (SELECT count(*) FROM ops) AS late
+        FROM applied""",
     "stream_ingest_metrics": f"""WITH {JUDGED} SELECT CAST(0 AS BIGINT) AS batch, count(*) AS submitted,
         count(*) FILTER (WHERE outcome = 'ok') AS succeeded, count(*) FILTER (WHERE outcome <> 'ok') AS failed,
         CAST(0 AS BIGINT) AS late FROM judged""",

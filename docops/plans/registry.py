@@ -13,7 +13,7 @@ from docops.operators import aliases, catalog, changelog, chunks, keyed, profile
 from docops.plans import inputs
 from docops.session import scratch_path
 from docops.sources import bulk_lines, json_ingest, tables
-from docops.streaming.ingest import BulkIngest
+from docops.streaming.ingest import BulkIngest, operation_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -493,43 +493,79 @@ def observed_fields(spark, directory):
 # Streaming
 
 
-def _stream(spark, directory):
-    """The event table as a file stream, drained into a new snapshot."""
-    schema = tables.load_table(spark, directory, "events").schema
-    # The glob matches the table whether it is one file or a directory of files.
-    events = spark.readStream.schema(schema).parquet(f"{directory}/events.parque[t]")
-    ingest = BulkIngest(spark, scratch_path(spark, "stream"), buckets=8, fail_on_error=False)
-    ingest.start(inputs.to_operations(events), drain=True).awaitTermination()
+def _drained(spark, stream):
+    """The stream of operations, drained into a new table."""
+    ingest = BulkIngest(spark, scratch_path(spark, "stream"), fail_on_error=False)
+    ingest.start(stream, drain=True).awaitTermination()
     return ingest
 
 
+def _events(spark, directory):
+    """The event table as a file stream; the glob matches one file as well as a directory of files."""
+    schema = tables.load_table(spark, directory, "events").schema
+    return _drained(spark, inputs.to_operations(operation_stream(spark, f"{directory}/events.parque[t]", schema)))
+
+
 @_query
 def stream_bulk_apply(spark, directory):
-    return inputs.flat_documents(_stream(spark, directory).snapshot.documents())
+    return inputs.flat_documents(_events(spark, directory).documents())
 
 
 @_query
 def stream_ingest_metrics(spark, directory):
-    return _stream(spark, directory).metrics()
+    return _events(spark, directory).metrics()
 
 
-@_query
-def stream_flush_by_size(spark, directory):
-    """The change log as files in the order of its operations, one file a flush; late keys would show."""
+def _operation_files(spark, directory, parts):
+    """The change log as files in the order of its operations, with the path they lie in."""
     ops = inputs.oplog(spark, directory).select(*changelog.OPERATION)
     known = ops.agg(F.min("seq").alias("low"), F.max("seq").alias("high"), F.count("*").alias("n")).first()
     files, low = scratch_path(spark, "operations"), known["low"] or 0
-    width = ((known["high"] or 0) - low) // 3 + 1
-    for part in range(3):
-        rows = ops.where((F.col("seq") >= low + part * width) & (F.col("seq") < low + (part + 1) * width))
+    width = ((known["high"] or 0) - low) // parts + 1
+    part_of = F.coalesce(F.floor((F.col("seq") - low) / width), F.lit(0))
+    for part in range(parts):
         # All operations of a key in a part are in one file, of a million or so.
-        rows.repartition(known["n"] // 3_000_000 + 1, *changelog.KEY).write.mode("append").parquet(files)
-    stream = spark.readStream.schema(ops.schema).option("maxFilesPerTrigger", 1).parquet(files)
-    ingest = BulkIngest(spark, scratch_path(spark, "stream"), buckets=8, fail_on_error=False)
-    ingest.start(stream, drain=True).awaitTermination()
+        rows = ops.where(part_of == part)
+        rows.repartition(known["n"] // (1_000_000 * parts) + 1, *changelog.KEY).write.mode("append").parquet(files)
+    return ops.schema, files
+
+
+def _with_flushes(ingest, least):
     flushed = ingest.metrics().agg(F.count("*").alias("n"), F.sum("late").alias("late")).first()
-    return inputs.flat_documents(ingest.snapshot.documents()).withColumns(
-        {"several": F.lit(flushed["n"] >= 3), "late": F.lit(flushed["late"]).cast("long")}
+    return inputs.flat_documents(ingest.documents()).withColumns(
+        {"several": F.lit(flushed["n"] >= least), "late": F.lit(flushed["late"]).cast("long")}
+    )
+
+
+@_query
+def stream_flush_by_size(spark, directory):
+    """One file a flush; late keys would show."""
+    schema, files = _operation_files(spark, directory, 3)
+    return _with_flushes(_drained(spark, operation_stream(spark, files, schema, files=1)), 3)
+
+
+@_query
+def stream_flush_by_bytes(spark, directory):
+    """Flushes of the bytes of the largest file: each takes one file, or more of smaller ones."""
+    schema, files = _operation_files(spark, directory, 4)
+    sizes = spark.read.parquet(files).select("_metadata.file_path", "_metadata.file_size").distinct()
+    largest = sizes.agg(F.max("file_size")).first()[0] or 1
+    return _with_flushes(_drained(spark, operation_stream(spark, files, schema, volume=largest)), 2)
+
+
+@_query
+def stream_fold(spark, directory):
+    """The stream's table folded into one row for each key, and the whole log repeated on top: all of it late."""
+    ops = inputs.oplog(spark, directory).select(*changelog.OPERATION)
+    schema, files = _operation_files(spark, directory, 2)
+    first = _drained(spark, operation_stream(spark, files, schema, files=1))
+    folded = first.folded(scratch_path(spark, "folded"))
+    per_key = folded.table.changes().groupBy("index", "id").agg(F.count("*").alias("n"))
+    rows = per_key.agg(F.max("n")).first()[0]
+    folded.flush(ops.where("seq IS NOT NULL"), first.flushed())
+    late = folded.metrics().agg(F.sum("late")).first()[0]
+    return inputs.flat_documents(folded.documents()).withColumns(
+        {"rows_per_key": F.lit(rows).cast("long"), "late": F.lit(late).cast("long")}
     )
 
 
