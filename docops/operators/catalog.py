@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docops.plans.skew import bounded_rows, checked_broadcast
+from docops.plans.skew import BROADCAST_ROWS, bounded_rows, checked_broadcast
 
 # Index states.
 OPEN, CLOSE = "OPEN", "CLOSE"
@@ -67,18 +67,24 @@ def with_state(catalog: DataFrame, names: DataFrame, state: str) -> DataFrame:
     )
 
 
-def scan_open(docs: DataFrame, catalog: DataFrame) -> DataFrame:
+def scan_open(docs: DataFrame, catalog: DataFrame, listed: int = PRUNING_NAMES) -> DataFrame:
     """The rows a search can see: those of open indices. Prunes partitions of a routed table."""
-    return keep_indices(docs, catalog.where(F.col("state") == OPEN))
+    return keep_indices(docs, catalog.where(F.col("state") == OPEN), listed)
 
 
-def keep_indices(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows whose index is among ``names``; a null name or index matches nothing."""
+def keep_indices(docs: DataFrame, names: DataFrame, listed: int = PRUNING_NAMES) -> DataFrame:
+    """Rows whose index is among ``names``; a null name or index matches nothing.
+
+    Up to ``listed`` names are a literal list, by which a routed table is pruned while
+    planning; more are joined, and prune it while running if they can be broadcast and
+    were themselves filtered.
+    """
     known = names.where(F.col("index").isNotNull()).select("index").distinct()
-    rows = bounded_rows(known, PRUNING_NAMES)
+    rows = bounded_rows(known, listed)
     if rows is not None:
         return docs.where(F.col("index").isin([row["index"] for row in rows]))
-    return docs.join(checked_broadcast(known), "index", "left_semi")
+    few = bounded_rows(known, BROADCAST_ROWS) is not None
+    return docs.join(F.broadcast(known) if few else known, "index", "left_semi")
 
 
 def drop_indices(docs: DataFrame, names: DataFrame | Sequence[str]) -> DataFrame:

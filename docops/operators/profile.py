@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from docops.functions.mapping import typed_paths
 from docops.functions.names import utc_millis
+from docops.session import scratch_path
 
 # Newest-document answers without a document and without a value.
 NO_DOCUMENT = -1
@@ -106,3 +107,48 @@ def observed_fields(docs: DataFrame, json_column: str) -> DataFrame:
     """Distinct top-level field names in a JSON column, with the number of documents having each."""
     names = F.map_keys(F.from_json(F.col(json_column), "map<string,string>"))
     return docs.select(F.explode(names).alias("field")).groupBy("field").agg(F.count("*").alias("docs"))
+
+
+#: Levels of nesting that are walked at first; twice as many each time something lies deeper.
+ROUNDS = 4
+
+
+def observed_paths(docs: DataFrame, json_column: str, rounds: int = ROUNDS) -> DataFrame:
+    """Dotted paths of all values in a JSON column at any depth: ``path, docs``.
+
+    Objects add their names to the path, arrays do not: a document counts once for a path
+    however often an array holds it. Nulls, empty objects and empty arrays hold no value,
+    and text that is no JSON none either; a plain value as a whole has the empty path.
+    The walk takes place inside each row; only distinct paths of a row are shuffled, once.
+    """
+    whole = F.struct(F.lit("").alias("path"), F.try_parse_json(json_column).alias("value"))
+    nodes = F.array(whole)
+    for _ in range(rounds):
+        nodes = F.flatten(F.transform(nodes, _grown))
+    values = F.filter(nodes, lambda n: _kind(n) != "VOID")
+    # Null where a node still is an object or array: something lies deeper.
+    ends = F.transform(values, lambda n: F.when(~_kind(n).rlike("^(OBJECT|ARRAY)"), n["path"]))
+    counted = docs.select(F.explode(F.array_distinct(ends)).alias("path")).groupBy("path").agg(F.count("*").alias("docs"))
+    path = scratch_path(docs.sparkSession, "paths")
+    counted.write.parquet(path)
+    found = docs.sparkSession.read.schema("path string, docs long").parquet(path)
+    return found if found.where("path IS NULL").isEmpty() else observed_paths(docs, json_column, 2 * rounds)
+
+
+def _kind(node: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(node["value"]), F.lit("VOID"))
+
+
+def _grown(node: Column) -> Column:
+    """A node's members, one level down; a plain value stays as it is."""
+    path, value = node["path"], node["value"]
+
+    def member(entry: Column) -> Column:
+        name = F.when(path == "", entry["key"]).otherwise(F.concat(path, F.lit("."), entry["key"]))
+        return F.struct(name.alias("path"), entry["value"].alias("value"))
+
+    fields = F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), member)
+    items = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"), lambda v: F.struct(path.alias("path"), v.alias("value"))
+    )
+    return F.when(_kind(node).startswith("OBJECT"), fields).when(_kind(node).startswith("ARRAY"), items).otherwise(F.array(node))

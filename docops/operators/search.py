@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DataType
 
 from docops.functions.text import matches_any_token, matches_normalized, matches_wildcard
 from docops.plans.skew import OrderedRanges, order_columns
@@ -21,9 +21,9 @@ ID_PAGE = 1000
 TOP_ROWS = 1_000
 
 __all__ = [
-    "aggregate", "field_exists", "field_query", "in_indices", "match_all", "matches_any_token",
+    "after", "aggregate", "cursor_of", "field_exists", "field_query", "in_indices", "match_all", "matches_any_token",
     "matches_normalized", "matches_wildcard", "page", "page_summary", "page_with_total", "project",
-    "scroll", "scroll_requests", "searchable_count", "term",
+    "scroll", "scroll_page", "scroll_summary", "searchable_count", "term",
 ]
 
 
@@ -131,9 +131,59 @@ def scroll(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     return numbered.withColumn("page", page_number).drop("_position")
 
 
-def scroll_requests(scrolled: DataFrame) -> DataFrame:
-    """What a scroll took, from its rows: hits, pages with hits, and requests with the final empty one."""
+def scroll_summary(scrolled: DataFrame) -> DataFrame:
+    """What a scroll went through: hits, pages, and the least and most rows of a page."""
     pages = scrolled.groupBy("page").agg(F.count("*").alias("n"))
-    return pages.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("hits"), F.count("*").alias("pages")).select(
-        "hits", "pages", (F.col("pages") + 1).alias("requests"), F.lit(1).cast("long").alias("empty_requests")
+    none = F.lit(0).cast("long")
+    return pages.agg(
+        F.coalesce(F.sum("n"), none).alias("hits"),
+        F.count("*").alias("pages"),
+        F.coalesce(F.min("n"), none).alias("least"),
+        F.coalesce(F.max("n"), none).alias("most"),
     )
+
+
+def cursor_of(page_rows: DataFrame, order: Sequence[str]) -> tuple | None:
+    """The order values of the last row of a page, from which a scroll goes on; None behind the end."""
+    names = [o.removeprefix("-") for o in order]
+    last = page_rows.orderBy(*[_reversed(o) for o in order]).select(*names).head(1)
+    return tuple(last[0]) if last else None
+
+
+def _reversed(name: str) -> Column:
+    return F.col(name[1:]).asc() if name.startswith("-") else F.col(name).desc()
+
+
+def _behind(name: str, value, kind: DataType) -> Column:
+    """Rows strictly behind ``value`` in one order column: nulls are first, in descending order last."""
+    column = F.col(name.removeprefix("-"))
+    if name.startswith("-"):
+        return F.lit(False) if value is None else (column < F.lit(value).cast(kind)) | column.isNull()
+    return column.isNotNull() if value is None else column > F.lit(value).cast(kind)
+
+
+def after(df: DataFrame, order: Sequence[str], cursor: Sequence) -> Column:
+    """The rows behind ``cursor``; plain comparisons, which the scan uses to skip files and row groups."""
+    if len(order) != len(cursor):
+        raise ValueError("a cursor has one value for each order column")
+    kinds = [df.schema[o.removeprefix("-")].dataType for o in order]
+    behind, equal = F.lit(False), F.lit(True)
+    for name, value, kind in zip(order, cursor, kinds):
+        behind = behind | (equal & _behind(name, value, kind))
+        equal = equal & F.col(name.removeprefix("-")).eqNullSafe(F.lit(value).cast(kind))
+    # What is behind the cursor is not before its first value: a condition of one column, pushed to the scan.
+    first, value = F.col(order[0].removeprefix("-")), F.lit(cursor[0]).cast(kinds[0])
+    if cursor[0] is None:
+        return behind
+    reach = (first <= value) | first.isNull() if order[0].startswith("-") else first >= value
+    return reach & behind
+
+
+def scroll_page(df: DataFrame, order: Sequence[str], size: int, cursor: Sequence | None = None) -> DataFrame:
+    """The next ``size`` rows behind ``cursor``, from the beginning without one; ``order`` must be unique.
+
+    Nothing is kept between pages: the cursor alone says where to go on, also in another
+    session. Each page is a distributed top-k over what lies behind it.
+    """
+    rows = df if cursor is None else df.where(after(df, order, cursor))
+    return rows.orderBy(*order_columns(order)).limit(size)

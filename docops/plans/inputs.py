@@ -10,7 +10,8 @@ from docops.operators.aliases import ALIAS_ROW
 from docops.operators.catalog import CLOSE, OPEN, build_catalog
 from docops.operators.changelog import CREATE, DELETE, INDEX, UPDATE
 from docops.operators.keyed import with_document_key
-from docops.sources.tables import load_table, route
+from docops.session import scratch_path
+from docops.sources.tables import load_table, read_routed, route, write_routed
 
 FIRST_OPEN = "events20240111"
 LAST_DAY = "events20240130"
@@ -72,6 +73,30 @@ def flat_documents(documents: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def nested_events(spark: SparkSession, directory: str) -> DataFrame:
+    """Events with a JSON document of one of four shapes: plain, arrays, deep, and one that does not fit."""
+    k, kind = F.get_json_object("props", "$.k"), F.col("event_type")
+
+    def text(template: str):
+        return F.replace(F.replace(F.lit(template), F.lit("K"), k), F.lit("T"), kind)
+
+    shape = F.pmod("event_id", F.lit(4))
+    doc = (
+        F.when(shape == 0, text('{"k":K,"person":{"name":"T","n":"K"}}'))
+        .when(shape == 1, text('{"k":["K",K],"person":[{"name":"T","n":K},{"name":["x","T"],"n":[K,"K"]}]}'))
+        .when(shape == 2, text('{"k":null,"person":[],"deep":{"a":[{"b":{"c":[K]}},{"b":{"d":{"e":{"f":"T"}}}}]}}'))
+        .otherwise(text('{"k":"T","person":"T"}'))
+    )
+    return load_table(spark, directory, "events").select("event_id", doc.alias("doc_text"))
+
+
+def routed_events(spark: SparkSession, directory: str) -> DataFrame:
+    """Events written to one directory for each day, and read from there."""
+    path = scratch_path(spark, "routed")
+    write_routed(dated_events(spark, directory).select("index", "event_id", "event_type"), path)
+    return read_routed(spark, path)
+
+
 def catalog(spark: SparkSession, directory: str) -> DataFrame:
     """Daily event indices, the first ten days closed."""
     built = build_catalog(dated_events(spark, directory), "ts")

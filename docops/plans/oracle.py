@@ -125,8 +125,11 @@ ORACLE: dict[str, str] = {
         ELSE sha256(CAST(event_id AS VARCHAR) || '|' || props) END AS id FROM events""",
     "scroll_pages": f"""WITH {DOCS} SELECT doc_id, "index",
         (row_number() OVER (ORDER BY doc_id) - 1) // 79 AS page FROM docs""",
-    "scroll_stats": """SELECT count(*) AS hits, CAST(ceil(count(*) / 79.0) AS BIGINT) AS pages,
-        CAST(ceil(count(*) / 79.0) AS BIGINT) + 1 AS requests, CAST(1 AS BIGINT) AS empty_requests FROM documents""",
+    "scroll_stats": """SELECT CAST(sum(n) AS BIGINT) AS hits, count(*) AS pages, min(n) AS least, max(n) AS most FROM
+        (SELECT count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 79 AS page FROM documents)
+        GROUP BY page)""",
+    "scroll_resumed": """SELECT l_orderkey, l_linenumber, l_extendedprice, (row_number() OVER (ORDER BY
+        l_extendedprice DESC, l_orderkey, l_linenumber) - 1) // 100 AS page FROM lineitem""",
     "compact_index": f"""WITH {EVENTS} SELECT "index", count(*) AS docs, CAST(1 AS BIGINT) AS files FROM ev
         WHERE "index" = 'events20240130' GROUP BY 1""",
     "get_ids": "SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE lang = 'fr'",
@@ -135,6 +138,11 @@ ORACLE: dict[str, str] = {
     "doc_multi_get": f"""WITH {REQUESTS} SELECT r.position, r.again, r."index", r.id, d.source, d.n_chars,
         d.id IS NOT NULL AS found, CAST(-1 AS FLOAT) AS score
         FROM req r LEFT JOIN docs d ON d."index" = r."index" AND d.id = r.id""",
+    "keyed_multi_get": f"""WITH {REQUESTS} SELECT r.position, r.again, r."index", r.id, d.source, d.n_chars,
+        d.id IS NOT NULL AS found, CAST(-1 AS FLOAT) AS score
+        FROM req r LEFT JOIN docs d ON d."index" = r."index" AND d.id = r.id WHERE r.again = 1""",
+    "keyed_exists": f"""WITH {REQUESTS} SELECT r.*, EXISTS (SELECT 1 FROM docs d
+        WHERE d."index" = r."index" AND d.id = r.id) AS "exists" FROM req r WHERE r.again = 1""",
     "doc_exists": f"""WITH {REQUESTS} SELECT r.*, EXISTS (SELECT 1 FROM docs d
         WHERE d."index" = r."index" AND d.id = r.id) AS "exists" FROM req r""",
     "searchable_docs": "SELECT count(*) AS docs FROM documents WHERE lang = 'en'",
@@ -202,6 +210,8 @@ ORACLE: dict[str, str] = {
         WHERE state = 'CLOSE' AND created < TIMESTAMP '2024-01-06')""",
     "open_close_scan": f"""WITH {CATALOG} SELECT "index", event_id FROM ev WHERE "index" = 'events20240103'
         OR "index" IN (SELECT "index" FROM cat WHERE state = 'OPEN')""",
+    "routed_open_scan": f"""WITH {CATALOG} SELECT "index", event_id FROM ev
+        WHERE "index" IN (SELECT "index" FROM cat WHERE state = 'OPEN')""",
     "drop_index": f"""WITH {EVENTS} SELECT "index", event_id FROM ev
         WHERE "index" NOT IN ('events20240107', 'events20240108', 'events19990101')""",
     "resolve_alias": f"""WITH {ALIASES} SELECT DISTINCT "index" FROM al WHERE alias = 'events'""",
@@ -234,6 +244,15 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'toxic', g, n FROM c UNION ALL SELECT 'author', 0, n FROM c)
         SELECT path, docs, round(docs * 100.0 / CAST(n AS DOUBLE), 6) AS percent FROM p""",
     "field_coverage_summary": "SELECT CAST(8 AS BIGINT) AS fields, CAST(1 AS BIGINT) AS unused",
+    "observed_paths": """WITH p AS (SELECT unnest(CASE event_id % 4 WHEN 0 THEN ['k', 'person.name', 'person.n']
+          WHEN 1 THEN ['k', 'person.name', 'person.n'] WHEN 2 THEN ['deep.a.b.c', 'deep.a.b.d.e.f']
+          ELSE ['k', 'person'] END) AS path FROM events) SELECT path, count(*) AS docs FROM p GROUP BY path""",
+    "ingest_json_lists": """WITH e AS (SELECT event_id, event_id % 4 AS s, event_type AS t,
+          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+        SELECT event_id, CASE s WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 0 END AS k_count,
+          CAST(CASE s WHEN 0 THEN k WHEN 1 THEN 2 * k WHEN 2 THEN 0 END AS BIGINT) AS k_sum,
+          CASE s WHEN 0 THEN t WHEN 1 THEN t || ',x,' || t WHEN 2 THEN '' END AS names,
+          CAST(CASE s WHEN 0 THEN k WHEN 1 THEN 3 * k WHEN 2 THEN 0 END AS BIGINT) AS n_sum FROM e""",
     "observed_fields": """SELECT field, count(*) AS docs FROM (SELECT unnest(json_keys(props)) AS field FROM events)
         GROUP BY field""",
     "stream_bulk_apply": f"""WITH {APPLIED} SELECT * FROM applied""",
@@ -288,3 +307,5 @@ ORACLE: dict[str, str] = {
 
 for _name in ("bulk_apply", "bulk_item_outcome", "bulk_chunk", "bulk_chunk_by_count", "throughput_blocks"):
     ORACLE[f"{_name}_split"] = ORACLE[_name]
+
+ORACLE["routed_multi_index"] = ORACLE["search_multi_index"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,12 @@ from docops.streaming.ingest import BulkIngest, operation_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 PROPS_MAPPING = {"properties": {"k": {"type": "integer"}}}
+LISTS_MAPPING = {
+    "properties": {
+        "k": {"type": "long"},
+        "person": {"properties": {"name": {"type": "keyword"}, "n": {"type": "long"}}},
+    }
+}
 DOCUMENT_MAPPING = {
     "properties": {
         "doc_id": {"type": "long"},
@@ -66,6 +73,24 @@ def ingest_json_source(spark, directory):
     )
 
 
+@_query
+def ingest_json_lists(spark, directory):
+    """Fields that hold one value or several, objects included; counts and sums of what they hold."""
+    rows = json_ingest.ingest_json_lists(inputs.nested_events(spark, directory), "doc_text", LISTS_MAPPING, "rejected")
+
+    def total(values):
+        return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
+
+    fitting = rows.where("NOT rejected").select(
+        "event_id",
+        F.size("doc.k").alias("k_count"),
+        total(F.col("doc.k")).alias("k_sum"),
+        F.array_join(F.flatten("doc.person.name"), ",").alias("names"),
+        total(F.flatten("doc.person.n")).alias("n_sum"),
+    )
+    return rows.where("rejected").select("event_id").unionByName(fitting, allowMissingColumns=True)
+
+
 @_query
 def ingest_rejected(spark, directory):
     """Event properties of which every fifth is cut short and every seventh has a wrong type."""
@@ -128,7 +153,22 @@ def scroll_pages(spark, directory):
 
 @_query
 def scroll_stats(spark, directory):
-    return search.scroll_requests(scroll_pages(spark, directory))
+    return search.scroll_summary(scroll_pages(spark, directory))
+
+
+@_query
+def scroll_resumed(spark, directory):
+    """Line items by price: a page, a page from its cursor, and a scroll of all that lies behind that one."""
+    order, size = ["-l_extendedprice", "l_orderkey", "l_linenumber"], 100
+    lines = tables.load_table(spark, directory, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    first = search.scroll_page(lines, order, size)
+    second = search.scroll_page(lines, order, size, search.cursor_of(first, order))
+    cursor = search.cursor_of(second, order)
+    pages = [rows.withColumn("page", F.lit(n).cast("long")) for n, rows in enumerate((first, second))]
+    if cursor is not None:
+        rest = search.scroll(lines.where(search.after(lines, order, cursor)), order, size)
+        pages.append(rest.withColumn("page", F.col("page") + 2))
+    return reduce(DataFrame.unionByName, pages)
 
 
 @_query
@@ -163,6 +203,25 @@ def doc_exists(spark, directory):
     return keyed.exists(inputs.docs(spark, directory), inputs.document_requests(spark, directory))
 
 
+def _keyed_docs(spark, directory):
+    """The documents written for reads by id, and read from there."""
+    path = scratch_path(spark, "keyed")
+    tables.write_keyed(tables.load_table(spark, directory, "documents"), path, "doc_id", files=8)
+    return keyed.with_document_key(spark.read.parquet(path), F.concat(F.lit("documents_"), "lang"), "doc_id")
+
+
+@_query
+def keyed_multi_get(spark, directory):
+    requests = inputs.document_requests(spark, directory).where("again = 1")
+    return keyed.multi_get(_keyed_docs(spark, directory), requests, ["source", "n_chars"], stored="doc_id")
+
+
+@_query
+def keyed_exists(spark, directory):
+    requests = inputs.document_requests(spark, directory).where("again = 1")
+    return keyed.exists(_keyed_docs(spark, directory), requests, stored="doc_id")
+
+
 # Search
 
 
@@ -241,6 +300,13 @@ def search_multi_index(spark, directory):
     return events.where(search.in_indices(["events20240105", "events20240117"])).select("index", "event_id")
 
 
+@_query
+def routed_multi_index(spark, directory):
+    """The same over a table with one directory for each day: only the named ones are read."""
+    events = inputs.routed_events(spark, directory)
+    return events.where(search.in_indices(["events20240105", "events20240117"])).select("index", "event_id")
+
+
 @_query
 def search_projection(spark, directory):
     orders = tables.load_table(spark, directory, "orders").where(search.term("o_orderpriority", "2-HIGH"))
@@ -375,6 +441,15 @@ def open_close_scan(spark, directory):
     return catalog.scan_open(inputs.dated_events(spark, directory), reopened).select("index", "event_id")
 
 
+@_query
+def routed_open_scan(spark, directory):
+    """Open indices of a routed table by a join with the stored catalogue, which prunes it while running."""
+    path = scratch_path(spark, "catalogue")
+    inputs.catalog(spark, directory).write.parquet(path)
+    events = inputs.routed_events(spark, directory)
+    return catalog.scan_open(events, spark.read.parquet(path), listed=0).select("index", "event_id")
+
+
 @_query
 def drop_index(spark, directory):
     gone = ["events20240107", "events20240108", "events19990101"]
@@ -490,6 +565,11 @@ def observed_fields(spark, directory):
     return profile.observed_fields(tables.load_table(spark, directory, "events"), "props")
 
 
+@_query
+def observed_paths(spark, directory):
+    return profile.observed_paths(inputs.nested_events(spark, directory), "doc_text")
+
+
 # Streaming
 
 

@@ -22,7 +22,8 @@ def bulk_lines(ops: DataFrame) -> DataFrame:
     """Adds ``body``: the lines of each operation, joined and ended by line breaks.
 
     Optional columns ``routing``, ``version`` and ``version_type`` appear in the
-    action when set; a version only above zero, and never for a delete.
+    action when set; a version only above zero, and never for a delete. An index or
+    create without a source is an empty document.
     """
     versioned = (F.col("op") != DELETE) & (_optional(ops, "version").cast("long") > 0)
     action = F.to_json(
@@ -37,7 +38,7 @@ def bulk_lines(ops: DataFrame) -> DataFrame:
     head = F.concat(F.lit('{"'), F.col("op"), F.lit('":'), action, F.lit("}\n"))
     source = _body(ops)
     tail = (
-        F.when(F.col("op").isin(INDEX, CREATE), F.concat(source, F.lit("\n")))
+        F.when(F.col("op").isin(INDEX, CREATE), F.concat(F.coalesce(source, F.lit("{}")), F.lit("\n")))
         .when(F.col("op") == UPDATE, F.coalesce(F.concat(F.lit('{"doc":'), source, F.lit("}\n")), F.lit("")))
         .otherwise("")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
@@ -93,3 +95,64 @@ def _bad_point(text: Column, value: Column, schema: StructType) -> Column:
         elif isinstance(field.dataType, StructType):
             wrong = wrong | F.coalesce(_bad_point(text[field.name], value[field.name], field.dataType), F.lit(False))
     return wrong
+
+
+def ingest_json_lists(df: DataFrame, column: str, mapping: str | dict, rejected: str | None = None) -> DataFrame:
+    """Adds ``doc``: a struct in which every mapped field is an array of its values, objects included.
+
+    A field may hold one value or an array of them; nulls inside are left out, and a field
+    that is missing or null is an empty array. A value is converted where its text fits the
+    mapped type (``"5"`` is a long); what does not fit, an object for a plain field among
+    them, is a null entry and makes the document ``rejected``. Two numbers in an array are
+    one point. Text that is no JSON object gives a null ``doc`` and is rejected.
+    """
+    wanted = mapping_schema(mapping)
+    text, whole = F.col(column), F.col(_BROKEN)
+    rows = df.withColumn(_BROKEN, F.try_parse_json(text))
+    valid = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
+    rows = rows.withColumn("doc", F.when(valid, _listed_struct(whole, wanted)))
+    if rejected is not None:
+        wrong = ~valid | F.coalesce(_has_null(F.col("doc"), wanted), F.lit(False))
+        rows = rows.withColumn(rejected, text.isNotNull() & wrong)
+    return rows.drop(_BROKEN)
+
+
+def _shape(value: Column, *kinds: str) -> Column:
+    found = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    return reduce(lambda a, b: a | b, [found.startswith(kind) for kind in kinds])
+
+
+def _listed_struct(value: Column, schema: StructType) -> Column:
+    """The fields of an object, each as the array of its values."""
+    fields = [F.try_variant_get(value, f"$['{field.name}']", "variant") for field in schema]
+    return F.struct(*[_listed(v, field.dataType).alias(field.name) for v, field in zip(fields, schema)])
+
+
+def _listed(value: Column, kind: DataType) -> Column:
+    several = _shape(value, "ARRAY")
+    if _is_point(kind):  # an array that begins with a number is one point
+        several = several & ~_shape(F.try_variant_get(value, "$[0]", "variant"), "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    items = F.when(several, F.try_variant_get(value, "$", "array<variant>")).otherwise(F.array(value))
+
+    def typed(item: Column) -> Column:
+        if _is_point(kind):
+            return _point(item.cast("string"))
+        if isinstance(kind, StructType):
+            return F.when(_shape(item, "OBJECT"), _listed_struct(item, kind))
+        return F.when(~_shape(item, "OBJECT", "ARRAY"), F.try_variant_get(item, "$", kind.simpleString()))
+
+    return F.transform(F.filter(items, lambda item: ~_shape(item, "VOID")), typed)
+
+
+def _has_null(doc: Column, schema: StructType) -> Column:
+    """Whether some value, at any depth, did not fit."""
+
+    def wrong(item: Column, kind: DataType) -> Column:
+        if isinstance(kind, StructType) and not _is_point(kind):
+            return item.isNull() | F.coalesce(_has_null(item, kind), F.lit(False))
+        return item.isNull()
+
+    def of_kind(kind: DataType):
+        return lambda item: wrong(item, kind)
+
+    return reduce(lambda a, b: a | b, [F.exists(doc[f.name], of_kind(f.dataType)) for f in schema], F.lit(False))

@@ -33,26 +33,16 @@ def test_multi_get_keeps_duplicates_and_missing(spark, docs):
 
 
 @pytest.mark.parametrize("size, pages", [(579, 173), (79, 1266), (1000, 100)])
-def test_scroll_pages_and_requests(spark, size, pages):
-    df = spark.range(100_000)
-    row = search.scroll_requests(df, size).first()
-    assert (row["hits"], row["pages"], row["requests"], row["empty_requests"]) == (100_000, pages, pages + 1, 1)
-    numbered = search.scroll(df, ["id"], size)
+def test_scroll_pages_and_summary(spark, size, pages):
+    numbered = search.scroll(spark.range(100_000), ["id"], size)
+    row = search.scroll_summary(numbered).first()
+    assert (row["hits"], row["pages"], row["least"], row["most"]) == (100_000, pages, 100_000 % size or size, size)
     assert numbered.where(F.col("page") != F.floor(F.col("id") / size)).count() == 0
-    assert numbered.count() == 100_000
-
-
-def test_scroll_counters_add_up(spark):
-    df = spark.range(100_000)
-    totals = [search.scroll_requests(df, size).first() for size in (579, 79, 1000)]
-    assert (sum(t["requests"] for t in totals), sum(t["pages"] for t in totals),
-            sum(t["empty_requests"] for t in totals)) == (1542, 1539, 3)
 
 
 def test_empty_scroll(spark):
-    empty = spark.range(0)
-    assert search.scroll(empty, ["id"], 10).count() == 0
-    assert tuple(search.scroll_requests(empty, 10).first()) == (0, 0, 1, 1)
+    empty = search.scroll(spark.range(0), ["id"], 10)
+    assert empty.count() == 0 and tuple(search.scroll_summary(empty).first()) == (0, 0, 0, 0)
 
 
 def test_page_and_total(spark):
@@ -116,7 +106,8 @@ def test_bulk_lines(spark):
     ops = spark.createDataFrame(
         [("index", "i", "1", {"a": "x"}, "r", 3, "EXTERNAL"), ("create", "i", None, {"a": "y"}, None, 0, None),
          ("update", "i", 'q"', {"a": "z"}, None, -1, None), ("delete", "i", "2", None, None, 9, "EXTERNAL"),
-         ("update", "i", "3", None, None, None, None)],
+         ("update", "i", "3", None, None, None, None), ("index", "i", "4", None, None, None, None),
+         ("create", "i", "5", None, None, None, None)],
         "op string, index string, id string, source map<string,string>, routing string, version long, version_type string")
     got = [r["body"] for r in bulk_lines.bulk_lines(ops).collect()]
     assert got == [
@@ -125,6 +116,8 @@ def test_bulk_lines(spark):
         '{"update":{"_index":"i","_id":"q\\""}}\n{"doc":{"a":"z"}}\n',
         '{"delete":{"_index":"i","_id":"2"}}\n',
         '{"update":{"_index":"i","_id":"3"}}\n',
+        '{"index":{"_index":"i","_id":"4"}}\n{}\n',
+        '{"create":{"_index":"i","_id":"5"}}\n{}\n',
     ]
 
 

@@ -5,7 +5,6 @@ import pytest
 from docops.operators import changelog, profile, search
 from docops.plans import registry, skew
 from docops.sources.json_ingest import ingest_json
-from docops.streaming import snapshot
 from docops.streaming.ingest import BulkIngest
 from tests.compare import spark_rows
 from tests.test_skew import OPS
@@ -41,10 +40,11 @@ def test_documents_the_log_does_not_name_stay_as_they_are(spark, monkeypatch, bo
 
 def test_more_keys_than_the_bound_in_a_flush(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(skew.checked_broadcast, "__defaults__", (1,))
-    ingest = BulkIngest(spark, str(tmp_path), buckets=64)
+    ingest = BulkIngest(spark, str(tmp_path))
     ingest.flush(spark.createDataFrame([(n, "i", str(n), "index", {}) for n in range(5)], OPS), 0)
     ingest.flush(spark.createDataFrame([(9, "i", "7", "index", {})], OPS), 1)
-    assert ingest.snapshot.documents().count() == 6 and len(ingest.snapshot.manifest()) <= 6
+    ingest.flush(spark.createDataFrame([(8, "i", "7", "delete", None), (1, "i", "2", "delete", None)], OPS), 2)
+    assert ingest.documents().count() == 6 and [r["late"] for r in ingest.metrics().orderBy("batch").collect()] == [0, 0, 2]
 
 
 def test_streams_read_tables_stored_as_directories(spark, tmp_path):
@@ -56,12 +56,11 @@ def test_streams_read_tables_stored_as_directories(spark, tmp_path):
         registry.stream_ingest_metrics(spark, SMALL))
 
 
-def test_a_broken_manifest_is_not_an_empty_table(spark, tmp_path):
-    (tmp_path / "manifest").mkdir()
-    ingest = BulkIngest(spark, str(tmp_path))
-    (tmp_path / "manifest" / "part-0.parquet").write_bytes(b"not parquet")
+def test_a_broken_file_is_not_an_empty_table(spark, tmp_path):
+    (tmp_path / "changes" / "flush=0").mkdir(parents=True)
+    (tmp_path / "changes" / "flush=0" / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
-        ingest.snapshot.manifest()
+        BulkIngest(spark, str(tmp_path)).table.changes().collect()
 
 
 def test_coverage_of_maps_and_arrays(spark):
@@ -94,22 +93,3 @@ def test_points_in_three_forms_and_rejected_documents(spark):
 def test_one_key_is_pushed_to_the_scan(spark, capsys):
     registry.doc_get(spark, SMALL).explain()
     assert "EqualTo(doc_id,1)" in capsys.readouterr().out
-
-
-def test_a_flush_writes_its_own_keys_and_full_buckets_are_folded(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(snapshot, "MOST_LAYERS", 2)
-    ingest = BulkIngest(spark, str(tmp_path), buckets=2)
-    ingest.flush(spark.createDataFrame([(n, "i", str(n), "index", {"x": "0"}) for n in range(50)], OPS), 0)
-    rows = []
-    for batch in range(1, 5):
-        ops = [(100 * batch, "i", str(batch), "update", {"x": str(batch)}), (100 * batch + 1, "i", str(10 + batch), "delete", None)]
-        ingest.flush(spark.createDataFrame(ops, OPS), batch)
-        rows.append(spark.read.parquet(f"{tmp_path}/data/version={batch + 1}").count())
-        assert all(len(v) <= 2 for v in ingest.snapshot.layers().values())
-    assert rows[0] == 2 and max(rows) > 2  # a small layer first, folds later
-    got = {r["id"]: r["source"]["x"] for r in ingest.snapshot.documents().collect()}
-    want = {str(n): str(n) if 1 <= n <= 4 else "0" for n in range(50) if not 11 <= n <= 14}
-    assert got == want
-    fresh = BulkIngest(spark, str(tmp_path), buckets=2)  # a restart repeats the last flush
-    fresh.flush(spark.createDataFrame(ops, OPS), 4)
-    assert {r["id"]: r["source"]["x"] for r in fresh.snapshot.documents().collect()} == want
