@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from docops.llm.common import stored, table
 from docops.llm.linedup import MIN_WORDS, delete_repeats
 from docops.llm.mixing import mix
-from docops.llm.neardup import one_of_similar
 from docops.llm.packing import pack
 from docops.llm.quality import good_documents
+from docops.llm.simhash import one_of_each
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles have a similarity of 0.8 or more."""
-    return one_of_similar(docs)
+    """One document of each group whose fingerprints are linked, by the operator's own shingles and bits."""
+    return one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_classifier),
     ("line dedup", line_dedup),
-    ("near-dedup", near_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("mixing sources to target weights", mixing),
     ("packing", packing),
 ]
