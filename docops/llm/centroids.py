@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table
+from docops.llm.common import stored, table, whole_quanta
 
 CLUSTERS = 8
 PIVOTS = 16
@@ -78,16 +78,6 @@ def _array(rows: Sequence[Sequence[int]]) -> np.ndarray:
     return np.array(rows, dtype=np.int64 if largest < _SMALL else object).reshape(len(rows), -1)
 
 
-def _quanta(embedding: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * x), exact for every finite x; ``scale`` is a power of two."""
-    scaled = np.floor(embedding * float(scale))
-    if np.abs(scaled).max(initial=0) < _SMALL:
-        return scaled.astype(np.int64)
-    # A double times a power of two is exact, and so is its floor.
-    whole = [[(int(n) * scale) // int(d) for n, d in (float(x).as_integer_ratio() for x in row)] for row in embedding]
-    return np.array(whole, dtype=object).reshape(embedding.shape)
-
-
 def _encoded(vectors: np.ndarray) -> tuple[bytes | None, bytes | None]:
     """(vectors, wide): the components as 32-bit numbers, or as text if they are too large."""
     if vectors.dtype == object:
@@ -138,7 +128,7 @@ def _blocks(pivots: np.ndarray | None, scale: int, size: int):
     """Arrow batches of (vec_id, embedding) to blocks of up to ``size`` vectors."""
 
     def block(ids: list, embeddings: np.ndarray) -> pa.RecordBatch:
-        vectors = _quanta(embeddings, scale)
+        vectors = whole_quanta(embeddings, scale, _SMALL)
         table = np.stack([_roots(_squares(vectors, p)) for p in pivots], axis=1)
         values = np.array([0 if i is None else i for i in ids], dtype=np.int64)
         missing = np.array([i is None for i in ids], dtype=np.bool_)
@@ -261,7 +251,7 @@ def first_vectors(kept: DataFrame, count: int, seed: int, scale: int) -> np.ndar
     rows = kept.withColumn("h", F.sha2(name.cast("binary"), 256)).orderBy("h", "embedding").limit(count).collect()
     if not rows:
         return np.zeros((0, 0), dtype=np.int64)
-    return _quanta(np.array([r.embedding for r in rows], dtype=np.float64), scale)
+    return whole_quanta(np.array([r.embedding for r in rows], dtype=np.float64), scale, _SMALL)
 
 
 def cluster_vectors(

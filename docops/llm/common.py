@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,15 @@ def sample_by_hash(rows: DataFrame, keys: list[str], size: int, count: int) -> D
     share = min(scale, scale * 3 * size // (2 * max(count, 1)) + 1)
     thinned = rows.where(F.pmod(F.xxhash64(*keys), F.lit(scale)) < share)
     return thinned.orderBy(F.xxhash64(*keys), *keys).limit(size)
+
+
+def whole_quanta(values: np.ndarray, scale: int, small: int) -> np.ndarray:
+    """floor(scale * x), exact for every finite x; ``scale`` is a power of two.
+
+    64-bit numbers if all are below ``small``, else Python's integers.
+    """
+    scaled = np.floor(values * float(scale))
+    if np.abs(scaled).max(initial=0) < small:
+        return scaled.astype(np.int64)
+    whole = [[(int(n) * scale) // int(d) for n, d in (float(x).as_integer_ratio() for x in row)] for row in values]
+    return np.array(whole, dtype=object).reshape(values.shape)

@@ -9,7 +9,9 @@ early only when these bounds leave few possible members for every query; in any
 exactly the vectors that the bounds cannot exclude are scored again with full integers.
 
 * Vectors that are null or hold a null or non-finite component take no part, nor do rows
-  without id. Components are clipped to 2**28 quanta of 1/256 either way.
+  without id. Components of any finite size are exact: where 64 bits could overflow, a block
+  is scored against a query chunk with integers of any size and without an index. A score
+  beyond a long is given as the largest or smallest long.
 * Only vectors of equal length are compared; two empty vectors score 0.
 * Of rows that repeat a query's id, the smallest vector is the query, and none is a candidate.
 * Every other row is a candidate of its own, repeated ones too; ties go to the smaller id.
@@ -18,6 +20,7 @@ exactly the vectors that the bounds cannot exclude are scored again with full in
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table
+from docops.llm.common import stored, table, whole_quanta
 from docops.plans.skew import local_frame
 
 BLOCK = 4096
@@ -35,19 +38,18 @@ SHIFT = 3
 #: A block stops before its last level when no query has more possible members than this.
 FEW = 64
 K = 5
-CLIP = 1 << 28
-_BLOB = "part int, number int, length int, ids binary, vectors binary"
+SCALE = 256
+_LONG = (1 << 63) - 1
+#: Larger components are Python's integers.
+_SMALL = 1 << 62
+_BLOB = "part int, number int, length int, ids binary, kind string, vectors binary"
 
 
-def _integers(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v) with components as whole quanta; rows that take no part are left out."""
+def _usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v) with components as doubles; rows that take no part are left out."""
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    quanta = F.transform(
-        "embedding",
-        lambda x: F.floor(F.least(F.greatest(x.cast("double") * 256, F.lit(float(-CLIP))), F.lit(float(CLIP)))),
-    )
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable).select(
-        F.col("vec_id").cast("long").alias("vec_id"), quanta.alias("v")
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")
     )
 
 
@@ -62,13 +64,15 @@ def _blobs(size: int):
         def blob(length, ids, rows):
             nonlocal number
             number += 1
-            values = np.array(rows, dtype=np.int64).reshape(len(ids), length)
-            if np.abs(values).max(initial=0) < 1 << 15:
+            values = whole_quanta(np.array(rows, dtype=np.float64).reshape(len(ids), length), SCALE, _SMALL)
+            if values.dtype != object and np.abs(values).max(initial=0) < 1 << 15:
                 values = values.astype(np.int16)
-            columns = [[part], [number - 1], [length], [np.array(ids, dtype=np.int64).tobytes()], [values.tobytes()]]
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            kind = "text" if values.dtype == object else values.dtype.name
+            data = json.dumps(values.tolist()).encode() if kind == "text" else values.tobytes()
+            columns = [[part], [number - 1], [length], [np.array(ids, dtype=np.int64).tobytes()], [kind], [data]]
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.binary()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            return pa.RecordBatch.from_arrays(arrays, ["part", "number", "length", "ids", "vectors"])
+            return pa.RecordBatch.from_arrays(arrays, ["part", "number", "length", "ids", "kind", "vectors"])
 
         for batch in batches:
             for vec, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -88,6 +92,7 @@ class ImpactIndex:
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
+        self.norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
         levels = np.abs(vectors) >> SHIFT
         # Rare large impacts share one top level, whose quanta are those of its smallest member.
         top = int(min(levels.max(initial=0), 64))
@@ -122,7 +127,8 @@ class ImpactIndex:
                 scores[members] += impact * weights[dim]
             if i + 1 < len(self.segments) and i % 4 != 3:
                 continue  # bounds are looked at after every fourth level
-            slack = left[:, None] * norms * (1 + 1e-9) + 1
+            # What is left of a vector, and the error of adding up floats of this size.
+            slack = left[:, None] * norms * (1 + 1e-9) + self.norms[:, None] * norms * 1e-9 + 1
             low = np.where(own, -np.inf, scores - slack)
             if len(low) > k:
                 few = np.partition(low, len(low) - k, axis=0)[len(low) - k]
@@ -134,11 +140,26 @@ class ImpactIndex:
         return [np.flatnonzero(members[:, q]) for q in range(len(queries))]
 
 
-def _matrix(blob: bytes, rows: int, length: int) -> np.ndarray:
-    kind = np.int16 if len(blob) == 2 * rows * length else np.int64
+def _matrix(blob: bytes, kind: str, rows: int, length: int) -> np.ndarray:
+    if kind == "text":
+        return np.array(json.loads(blob), dtype=object).reshape(rows, length)
     return np.frombuffer(blob, kind).reshape(rows, length).astype(np.int64)
 
 
+def _wide(vectors: np.ndarray, queries: np.ndarray) -> bool:
+    """True if a score might not fit 64 bits."""
+    largest = [int(np.abs(m).max()) if m.size else 0 for m in (vectors, queries)]
+    return largest[0] * largest[1] * vectors.shape[1] > _LONG
+
+
+def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products, the ones beyond a long as the last long."""
+    if not _wide(vectors, query[None, :]):
+        return vectors @ query
+    exact = vectors.astype(object) @ query.astype(object)
+    return np.array([max(-_LONG, min(_LONG, int(x))) for x in exact], dtype=np.int64)
+
+
 def _search(k: int):
     """Rows of an index block and a query chunk to each query's ``k`` best of the block."""
 
@@ -150,12 +171,18 @@ def _search(k: int):
                 length = row["length"]
                 ids, asked = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["query_ids"], np.int64)
                 if block != (row["block"], length):  # sorted by the join: one block after the other
-                    vectors = _matrix(row["vectors"], len(ids), length)
-                    block, index = (row["block"], length), ImpactIndex(vectors)
-                queries = _matrix(row["queries"], len(asked), length)
+                    vectors = _matrix(row["vectors"], row["kind"], len(ids), length)
+                    block, index = (row["block"], length), None
+                queries = _matrix(row["queries"], row["query_kind"], len(asked), length)
+                own = ids[:, None] == asked[None, :]
+                if _wide(vectors, queries):
+                    possible = [np.flatnonzero(~own[:, q]) for q in range(len(asked))]
+                else:
+                    index = ImpactIndex(vectors) if index is None else index
+                    possible = index.possible(queries, own, k)
                 found = ([], [], [])
-                for q, members in enumerate(index.possible(queries, ids[:, None] == asked[None, :], k)):
-                    exact = vectors[members] @ queries[q]
+                for q, members in enumerate(possible):
+                    exact = _scores(vectors[members], queries[q])
                     best = np.lexsort((ids[members], -exact))[:k]
                     found[0].append(np.full(len(best), asked[q]))
                     found[1].append(ids[members][best])
@@ -174,7 +201,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     block returns at most ``k`` rows for each query, which are ranked by query.
     """
     spark = vectors.sparkSession
-    rows = _integers(vectors)
+    rows = _usable(vectors)
     # The reader's splits are the blocks' borders: no shuffle of the vectors.
     blocks = stored(rows.mapInArrow(_blobs(BLOCK), _BLOB), "topk-index")
     counts = sorted(blocks.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row for each split
@@ -183,13 +210,14 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         starts.append((part, total))
         total += n
     blocks = blocks.join(F.broadcast(local_frame(spark, starts, "part int, start int")), "part")
-    blocks = blocks.select((F.col("start") + F.col("number")).alias("block"), "length", "ids", "vectors")
+    blocks = blocks.select((F.col("start") + F.col("number")).alias("block"), "length", "ids", "kind", "vectors")
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     chunks = stored(queries.mapInArrow(_blobs(QUERIES_AT_ONCE), _BLOB), "topk-queries")
     chunks = chunks.select(
         F.explode(F.sequence(F.lit(0), F.lit(max(total - 1, 0)))).alias("block"),
         "length",
         F.col("ids").alias("query_ids"),
+        F.col("kind").alias("query_kind"),
         F.col("vectors").alias("queries"),
     )
     found = blocks.join(chunks, ["block", "length"]).mapInArrow(_search(k), "query_id long, vec_id long, score long")

@@ -153,6 +153,8 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     rows += [(200 + i, rows[7][1]) for i in range(40)] + [(i, rows[i][1]) for i in (0, 50, 60)]  # ties, repeated rows
     rows += [(300, None), (350, [1.0, float("nan")] * 4), (400, [float("inf")] * 8), (450, [1.0, None] * 4)]
     rows += [(None, rows[3][1]), (500, []), (501, []), (550, [1.0, 2.0]), (551, [3e30, -1.0]), (600, [5.0])]
+    rows += [(650, [3e6, 0.0, 0.0]), (651, [1.5e6, 0.0, 2.0]), (652, [2e9, 1e9, -4e9]), (700, [0.0, 1.0, 2.0])]
+    rows += [(653, [1e17, 0.5, 1.0]), (654, [-3e30, 0.25, 0.0]), (750, [5e15, -2e15, 1.0])]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, block int, score int")
     out = topk.exact_top_k(df, F.col("vec_id") % 50 == 0).collect()
     usable = {}
@@ -160,13 +162,14 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     for vec, v in rows:
         if vec is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [min(max(math.floor(256 * float(np.float32(x))), -topk.CLIP), topk.CLIP) for x in v]
+        q = [n * 256 // d for n, d in (float(np.float32(x)).as_integer_ratio() for x in v)]
         vectors.append((vec, q))
         if vec % 50 == 0:
             usable[vec] = min(usable.get(vec, q), q)
     expected = []
     for query, q in usable.items():
-        scores = [(-sum(a * b for a, b in zip(q, v)), vec) for vec, v in vectors if vec != query and len(v) == len(q)]
+        full = [(sum(a * b for a, b in zip(q, v)), vec) for vec, v in vectors if vec != query and len(v) == len(q)]
+        scores = [(-max(-(2**63 - 1), min(2**63 - 1, s)), vec) for s, vec in full]
         expected += [(query, i + 1, vec, -s) for i, (s, vec) in enumerate(sorted(scores)[:5])]
     assert sorted(map(tuple, out)) == sorted(expected)
     assert topk.exact_top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
