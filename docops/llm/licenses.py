@@ -160,16 +160,9 @@ def _keyed(docs: DataFrame) -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_text")]
 
 
-def _rolled(words: str, size: int) -> Column:
-    """(start, hash) of all rolling grams of one size."""
-    n = F.size(words)
-    starts = F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
-
-    def gram(i: Column) -> Column:
-        hashed = F.xxhash64(F.lit(size), *[F.get(words, i + j) for j in range(size)])
-        return F.struct(i.alias("at"), hashed.alias("h"))
-
-    return F.transform(starts, gram)
+def _gram(words: str, at: Column, size: int) -> Column:
+    """Hash of the ``size`` words from ``at``; at the end of a text, of the words that are left."""
+    return F.xxhash64(F.lit(size), *[F.get(words, at + i) for i in range(size)])
 
 
 def diagonals(docs: DataFrame, templates: Sequence[tuple]) -> DataFrame:
@@ -179,19 +172,19 @@ def diagonals(docs: DataFrame, templates: Sequence[tuple]) -> DataFrame:
         for template, _, _, words, _, _ in templates
         for at in range(max(1, len(words) - K + 1))
     ]
-    sizes = sorted({size for *_, size in places})
+    sizes = sorted({size for *_, size in places}) or [K]
     grams = local_frame(docs.sparkSession, places, "template int, place int, gram array<string>, size int")
     hashes = F.lit(None).cast("long")
     for size in sizes:
-        words = [F.get("gram", F.lit(j)) for j in range(size)]
-        hashes = F.when(F.col("size") == size, F.xxhash64(F.lit(size), *words)).otherwise(hashes)
+        hashes = F.when(F.col("size") == size, _gram("gram", F.lit(0), size)).otherwise(hashes)
     side = checked_broadcast(grams.withColumn("_h", hashes))
-    rows = docs.select(*_keyed(docs), _words("text").alias("_w"))
-    no_gram = F.array().cast("array<struct<at:int,h:bigint>>")
-    rolled = rows.withColumn("_g", F.explode(F.concat(no_gram, *[_rolled("_w", size) for size in sizes])))
+    words = docs.select(*_keyed(docs), _words("text").alias("_w"))
+    # Grams are hashed row by row in generated code, not in a lambda over the array.
+    rolled = words.select(*_KEY, "_w", F.posexplode("_w").alias("_at", "_word")).select(
+        *_KEY, "_w", "_at", F.explode(F.array(*[_gram("_w", F.col("_at"), size) for size in sizes])).alias("_h")
+    )
     votes = (
-        rolled.select(*_KEY, "_w", F.col("_g.at").alias("_at"), F.col("_g.h").alias("_h"))
-        .join(side, "_h")
+        rolled.join(side, "_h")
         .where(F.slice("_w", F.col("_at") + 1, F.col("size")) == F.col("gram"))
         .select(*_KEY, "template", (F.col("_at") - F.col("place")).alias("diagonal"), "place", "size")
     )
