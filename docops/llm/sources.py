@@ -1,7 +1,7 @@
 """How the word use of sources differs, priced for every pair of sources of a language.
 
-Words are counted once for each (language, source), and a language keeps the words of many
-documents. Kept words get ids in one order; a source's (word id, count) pairs are sorted
+Words are counted once for each (language, source), first inside every task and then by a
+shuffle of those counts, and a language keeps the words of many documents. Kept words get ids in one order; a source's (word id, count) pairs are sorted
 arrays, cut at fixed id ranges so that no array exceeds ``RANGE`` entries however large the
 vocabulary is. For every unordered pair of sources and id range the two arrays are
 co-grouped and merged: the shorter array gallops through the longer one, words of both, of
@@ -20,8 +20,12 @@ so that no product leaves 64 bits while N + 5 * V is below 9 * 10**15.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,12 +36,17 @@ MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 #: Word ids of one array at most.
 RANGE = 1 << 16
+#: Words of all sources that a counting task holds before it hands them on.
+HELD = 1 << 18
 #: Entries of the shorter array that one galloping step looks up together.
 STRIPE = 64
 
 _WORD = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GROUP = ["lang", "source"]
+_COUNTED = ["lang", "source", "term", "n", "documents"]
+#: Rows of a batch of counts.
+_ROWS = 1 << 14
 _PRICED = "lang string, a string, b string, seen long, cost long"
 
 
@@ -55,24 +64,40 @@ def _share_column(count: str, total: str) -> Column:
     return F.expr(f"1 + CAST({count} + 5 AS DECIMAL(20, 0)) * 1000000000BD div {total}")
 
 
-def _words(text: str) -> Column:
-    column = F.coalesce(F.col(text), F.lit(""))
-    ascii_only = F.octet_length(column) == F.char_length(column)
-    lowered = F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, _UPPER, _LOWER))
-    return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (lang, source, text) to counts by source; what is held never exceeds ``HELD`` words by much."""
+    # Byte by byte: A-Z to a-z, all other ASCII to a space; the bytes of other characters stay.
+    table = bytes(b | 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 32 for b in range(256))
+    held: dict[tuple, tuple[Counter, Counter]] = {}
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, documents) in held.items():
+            terms = list(n)
+            for at in range(0, len(terms), _ROWS):
+                part = terms[at : at + _ROWS]
+                names = [pa.array([x] * len(part), pa.string()) for x in (lang, source)]
+                numbers = [pa.array([c[t] for t in part], pa.int64()) for c in (n, documents)]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(part, pa.binary()).cast(pa.string()), *numbers], _COUNTED)
+        held.clear()
+
+    for batch in batches:
+        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns)):
+            words = text.translate(table).split()
+            n, documents = held.setdefault((lang, source), (Counter(), Counter()))
+            n.update(words)
+            documents.update(set(words))
+            if len(n) > _ROWS and sum(len(c) for c, _ in held.values()) > HELD:
+                yield from counts()
+        if sum(len(c) for c, _ in held.values()) > HELD:
+            yield from counts()
+    yield from counts()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, documents): occurrences and documents of every term, by source."""
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in _GROUP]
-    rows = docs.select(*named, F.sort_array(_words("text")).alias("_w"))
-    # In sorted order a word that differs from the one before it is the document's first.
-    flagged = F.transform("_w", lambda w, i: F.struct(w.alias("w"), (~w.eqNullSafe(F.get("_w", i - 1))).alias("first")))
-    return (
-        rows.select(*_GROUP, F.explode(flagged).alias("_f"))
-        .groupBy(*_GROUP, F.col("_f.w").alias("term"))
-        .agg(F.count("*").alias("n"), F.count_if("_f.first").alias("documents"))
-    )
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (*_GROUP, "text")]
+    counted = docs.select(*named[:2], named[2].cast("binary").alias("text")).mapInArrow(_count_words, "lang string, source string, term string, n long, documents long")
+    return counted.groupBy(*_GROUP, "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
 
 
 def _gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
