@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,15 @@ def table(spark, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame, used: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``used`` renamed, and what selects them by their own names.
+
+    So no column of a caller can meet one that an operator makes for itself.
+    """
+    safe = [c if c in used else f"aside{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*safe), [F.col(s).alias(c) for s, c in zip(safe, docs.columns)]
+
+
 def sample_by_hash(rows: DataFrame, keys: list[str], size: int, count: int) -> DataFrame:
     """``size`` of the ``count`` rows by a hash of ``keys``; all, if there are no more.
 

@@ -16,8 +16,8 @@ third of all rows is only met in counts and in joins that can be split.
 * Null text has no line and stays null. A document that loses all its lines keeps an empty text.
 * Rows that repeat id and text are one document: they get the same result. Rows with one id
   and different texts are told apart, in the order of a hash of the text; null ids come first.
-* An empty table gives an empty result. Other columns are kept; ``n_lines``, ``n_removed`` and
-  names that begin with ``_`` give way to the operator's own.
+* An empty table gives an empty result. Other columns are kept, whatever their names; only
+  ``n_lines`` and ``n_removed`` give way to the operator's own.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docops.llm.common import WORD, stored, table, word_count
+from docops.llm.common import WORD, set_aside, stored, table, word_count
 from docops.plans.skew import OrderedRanges
 
 MIN_LINES = 3
@@ -109,11 +109,12 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
 
 def delete_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with later copies of repeated runs cut from ``text``, and n_lines and n_removed."""
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed") and not c.startswith("_")]
+    given = docs.drop("n_lines", "n_removed")
+    docs, back = set_aside(given, ("doc_id", "text"))
     runs = repeated_runs(docs, min_lines, min_words).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "lines")).alias("_runs"))
     runs = stored(runs, "linedup-runs")
     # Always a merge join: the side that grows with the corpus is never broadcast.
-    rows = _keyed(docs.select(*own)).join(runs.hint("merge"), _KEY, "left")
+    rows = _keyed(docs).join(runs.hint("merge"), _KEY, "left")
     gone = F.flatten(F.transform("_runs", lambda r: F.sequence(r["start"], r["start"] + r["lines"] - 1)))
     # Bound in a one-element array, so that the text is split once and not for each line.
     places = F.transform(F.array(_lines()), lambda all_: F.transform(gone, lambda i: all_[i]["place"]))[0]
@@ -129,7 +130,10 @@ def delete_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
         ),
     )[0]
     return rows.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else c for c in own],
+        *[
+            F.when(F.col("_gone").isNull(), column).otherwise(kept).alias("text") if name == "text" else column
+            for column, name in zip(back, given.columns)
+        ],
         F.coalesce(F.size(_lines()), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table, word_count
+from docops.llm.common import set_aside, stored, table, word_count
 from docops.plans.skew import OrderedRanges, checked_broadcast
 
 WEIGHTS = (5, 2, 1)
@@ -109,9 +109,11 @@ def mix(
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")), F.lit(""))
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, 13)
     unit = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**52)
-    docs = docs.drop("size", "source_size", "target", "copies", "taken")
+    given = docs.drop("size", "source_size", "target", "copies", "taken").select("*", size)
+    docs, back = set_aside(given, ("doc_id", "source", "text"))
+    docs = docs.withColumnRenamed(docs.columns[-1], "size")
     narrow = stored(
-        docs.select("doc_id", "source", size.alias("size"), unit.alias("_u")).withColumn("_class", F.expr(_CLASS)),
+        docs.select("doc_id", "source", "size", unit.alias("_u")).withColumn("_class", F.expr(_CLASS)),
         "mixing-sizes",
     )
     classes = narrow.groupBy("source", "_class").agg(F.sum("size").alias("words"))
@@ -172,13 +174,13 @@ def mix(
     )
     cuts = _by_source(border, last, "left").select("source", F.col("_block").alias("_cut"), "_last")
     cuts = checked_broadcast(stored(cuts, "mixing-cuts"))
-    rows = ranked(docs.withColumns({"size": size, "_u": unit}).withColumn("_class", F.expr(_CLASS)))
+    rows = ranked(docs.withColumn("_u", unit).withColumn("_class", F.expr(_CLASS)))
     rows = _by_source(rows, cuts, "left")
     first = F.struct(F.col("_odds"), F.col("doc_id")) <= F.col("_last")
     drawn = (F.col("_block") < F.col("_cut")) | ((F.col("_block") == F.col("_cut")) & F.coalesce(first, F.lit(False)))
     copies = F.col("_whole") + F.when(F.coalesce(drawn, F.lit(False)), 1).otherwise(0)
     return rows.select(
-        *docs.columns,
+        *back[:-1],
         "size",
         "source_size",
         "target",

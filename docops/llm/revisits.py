@@ -7,8 +7,9 @@ headers, overlaid with those of its own that a not-modified answer may change.
 * Status is ``resolved``, ``changed`` (validators differ), ``unproven`` (the revisit or the
   response has no validator to compare), ``missing`` (no earlier response), or ``invalid``
   (the revisit has no URL or time).
-* Of responses at one time the one with the greatest id counts; a response at the time of
-  the revisit is not earlier. Responses without URL or time are never found.
+* Of responses at one time the one with the greatest id counts, one without id last; a
+  response at the time of the revisit is not earlier. Responses without URL or time are
+  never found. One without id is found like any other, with a null ``response_id``.
 * Entity tags are compared without their weakness mark; dates only where a tag is missing.
 * Repeated revisits are resolved each on their own. Empty tables give an empty result.
 * Other columns are ignored; null headers count as none, header names ignore case.
@@ -108,7 +109,10 @@ def resolve_revisits(responses: DataFrame, revisits: DataFrame) -> DataFrame:
     # Of repeated rows with one id, the one with the smallest content.
     content = F.struct("response.etag", "response.last_modified", F.to_json("response.headers"))
     keyed = keyed.groupBy("url", "_ts", "_id").agg(F.min_by("response", content).alias("response"))
-    sources = joined.join(keyed, ["url", "_ts", "_id"]).select("url", "ts", "response")
+    j, k = joined.alias("j"), keyed.alias("k")
+    same_id = F.col("j._id").eqNullSafe(F.col("k._id"))
+    on = (F.col("j.url") == F.col("k.url")) & (F.col("j._ts") == F.col("k._ts")) & same_id
+    sources = j.join(k, on).select("j.url", "ts", "response")
     rows = asked.alias("r").join(sources.alias("s"), ["url", "ts"], "left").select("r.*", "s.response")
     by_tag = _tag("etag").isNotNull() & F.col("response.etag").isNotNull()
     by_date = F.col("last_modified").isNotNull() & F.col("response.last_modified").isNotNull()
@@ -137,6 +141,7 @@ def captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The number of the page is its time; two captures in three are full responses. A
     section changes its version every 64 seconds. Versions that divide by five have dates only.
+    A page without number counts as a revisit without time, so it stays in the result.
     """
     version = F.expr("CAST(page_id div 64 AS STRING)")
     dated = F.expr("(page_id div 64) % 5 = 0")
@@ -147,7 +152,7 @@ def captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(~dated, F.concat(F.when(F.col("page_id") % 2 == 0, "W/").otherwise(""), F.lit('"v'), version, F.lit('"'))).alias("etag"),
         F.concat(F.lit("day "), version).alias("last_modified"),
         F.length("html").cast("string").alias("_length"),
-        F.expr("page_id % 3 = 2").alias("_revisit"),
+        F.expr("coalesce(page_id % 3 = 2, true)").alias("_revisit"),
     )
     full = log.where("NOT _revisit").withColumn(
         "headers",
@@ -175,7 +180,7 @@ def op8_revisits(spark, directory: str) -> DataFrame:
 OP8_SQL = r"""
 WITH log AS (SELECT page_id AS id, regexp_replace(url, '/[0-9]+(\.html)?', '/', 'g') AS url, page_id AS ts,
     CASE WHEN (page_id // 64) % 5 <> 0 THEN '"v' || (page_id // 64) || '"' END AS etag, 'day ' || (page_id // 64) AS dated,
-    CAST(length(html) AS VARCHAR) AS len, page_id % 3 = 2 AS revisit FROM pages),
+    CAST(length(html) AS VARCHAR) AS len, coalesce(page_id % 3 = 2, true) AS revisit FROM pages),
 parts AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url,
     '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)', 1)), '^(.*@)?(www[0-9]*\.)?', ''), ':(80|443)?$', '') AS host,
     regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)\??([^#]*)', 2), '/+$', '') AS path,

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table
+from docops.llm.common import set_aside, stored, table
 from docops.llm.graph import components
 
 SHINGLE = 4
@@ -290,13 +290,14 @@ def keep_one(docs: DataFrame, prints: DataFrame, named: DataFrame, key: str) ->
     kept = kept.alias("o").join(copies.alias("c"), on).select("c.*")
     kept = stored(kept, "simhash-kept").alias("k")
     # Always a merge join: the side that grows with the corpus is never broadcast.
+    docs, back = set_aside(docs, ("doc_id", "text"))
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64("d.text") == F.col("k.text_hash"))
     rows = docs.alias("d").join(kept.hint("merge"), same).select("d.*", "_n")
     single = rows.where("_n = 1").drop("_n")
-    least = rows.where("_n > 1").groupBy("doc_id", "text").agg(
-        F.min(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row")
-    )
-    return single.unionByName(least.select("doc_id", "text", "_row.*").select(*docs.columns))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = rows.where("_n > 1").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("_row"))
+    least = least.select("doc_id", "text", *[F.col("_row")[c].alias(c) for c in others])
+    return single.unionByName(least).select(*back)
 
 
 def op7_simhash(spark, directory: str) -> DataFrame:

@@ -191,7 +191,7 @@ def test_revisits_equal_brute_force(spark):
     def record(i):
         headers = {"Server": f"s{i}", "Content-Length": str(i), "X": "old"} if i % 4 else None
         url = URLS[rng.choice([0, 0, 0, 0, 1, 2, 3, 4])]
-        return (i, url, rng.choice([None, *range(20)]), rng.choice(tags), rng.choice(["d1", "d2", None]), headers, 0)
+        return (i if i % 9 else None, url, rng.choice([None, *range(20)]), rng.choice(tags), rng.choice(["d1", "d2", None]), headers, 0)
 
     full = [record(i) for i in range(300)]
     again = [(i, *record(i)[1:5], {"x": f"new{i}", "content-length": "0"} if i % 3 else None, 0) for i in range(1000, 1200)]
@@ -201,7 +201,7 @@ def test_revisits_equal_brute_force(spark):
     expected = Counter()
     for i, url, ts, etag, modified, headers, _ in again:
         found = [f for f in full if name[url] and f[2] is not None and ts is not None and name[f[1]] == name[url] and f[2] < ts]
-        best = max(found, key=lambda f: (f[2], f[0]), default=None)
+        best = max(found, key=lambda f: (f[2], -1 if f[0] is None else f[0]), default=None)
         status, response, merged = "invalid", None, None
         if name[url] and ts is not None:
             status = "missing"
