@@ -7,10 +7,13 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docops.llm.common import stored, table
+from docops.llm.common import set_aside, stored, table
 from docops.llm.linedup import MIN_WORDS, delete_repeats
 from docops.llm.mixing import mix
 from docops.llm.packing import pack
@@ -18,11 +21,28 @@ from docops.llm.quality import good_documents
 from docops.llm.simhash import one_of_each
 
 
+#: Columns that a stage reads; all others pass through it under names that meet no other.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Callable) -> Callable:
+    """``stage`` that returns the columns of its ``docs``, whatever their names."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        safe, back = set_aside(docs, COLUMNS)
+        return stage(spark, safe, sf_dir).select(*back)
+
+    return run_stage
+
+
+@keeps_columns
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ranking learned from the labels predicts to be good."""
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+@keeps_columns
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of three lines or of over 50 words go, and documents that lose all lines so."""
     rows = delete_repeats(docs, min_words=MIN_WORDS).where("n_removed = 0 OR n_removed < n_lines")
@@ -30,11 +50,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_chars", length.cast("long")).select(*docs.columns)
 
 
+@keeps_columns
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints are linked, by the operator's own shingles and bits."""
     return one_of_each(docs)
 
 
+@keeps_columns
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
     rows = mix(docs).where("copies > 0").withColumn("copies", F.expr("explode(sequence(1, int(copies)))"))
