@@ -4,6 +4,10 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline as pipeline
 from docops.llm.common import stored, table
+from docops.llm.linedup import delete_repeats
+from docops.llm.mixing import mix
+from docops.llm.quality import good_documents
+from docops.llm.simhash import one_of_each
 from tests.llm.helpers import awkward_rows, words
 from tests.llm.test_duplicates import slow_groups, slow_print
 
@@ -50,3 +54,29 @@ def test_run_equals_its_stages_and_awkward_rows_pass(spark, tmp_path):
     empty = spark.createDataFrame([], schema)
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_pass_every_stage(spark, tmp_path):
+    names = ["_f", "_u", "_class", "_n", "_doc", "_text", "_pos", "_gone", "expected", "size", "copies", "target", "n_lines"]
+    names += ["n_removed", "source_size", "taken", "score", "root", "fp", "text_hash", "aside0", "a.b", "h", "item"]
+    rows = [r[:5] for r in awkward_rows() if r[0] is not None and r[0] < 110]
+    rows = [(*r, *[f"{r[0]} {n}" for n in names]) for r in dict.fromkeys(rows) if r[0] != 3]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    docs = spark.createDataFrame(rows, schema + ", ".join(f"`{n}` string" for n in names))
+    labels = [(i, int(i % 9 != 0), 0) for i in range(100)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    columns = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), "test-names")
+        assert docs.columns == columns
+        kept = docs.collect()
+        assert kept and all(list(r[5:]) == [f"{r.doc_id} {n}" for n in names] for r in kept), name
+    for rows_of in (mix(docs), delete_repeats(docs), one_of_each(docs), good_documents(docs, table(spark, str(tmp_path), "labels"))):
+        given = {r.doc_id: r for r in kept}
+        for r in rows_of.select("doc_id", "`_f`", "`_u`", "`expected`", "`_n`", "`a.b`").collect():
+            assert list(r[1:]) == [f"{r.doc_id} {n}" for n in ("_f", "_u", "expected", "_n", "a.b")] and r.doc_id in given
+    assert stage_rows(spark, docs, tmp_path) == Counter(r.doc_id for r in kept)
+
+
+def stage_rows(spark, docs, directory):
+    return Counter(r.doc_id for r in pipeline.STAGES[-1][1](spark, docs, str(directory)).collect())
