@@ -9,6 +9,11 @@ hashes are merged by a loser tree that compares only bytes beyond the known comm
 prefixes, which also gives the prefix lengths of neighbours. Among suffixes that share
 enough, the text before the anchors is compared the same way from right to left.
 
+An anchor that occurs very often would put its suffixes into one task. The strings around
+such anchors are looked at in blocks of neighbours instead: a block whose common bytes are
+alone has no repeat, one whose joined bytes repeat has nothing else, and only for the
+blocks between the two, at the edges of repeats, single strings are compared by hash.
+
 * Null text counts as empty. A text shorter than ``LENGTH`` loses nothing but can have no copy.
 * Texts that occur in several rows, with one id or several, are removed whole if long enough,
   and take part in the sorting once.
@@ -37,8 +42,12 @@ GRAM = 160
 SIDE = LENGTH - GRAM
 #: Bytes hashed at once; longer texts are taken in overlapping pieces.
 PIECE = 1 << 20
-#: Anchors with more equal ones than this are compared by the hashes of whole strings.
+#: Anchors with more equal ones than this are compared in blocks, by hashes of their strings.
 HOT = 1000
+#: Neighbouring strings of a block.
+BLOCK = 16
+#: Bytes of suffixes and text before them in one bucket, at most about.
+BUCKET_BYTES = 64 << 20
 #: Bytes of suffixes that a task sorts into one run.
 RUN_BYTES = 32 << 20
 #: Bytes of two hashes that stand for the gram in front of a suffix.
@@ -298,24 +307,120 @@ def _spans(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["t1", "t2", "first", "last"], dtype="int64")
 
 
-def _hot_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes (w1, w2) of every string of full length around hot anchors, with their places."""
-    one, two = Rolling(2), Rolling(3)
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The bytes around places, some ``PIECE`` at once, and one column for each place.
+
+    Columns hold the text's two hashes, what to add for a position in the text, where the
+    text at hand begins and ends, the place, its gram and its block.
+    """
+    parts, columns, size = [], [], 0
     for batch in batches:
         for row in range(batch.num_rows):
             t1, t2, text, places = (batch.column(i)[row].as_py() for i in range(4))
-            wanted = np.zeros(max(len(text) - LENGTH + 1, 0), dtype=bool)
-            for place in places:
-                if place["hot"]:
-                    wanted[max(0, place["pos"] - SIDE) : place["pos"] + 1] = True
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], wanted.view(np.int8), [0]])))
-            for low, high in zip(edges[::2], edges[1::2]):
-                for a in range(low, high, PIECE):
-                    b = min(high, a + PIECE)
-                    data = np.frombuffer(text, np.uint8)[a : b + LENGTH - 1]
-                    columns = [one.hashes(data, LENGTH).view(np.int64), two.hashes(data, LENGTH).view(np.int64)]
-                    columns += [np.full(b - a, t1), np.full(b - a, t2), np.arange(a, b)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["w1", "w2", "t1", "t2", "pos"])
+            low = 0
+            while low < len(places):
+                begin, high = max(0, places[low]["pos"] - SIDE), low
+                while high < len(places) and places[high]["pos"] < places[low]["pos"] + PIECE:
+                    high += 1
+                part = text[begin : places[high - 1]["pos"] + LENGTH]
+                shift = begin - size
+                columns += [(t1, t2, shift, size, size + len(part), p["pos"] - shift, p["h"], p["k"]) for p in places[low:high]]
+                parts.append(part)
+                size += len(part)
+                low = high
+                if size >= PIECE:
+                    yield np.frombuffer(b"".join(parts), np.uint8), np.array(columns, np.int64).T
+                    parts, columns, size = [], [], 0
+    if parts:
+        yield np.frombuffer(b"".join(parts), np.uint8), np.array(columns, np.int64).T
+
+
+def _hashed(rolling: Rolling, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(starts), np.uint64)
+    for length in np.unique(lengths):
+        these = lengths == length
+        out[these] = rolling.hashes(data, int(length))[starts[these]]
+    return out.view(np.int64)
+
+
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], list(columns))
+
+
+_BLOCKS = "h long, k long, c1 long, c2 long, u1 long, u2 long, t1 long, t2 long, pos long"
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of what the strings of each block share (c1, c2) and of all their bytes (u1, u2).
+
+    Block k of an anchor holds the strings that begin k * BLOCK and up to BLOCK - 1 more
+    bytes before it. Equal strings meet in one block of one gram.
+    """
+    one, two = Rolling(2), Rolling(3)
+    low = np.arange(0, SIDE + 1, BLOCK)
+    high = np.minimum(low + BLOCK - 1, SIDE)
+    for data, (t1, t2, shift, begin, end, at, h, _) in _gathered(batches):
+        place, text, rest = at[:, None], begin[:, None], end[:, None]
+        any_string = np.maximum(low, place + LENGTH - rest) <= np.minimum(high, place - text)
+        i, k = np.nonzero(any_string)
+        width = (high - low)[k]
+        core = at[i] - low[k]
+        whole = (at[i] - high[k] >= begin[i]) & (core + LENGTH <= end[i])
+        columns = {"h": h[i], "k": k, "c1": _hashed(one, data, core, LENGTH - width), "c2": _hashed(two, data, core, LENGTH - width)}
+        for name, rolling in (("u1", one), ("u2", two)):
+            found = np.ma.masked_all(len(i), np.int64)
+            found[whole] = _hashed(rolling, data, (core - width)[whole], (LENGTH + width)[whole])
+            columns[name] = found
+        columns |= {"t1": t1[i], "t2": t2[i], "pos": (at + shift)[i]}
+        yield _batch(columns)
+
+
+_STRINGS = "h long, k long, w1 long, w2 long, t1 long, t2 long, pos long"
+
+
+def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes (w1, w2) of every string of the given blocks; k is now the distance to the anchor."""
+    one, two = Rolling(2), Rolling(3)
+    for data, (t1, t2, shift, begin, end, at, h, block) in _gathered(batches):
+        before = block[:, None] * BLOCK + np.arange(BLOCK)
+        start = at[:, None] - before
+        i, j = np.nonzero((before <= SIDE) & (start >= begin[:, None]) & (start + LENGTH <= end[:, None]))
+        start = start[i, j]
+        lengths = np.full(len(start), LENGTH)
+        columns = {"h": h[i], "k": before[i, j], "w1": _hashed(one, data, start, lengths), "w2": _hashed(two, data, start, lengths)}
+        yield _batch(columns | {"t1": t1[i], "t2": t2[i], "pos": start + shift[i]})
+
+
+def _frequent(some: DataFrame) -> DataFrame:
+    """Repeated spans (t1, t2, first, last) around hot anchors of texts with their places.
+
+    Of the blocks whose joined bytes repeat one speaks for all, and only if blocks with the
+    same common bytes differ beyond them.
+    """
+    hot = F.filter("places", lambda p: p["hot"])
+    places = F.transform(hot, lambda p: F.struct(p["pos"].alias("pos"), p["h"].alias("h"), F.lit(0).alias("k")))
+    texts = some.where(F.exists("places", lambda p: p["hot"])).select(*_KEY, "text", places.alias("places"))
+    # A place is known by its hash, so that rows that repeat a text count once.
+    place = F.xxhash64(*_KEY, "pos")
+    ends = [F.min(place).alias("_least"), F.max(place).alias("_most")]
+    blocks = stored(texts.mapInArrow(_block_rows, _BLOCKS), "substrings-blocks")
+    shared, joined = ["h", "k", "c1", "c2"], ["h", "k", "u1", "u2"]
+    differ = (F.count("u1") < F.count("*")) | (F.min("u1") != F.max("u1")) | (F.min("u2") != F.max("u2"))
+    cores = blocks.groupBy(*shared).agg(*ends, differ.alias("_differ")).where("_least != _most").drop("_least", "_most")
+    whole = blocks.where("u1 IS NOT NULL").groupBy(*joined).agg(*ends).where("_least != _most").drop("_most")
+    found = blocks.join(cores, shared).join(whole, joined, "left")
+    speaks = F.col("_differ") & F.coalesce(F.col("_least") == place, F.lit(True))
+    found = found.select(*_KEY, "pos", "h", "k", F.col("_least").isNotNull().alias("whole"), speaks.alias("speaks"))
+    found = stored(found, "substrings-found")
+    first = F.col("pos") - F.least(F.col("k") * BLOCK + BLOCK - 1, F.lit(SIDE))
+    inner = found.where("whole").select(*_KEY, first.alias("first"), (F.col("pos") - F.col("k") * BLOCK + LENGTH).alias("last"))
+    edges = found.where("speaks").groupBy(*_KEY).agg(F.sort_array(F.collect_set(F.struct("pos", "h", "k"))).alias("places"))
+    edges = some.select(*_KEY, "text").join(edges.hint("merge"), _KEY).select(*_KEY, "text", "places")
+    strings = stored(edges.mapInArrow(_string_rows, _STRINGS), "substrings-strings")
+    keys = ["h", "k", "w1", "w2"]
+    twice = strings.groupBy(*keys).agg(*ends).where("_least != _most").select(*keys)
+    outer = strings.join(twice, keys)
+    return inner.unionByName(outer.select(*_KEY, F.col("pos").alias("first"), (F.col("pos") + LENGTH).alias("last")))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,16 +470,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     k, o = keyed.alias("k"), one.alias("o")
     on = (F.col("k.t1") == F.col("o.t1")) & (F.col("k.t2") == F.col("o.t2")) & F.col("k.doc_id").eqNullSafe(F.col("o._one"))
     some = stored(k.join(o.hint("merge"), on).select("k.t1", "k.t2", "text", "places"), "substrings-texts")
-    buckets = 2 * partitions(docs)
+    cold = F.size(F.filter("places", lambda p: ~p["hot"]))
+    suffixes = some.agg(F.sum(cold)).first()[0] or 0
+    buckets = max(2 * partitions(docs), suffixes * (LENGTH + SIDE) // BUCKET_BYTES)
     runs = some.mapInArrow(_runs(buckets), "bucket int, run binary")
     spans = runs.groupBy("bucket").applyInPandas(_spans, "t1 long, t2 long, first long, last long")
-    strings = some.where(F.exists("places", lambda p: p["hot"])).mapInArrow(
-        _hot_strings, "w1 long, w2 long, t1 long, t2 long, pos long"
-    )
-    strings = stored(strings.distinct(), "substrings-strings")
-    twice = strings.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-    hot = strings.join(twice, ["w1", "w2"]).select(*_KEY, F.col("pos").alias("first"), (F.col("pos") + LENGTH).alias("last"))
-    spans = spans.unionByName(hot).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = spans.unionByName(_frequent(some)).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     cut = some.dropDuplicates(_KEY).join(spans.hint("merge"), _KEY).select(*_KEY, "text", "spans")
     cut = cut.mapInArrow(_cut, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string")
     known = texts.select(*_KEY, "n").join(cut, _KEY, "left")

@@ -151,6 +151,23 @@ def test_strings_equal_brute_force(spark, monkeypatch, hot):
     assert Counter(tuple(r) for r in out) == expected
 
 
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_passages_of_any_length_at_any_place(spark, monkeypatch, hot):
+    """Cut passages around the length: blocks that repeat whole, at their edges, and not at all."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    rng = np.random.default_rng(hot)
+    letters = lambda n: "".join(chr(97 + int(x)) for x in rng.integers(0, 26, n))
+    passages = [letters(1200), "ab" * 500]
+    rows = []
+    for i in range(60):
+        passage = passages[i % 5 == 0]
+        low = int(rng.integers(0, 500))
+        part = passage[low : low + int(rng.integers(380, 700))]
+        rows.append((i, letters(int(rng.integers(0, 300))) + part + letters(int(rng.integers(0, 300))), *[None] * 7))
+    out = substrings.remove_repeats(frame(spark, rows)).collect()
+    assert Counter(tuple(r) for r in out) == Counter((r[0], *x) for r, x in zip(rows, slow_strings(rows)))
+
+
 def test_strings_of_an_empty_table(spark):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
 
