@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from docops.functions.names import NAME_PATTERN, base_of
 from docops.operators.catalog import CLOSE, keep_indices, with_state
 from docops.plans.skew import checked_broadcast
+from docops.sources.versions import VersionedTables
 
 ALIAS_ROW = ["alias", "index", "filter_field", "filter_value"]
 MOVED, NEW = "moved", "new"
 
+# Tables of a version of the metadata.
+ALIASES, CATALOG, PLAN = "aliases", "catalog", "plan"
+
 AliasAdder = Callable[[Column, Column], tuple[Column, Column]]
 
 
@@ -109,6 +113,44 @@ def close_shifted(catalog: DataFrame, aliases: DataFrame, base: str, full: str)
     return with_state(catalog, behind.select("index"), CLOSE)
 
 
+def close_all_shifted(catalog: DataFrame, aliases: DataFrame, shifts: DataFrame) -> DataFrame:
+    """The catalogue after closing, for each shift (``base, full``), all behind the base except the new index.
+
+    An index that another shift has just moved its aliases to stays as it is.
+    """
+    wanted = shifts.where(F.col("base").isNotNull() & (F.col("base") != F.col("full"))).select("base", "full")
+    few = checked_broadcast(wanted)
+    behind = aliases.join(few.withColumnRenamed("base", "alias"), "alias").where("index != full").select("index")
+    targets = wanted.select(F.col("full").alias("index")).distinct()
+    return with_state(catalog, behind.distinct().join(targets, "index", "left_anti"), CLOSE)
+
+
+def commit_shift(
+    metadata: VersionedTables,
+    shifts: DataFrame,
+    extras: DataFrame | None = None,
+    adder: AliasAdder = no_filter,
+    close: bool = False,
+) -> int:
+    """Shifts the aliases of the newest version and returns the number of the version that this makes.
+
+    ``metadata`` holds ``aliases`` and ``catalog``. The new version adds ``plan``, what
+    the shift did; it is computed once, and both tables follow from what was written. They
+    appear together or, if the shift is interrupted, not at all.
+    """
+    version = metadata.latest()
+    if version is None:
+        raise ValueError("there is no alias table to shift")
+    table, known = metadata.read(ALIASES, version), metadata.read(CATALOG, version)
+    closed = close_all_shifted(known, table, shifts) if close else known
+    steps = {
+        PLAN: plan_shift(table, shifts, extras, adder),
+        ALIASES: lambda written: apply_shift(table, written[PLAN]),
+        CATALOG: closed,
+    }
+    return metadata.commit(steps, version)
+
+
 def scan_aliases(docs: DataFrame, aliases: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Rows visible through each alias, with the alias added: one row for each document and alias.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
 from docops.functions.text import matches_any_token, matches_normalized, matches_wildcard
-from docops.plans.skew import OrderedRanges, order_columns
+from docops.plans.skew import RANGE_ROWS, OrderedRanges, order_columns
 
 # Score of a filter-only match, count for a disabled index, page size of an id stream.
 CONSTANT_SCORE = 1.0
@@ -75,22 +75,41 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.to_json(c) if "map<" in kind else F.col(c) for c, kind in df.dtypes])
 
 
-def page(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
+def _with_ties(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    return df.withColumn("_tie", row_hash(df)), [*order, "_tie"]
+
+
+def page(df: DataFrame, order: Sequence[str], start: int, size: int, unique: bool = False) -> DataFrame:
     """``size`` rows from position ``start``; ``order`` names columns, ``-name`` for descending.
 
-    A page near the front is a distributed top-k. A page further in is cut out of
-    ordered ranges, of which only those that hold the page are sorted. Rows that tie
-    in ``order`` follow each other by a hash of the whole row, so pages never overlap
-    and an order with few values is cut into ranges too.
+    A page near the front is a distributed top-k. A page further in is found in two
+    steps: the order columns alone say which ordered range holds it, then only the rows of
+    that range are read whole. Rows that tie in ``order`` follow each other by a hash of
+    the whole row, so pages never overlap and an order with few values is cut into ranges
+    too. The hash reads every column: it is left out where the order does not repeat in the
+    range, and everywhere if the caller says that ``order`` is ``unique``.
     """
-    tied = df.withColumn("_tie", row_hash(df))
-    order = [*order, "_tie"]
     if start + size <= TOP_ROWS:
-        return tied.orderBy(*order_columns(order)).offset(start).limit(size).drop("_tie")
-    rows = OrderedRanges(tied, order).rows_between(start, start + size, "_position")
+        rows, by = (df, order) if unique else _with_ties(df, order)
+        return rows.orderBy(*order_columns(by)).offset(start).limit(size).drop("_tie")
+    names = list(dict.fromkeys(o.removeprefix("-") for o in order))
+    found = OrderedRanges(df.select(*names), order)
+    rows, before, count = found.holding(df, start, start + size)
+    if not count:
+        return df.limit(0)
+    if not unique and _repeats(rows, names):
+        rows, order = _with_ties(rows, order)
+    if count <= RANGE_ROWS:
+        return rows.orderBy(*order_columns(order)).offset(start - before).limit(size).drop("_tie")
+    rows = OrderedRanges(rows, order).rows_between(start - before, start - before + size, "_position")
     return rows.orderBy("_position").drop("_position", "_tie")
 
 
+def _repeats(rows: DataFrame, names: Sequence[str]) -> bool:
+    """Whether two rows agree in all of ``names``; no other column is read."""
+    return not rows.groupBy(*names).agg(F.count("*").alias("_n")).where("_n > 1").isEmpty()
+
+
 def page_with_total(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
     """A page whose rows also carry the exact number of matches before paging."""
     total = df.agg(F.count("*").alias("n")).scalar()

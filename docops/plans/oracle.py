@@ -222,6 +222,13 @@ ORACLE: dict[str, str] = {
     "shift_alias": f"""WITH {SHIFT} SELECT * FROM plan""",
     "shift_alias_table": f"""WITH {SHIFT} SELECT alias, "index", filter_field, filter_value FROM plan
         UNION ALL SELECT * FROM cal WHERE "index" NOT IN (SELECT old_index FROM old)""",
+    "shift_versions": f"""WITH {SHIFT},
+        after AS (SELECT alias, "index", filter_field FROM plan UNION ALL
+            SELECT alias, "index", filter_field FROM cal WHERE "index" NOT IN (SELECT old_index FROM old)),
+        known AS (SELECT "index" FROM cal UNION SELECT "full" FROM shifts)
+        SELECT k."index", CASE WHEN k."index" IN (SELECT old_index FROM old) THEN 'CLOSE' ELSE 'OPEN' END AS state,
+            count(a.alias) AS aliases, count(a.filter_field) AS filtered, CAST(1 AS BIGINT) AS version
+        FROM known k LEFT JOIN after a ON a."index" = k."index" GROUP BY k."index" """,
     "shift_close_old": f"""WITH {CATALOG} SELECT "index", CASE WHEN "index" = 'events20240130' THEN 'OPEN'
         ELSE 'CLOSE' END AS state FROM cat""",
     "filtered_alias_scan": f"""WITH {ALIASES} SELECT a.alias, e."index", e.event_id FROM ev e

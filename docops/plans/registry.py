@@ -14,6 +14,7 @@ from docops.operators import aliases, catalog, changelog, chunks, keyed, profile
 from docops.plans import inputs
 from docops.session import scratch_path
 from docops.sources import bulk_lines, json_ingest, tables
+from docops.sources.versions import VersionedTables
 from docops.streaming.ingest import BulkIngest, operation_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -496,6 +497,26 @@ def shift_close_old(spark, directory):
     return closed.select("index", "state")
 
 
+@_query
+def shift_versions(spark, directory):
+    """Aliases and index states read back from the version that a shift of every nation has committed."""
+    metadata = VersionedTables(spark, scratch_path(spark, "metadata"))
+    table = inputs.customer_aliases(spark, directory)
+    shifts, extras = inputs.nation_shifts(spark, directory)
+    named = table.select("index").unionByName(shifts.select(F.col("full").alias("index"))).distinct()
+    known = named.withColumn("state", F.lit(catalog.OPEN))
+    metadata.commit({aliases.ALIASES: table, aliases.CATALOG: known}, metadata.latest())
+    version = aliases.commit_shift(metadata, shifts, extras, _segment_filter, close=True)
+    states = metadata.read(aliases.CATALOG, version).withColumnRenamed("index", "known")
+    rows = metadata.read(aliases.ALIASES, version)
+    return (
+        states.join(rows, F.col("known") == F.col("index"), "left")
+        .groupBy(F.col("known").alias("index"), "state")
+        .agg(F.count("alias").alias("aliases"), F.count("filter_field").alias("filtered"))
+        .withColumn("version", F.lit(version).cast("long"))
+    )
+
+
 @_query
 def filtered_alias_scan(spark, directory):
     rows = inputs.dated_events(spark, directory)

@@ -265,11 +265,13 @@ class OrderedRanges:
         position = inside + F.element_at(offsets, F.col(SEGMENT) + 1)
         return (self.rows if rows is None else rows).withColumn(name, position).drop(SEGMENT)
 
+    def _overlapping(self, start: int, end: int) -> list[int]:
+        """The ranges that hold positions start + 1 to end."""
+        return [s for s in range(len(self.before) - 1) if self.before[s] < end and self.before[s + 1] > start]
+
     def rows_between(self, start: int, end: int, name: str) -> DataFrame:
         """Numbered rows at positions start + 1 to end; only the ranges they lie in are sorted."""
-        overlapping = [
-            s for s in range(len(self.before) - 1) if self.before[s] < end and self.before[s + 1] > start
-        ]
+        overlapping = self._overlapping(start, end)
         if not overlapping:
             return self.numbered(name, self.rows.limit(0))
         frame = self.frame
@@ -279,3 +281,17 @@ class OrderedRanges:
         else:
             rows = (self.rows if kept is None else self.rows.where(kept)).where(F.col(SEGMENT).isin(overlapping))
         return self.numbered(name, rows).where((F.col(name) > start) & (F.col(name) <= end))
+
+    def holding(self, frame: DataFrame, start: int, end: int) -> tuple[DataFrame, int, int]:
+        """Rows of ``frame`` in the ranges that hold positions start + 1 to end, how many lie before, and how many they are.
+
+        ``frame`` has the rows that were cut, with more columns than were needed for it.
+        """
+        overlapping = self._overlapping(start, end)
+        if not overlapping:
+            return frame.limit(0), self.total, 0
+        first, last = overlapping[0], overlapping[-1]
+        kept = segments_between(frame.schema, self.order, self.bounds, first, last)
+        if kept is None:
+            kept = segment_of(frame.schema, self.order, self.bounds).between(first, last)
+        return frame.where(kept), self.before[first], self.before[last + 1] - self.before[first]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docops.definitions import IndexDefinition
 from docops.operators import aliases, catalog, lifecycle, profile, retention
 from docops.plans import skew
+from docops.sources.versions import VersionConflictError, VersionedTables
 
 ALIAS = "alias string, index string, filter_field string, filter_value string"
 STATE = "index string, state string"
@@ -272,3 +273,51 @@ def test_routing_by_definition(spark):
     hourly = IndexDefinition.from_settings("a", {"shift": True, "dateTimeFormat": "yyyyMMddHH"})
     assert only(lifecycle.route_rows(hourly, df, "ts").select("index")) == {"a2024030405"}
     assert lifecycle.route_rows(IndexDefinition("a", "a1", enabled=False), df, "ts").count() == 0
+
+
+def metadata_of(spark, root, rows, states):
+    metadata = VersionedTables(spark, str(root))
+    known = spark.createDataFrame(states, STATE)
+    assert metadata.commit({aliases.ALIASES: table(spark, *rows), aliases.CATALOG: known}, metadata.latest()) == 0
+    return metadata
+
+
+def test_a_shift_is_committed_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    rows = [("t", "t1", None, None), ("x", "t1", "f", "v"), ("u", "u1", None, None)]
+    metadata = metadata_of(spark, tmp_path / "m", rows, [("t1", "OPEN"), ("t2", "OPEN"), ("u1", "OPEN")])
+    shifts = spark.createDataFrame([("t", "t2"), ("u", "u"), (None, "t2")], "base string, full string")
+    old = metadata.read(aliases.ALIASES, metadata.latest())
+
+    def interrupted(self, source, target):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(VersionedTables, "_rename", interrupted)
+        with pytest.raises(RuntimeError):
+            aliases.commit_shift(metadata, shifts, close=True)
+    assert metadata.latest() == 0 and as_set(metadata.read(aliases.ALIASES, 0)) == set(rows)
+
+    assert aliases.commit_shift(metadata, shifts, close=True) == 1 == metadata.latest()
+    assert as_set(metadata.read(aliases.ALIASES, 1)) == {
+        ("t", "t2", None, None), ("x", "t2", "f", "v"), ("u", "u1", None, None)}
+    assert as_set(metadata.read(aliases.CATALOG, 1)) == {("t1", "CLOSE"), ("t2", "OPEN"), ("u1", "OPEN")}
+    assert metadata.read(aliases.PLAN, 1).count() == 2
+    # A reader that began before the shift still has all of its version.
+    assert as_set(old) == set(rows)
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    metadata = metadata_of(spark, tmp_path / "m", [("t", "t1", None, None)], [("t1", "OPEN")])
+    second = VersionedTables(spark, str(tmp_path / "m"))
+    mine, theirs = ({"aliases": table(spark, ("t", i, None, None))} for i in ("t2", "t3"))
+    assert metadata.commit(mine, 0) == 1
+    with pytest.raises(VersionConflictError):
+        second.commit(theirs, 0)
+    assert second.latest() == 1 and as_set(second.read("aliases", 1)) == {("t", "t2", None, None)}
+
+
+def test_no_version_before_the_first(spark, tmp_path):
+    metadata = VersionedTables(spark, str(tmp_path / "none"))
+    assert metadata.latest() is None
+    with pytest.raises(ValueError):
+        aliases.commit_shift(metadata, spark.createDataFrame([], "base string, full string"))

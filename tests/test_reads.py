@@ -210,3 +210,29 @@ def test_paths_at_every_depth(spark, rounds):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r["path"]: r["docs"] for r in profile.observed_paths(df, "t", rounds).collect()} == want
     assert profile.observed_paths(df.limit(0), "t").count() == 0
+
+
+@pytest.mark.parametrize("ranges", [2_000_000, 300])
+@pytest.mark.parametrize("order", [["-few", "a"], ["a"], ["few"], ["-id"]])
+def test_deep_pages_equal_the_whole_order(spark, monkeypatch, order, ranges):
+    monkeypatch.setattr(search, "TOP_ROWS", 10)
+    monkeypatch.setattr(search, "RANGE_ROWS", ranges)
+    df = spark.range(2_000).selectExpr(
+        "id", "if(id % 7 = 0, null, id % 3) AS few", "id * 37 % 500 AS a", "cast(id % 5 AS string) AS other"
+    )
+    tied = df.withColumn("_tie", search.row_hash(df))
+    whole = [r["id"] for r in tied.orderBy(*search.order_columns([*order, "_tie"])).collect()]
+    for start in (11, 1_990, 2_000):
+        got = [r["id"] for r in search.page(df, order, start, 25).collect()]
+        assert got == whole[start : start + 25]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_deep_page_reads_the_order_and_the_result_only(spark, tmp_path, unique):
+    path = str(tmp_path / "rows")
+    spark.range(5_000).selectExpr("id", "id % 11 AS few", "id * 7 AS shown", "repeat('x', 50) AS wide").write.parquet(path)
+    page = search.page(spark.read.parquet(path), ["-few", "id"], 2_000, 10, unique=unique).select("id", "shown")
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "wide" not in plan and "shown" in plan
+    by = sorted(range(5_000), key=lambda i: (-(i % 11), i))
+    assert [tuple(r) for r in page.collect()] == [(i, i * 7) for i in by[2_000:2_010]]
