@@ -1,23 +1,29 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a maximal run of at least ``MIN_LENGTH`` letters, digits and ``+/_-``. The
-forest judges its length, the transitions between its characters, how much of it the
-commonest words of the corpus cover, the path of its document and the words around it.
-It learns from labelled findings; the query labels those of its corpus that have a known
-form, and leaves every other to the forest.
+forest judges its length, the transitions between its characters (kinds of characters, and
+how likely its pairs of letters are in the words of the corpus), how much of it the
+commonest words cover, the path of its document and the words around it.
+
+It learns from labelled findings. The query labels those of its corpus that have a known
+form, and puts a bounded sample of the secrets among them, and values derived from these, where the
+verdict is another one: behind the name of a digest, beside the word "example", below a path of tests, bare
+in prose, as an identifier of common words. So no form alone decides. All else is left to the forest.
 
 Only DataFrame functions and Spark's own forest are used.
 
 * Null and empty texts have no candidate. Texts of any length are searched to their end.
 * A null path counts as an empty one. Rows without id are searched, but nothing is learned
   from them. Repeated rows give their findings each.
-* Without labelled findings of both kinds there is no forest: every candidate is kept, with
+* Without a finding of a known secret form there is no forest: every candidate is kept, with
   probability 1. An empty table gives an empty result. Other columns are ignored.
 * Secrets are not copied: a finding has its place and the SHA-256 of its characters.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,20 +39,39 @@ AROUND = 40
 #: Candidates of one text whose places are summed at a time.
 BLOCK = 1000
 #: Commonest words of the corpus that count as its dictionary, and their least length.
-DICTIONARY = 200
+DICTIONARY = 2_000
 DICTIONARY_LENGTH = 3
 #: Labelled findings of each kind that the forest learns from, its size and its threshold.
 SAMPLE = 5_000
-TREES, DEPTH, SEED = 20, 6, 7
+#: Known secrets that are put into other surroundings to learn from.
+SEEDS = 1_000
+TREES, DEPTH, SEED = 40, 9, 7
 CUT = 0.5
 #: Words that tell of a secret, of a digest, and of an example.
 TELLING = "password|passwd|pwd|secret|token|credential|api.?key|access.?key|private.?key|auth|bearer"
 DIGESTS = "sha[0-9]*|md5|checksum|digest|commit|etag|uuid|guid"
 EXAMPLES = "example|sample|dummy|placeholder|changeme|test|fixture|mock"
-FEATURES = (
-    "length upper lower digit lower_digit upper_digit case_change same distinct dictionary "
-    "told assigned digest example path_example hexadecimal"
-).split()
+#: Surroundings of findings whose verdict is known, and parts of made values.
+TOLD_BY = ["password = ", 'api_key="', "token: '", "secret=", 'auth_token = "', "the credential: "]
+DIGEST_OF = ["sha256:", "md5 = ", "checksum: ", "at commit ", 'etag: "', "digest=", "sha1 "]
+EXAMPLE_OF = ["example ", "a sample ", "dummy ", "placeholder ", "test "]
+EXAMPLE_PATHS = ["tests/fixture/keys.json", "examples/config.yml", "docs/sample.md", "mock/data.txt"]
+NAMED_BY = ["id = ", "request ", "uuid: ", "see "]
+IN_PROSE = ["the ", "and ", "of ", ", ", ""]
+FILLERS = ["x", "0", "X", "_"]
+
+#: The features by what they look at.
+FAMILIES = {
+    "length": ["length"],
+    "transitions": (
+        "upper lower digit lower_digit upper_digit case_change same distinct hexadecimal transition".split()
+    ),
+    "dictionary": ["dictionary"],
+    "path": ["path_example"],
+    "words": "told assigned digest example".split(),
+}
+FEATURES = [name for family in FAMILIES.values() for name in family]
+LETTERS = 26
 
 
 def _starts(lengths: Column) -> Column:
@@ -108,15 +133,57 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame) -> list[str]:
-    """The commonest words of all texts, lower-cased; their number is the bound ``DICTIONARY``."""
-    letters = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(rf"\b[a-z]{{{DICTIONARY_LENGTH},{MIN_LENGTH // 2}}}\b"), F.lit(0))
-    counted = docs.select(F.explode(letters).alias("w")).groupBy("w").count()
-    return sorted(r["w"] for r in counted.orderBy(F.col("count").desc(), "w").limit(DICTIONARY).collect())
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """(w, count) for every word of letters in any text, lower-cased; one row a word, written once."""
+    pattern = rf"\b[a-z]{{{DICTIONARY_LENGTH},{MIN_LENGTH // 2}}}\b"
+    letters = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(pattern), F.lit(0))
+    return stored(docs.select(F.explode(letters).alias("w")).groupBy("w").count(), "secrets-words")
+
+
+def dictionary(words: DataFrame) -> list[str]:
+    """The commonest words of all texts; their number is the bound ``DICTIONARY``."""
+    return sorted(r["w"] for r in words.orderBy(F.col("count").desc(), "w").limit(DICTIONARY).collect())
+
+
+def transitions(words: DataFrame) -> list[float]:
+    """How likely one letter follows another in the words, as logarithms; ``LETTERS`` times ``LETTERS`` of them."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))
+    counted = words.select("count", F.explode(pairs).alias("p")).groupBy("p").agg(F.sum("count").alias("n")).collect()
+    counts = [[1.0] * LETTERS for _ in range(LETTERS)]
+    for row in counted:
+        first, second = (ord(letter) - ord("a") for letter in row["p"])
+        counts[first][second] += row["n"]
+    return [math.log(n / sum(line)) for line in counts for n in line]
+
+
+def _likelihood(candidate: Column, likely: list[float]) -> Column:
+    """Mean of ``likely`` over neighbouring characters; a pair with anything but letters counts as the least likely."""
+    table, least = F.lit(likely), F.lit(min(likely))
+    size = F.length(candidate)
+    codes = F.transform(F.sequence(F.lit(1), size), lambda i: F.ascii(F.substr(F.lower(candidate), i, F.lit(1))) - ord("a"))
+
+    def pair(a: Column, b: Column) -> Column:
+        letters = a.between(0, LETTERS - 1) & b.between(0, LETTERS - 1)
+        return F.when(letters, F.get(table, a * LETTERS + b)).otherwise(least)
+
+    # Bound in a one-element array, so that the characters are taken apart once.
+    total = F.transform(
+        F.array(codes),
+        lambda v: F.aggregate(F.sequence(F.lit(1), F.size(v) - 1), F.lit(0.0), lambda t, i: t + pair(v[i - 1], v[i])),
+    )[0]
+    return total / (size - 1)
 
 
-def with_features(found: DataFrame, known: list[str]) -> DataFrame:
-    """``found`` with the columns ``FEATURES``."""
+def _any_word(known: list[str]) -> str:
+    """A pattern of all words, longest first among those with one first letter."""
+    by_letter: dict[str, list[str]] = {}
+    for word in sorted(known, key=lambda w: (-len(w), w)):
+        by_letter.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in sorted(by_letter.items()))
+
+
+def with_features(found: DataFrame, known: list[str], likely: list[float]) -> DataFrame:
+    """``found`` with the columns ``FEATURES``, by the words and the transitions of the corpus."""
     c, size = F.col("candidate"), F.length("candidate").cast("double")
 
     def share(pattern: str) -> Column:
@@ -130,8 +197,7 @@ def with_features(found: DataFrame, known: list[str]) -> DataFrame:
 
     covered = F.lit(0.0)
     if known:
-        longest_first = "|".join(sorted(known, key=lambda w: (-len(w), w)))
-        covered = 1 - F.length(F.regexp_replace(F.lower(c), longest_first, "")) / size
+        covered = 1 - F.length(F.regexp_replace(F.lower(c), _any_word(known), "")) / size
     columns = {
         "length": size,
         "upper": share("[A-Z]"),
@@ -149,6 +215,7 @@ def with_features(found: DataFrame, known: list[str]) -> DataFrame:
         "example": near(rf"\b({EXAMPLES})\b", "before", "after"),
         "path_example": near(EXAMPLES, "path"),
         "hexadecimal": c.rlike("^[0-9a-f]+$").cast("double"),
+        "transition": _likelihood(c, likely),
     }
     return found.select("*", *[value.cast("double").alias(name) for name, value in columns.items()])
 
@@ -192,23 +259,95 @@ def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> D
 
 
 def known_forms(found: DataFrame) -> Column:
-    """1 for findings whose form proves a secret, 0 for words, null for all that is left to the forest.
-
-    Held-out documents teach nothing, nor do rows without id.
-    """
+    """1 for findings whose form proves a secret, 0 for words, null for all that is left to the forest."""
     key = F.col("candidate").rlike("^(AKIA|ASIA)[A-Z2-7]{16}$")
-    value = F.col("candidate").rlike("^[0-9a-f]{18,}$") & (F.col("told") == 1.0) & (F.col("assigned") == 1.0)
+    told = (F.col("told") == 1.0) & (F.col("assigned") == 1.0)
+    mocked = (F.col("example") == 1.0) | (F.col("path_example") == 1.0)
+    value = F.col("candidate").rlike("^[0-9a-f]{18,}$") & told
     word = F.col("candidate").rlike("^[A-Za-z]?[a-z]+$|^[A-Z]+$|^(.)\\1+$") & ~key
-    label = F.when(key | value, 1).when(word, 0)
-    taught = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
-    return F.when(taught, label)
+    return F.when((key | value) & ~mocked, 1).when(word, 0)
+
+
+def taught() -> Column:
+    """Held-out documents teach nothing, nor do rows without id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))
+
+
+def surrounded(seeds: DataFrame, known: list[str]) -> DataFrame:
+    """(candidate, path, before, after, label): each known secret of ``seeds``, and values made from it, in
+    surroundings that prove them secret (1) or not (0)."""
+
+    def number(salt: str, below: int) -> Column:
+        return F.pmod(F.xxhash64("candidate", F.lit(salt)), F.lit(below)).cast("int")
+
+    def one_of(values: list[str], salt: str) -> Column:
+        return F.get(F.lit(values), number(salt, len(values)))
+
+    value, path, before = F.col("candidate"), F.col("path"), F.col("before")
+    digest = F.sha2("candidate", 256)
+    hexadecimal = F.left(digest, number("hex", 25) + 18)
+    mixed = F.left(F.base64(F.unhex(digest)), number("mixed", 21) + 20)
+    key = F.concat(F.lit("AKIA"), F.translate(F.upper(F.left(digest, F.lit(16))), "0189", "WXYZ"))
+    uuid = F.concat_ws("-", *[F.substr(digest, F.lit(at), F.lit(n)) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    letters = F.translate(F.left(digest, number("letters", 20) + 18), "0123456789", "ghijklmnop")
+    words = [one_of(known or ["value"], f"word {i}") for i in range(5)]
+    named, joined = F.concat(F.lit("getThe"), *[F.initcap(w) for w in words]), F.concat(F.lit("the"), *words)
+    filler = F.repeat(one_of(FILLERS, "filler"), number("fill", 25) + MIN_LENGTH)
+    told, named_digest = one_of(TOLD_BY, "told"), one_of(DIGEST_OF, "digest")
+    example = F.concat(one_of(EXAMPLE_OF, "example"), told)
+    mocked, prose = one_of(EXAMPLE_PATHS, "path"), one_of(IN_PROSE, "prose")
+    spoken = F.concat(*[F.left(one_of(known or ["value"], f"part {i}"), F.lit(3)) for i in range(7)])
+    blob = F.concat(*[F.left(F.base64(F.unhex(F.sha2(F.concat("candidate", F.lit(f"{i}")), 256))), F.lit(43)) for i in range(4)])
+    cases = [
+        (value, path, before, 1),
+        (hexadecimal, path, told, 1),
+        (mixed, path, told, 1),
+        (key, path, told, 1),
+        (key, path, prose, 1),
+        (hexadecimal, path, named_digest, 0),
+        (mixed, path, named_digest, 0),
+        (hexadecimal, path, prose, 0),
+        (uuid, path, one_of(NAMED_BY, "named"), 0),
+        (hexadecimal, path, example, 0),
+        (mixed, path, example, 0),
+        (key, path, example, 0),
+        (value, mocked, before, 0),
+        (mixed, mocked, told, 0),
+        (key, mocked, told, 0),
+        (letters, path, told, 1),
+        (spoken, path, told, 1),
+        (blob, path, told, 0),
+        (named, path, told, 0),
+        (joined, path, told, 0),
+        (joined, path, prose, 0),
+        (filler, path, told, 0),
+    ]
+    rows = [
+        F.struct(c.alias("candidate"), p.alias("path"), b.alias("before"), F.col("after").alias("after"), F.lit(label).alias("label"))
+        for c, p, b, label in cases
+    ]
+    return seeds.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def lessons(labelled: DataFrame, known: list[str], likely: list[float]) -> DataFrame | None:
+    """Labelled findings to learn from: a sample of the words, and of the secrets in all surroundings."""
+    counts = {r["label"]: r["count"] for r in labelled.where("label IN (0, 1)").groupBy("label").count().collect()}
+    if 1 not in counts:
+        return None
+    plain = labelled.select("candidate", "path", "before", "after", "label")
+    keys = ["candidate", "path", "before", "after"]
+    seeds = sample_by_hash(plain.where("label = 1"), keys, SEEDS, counts[1])
+    others = sample_by_hash(plain.where("label = 0"), keys, SAMPLE, counts.get(0, 0))
+    return with_features(surrounded(seeds, known).unionByName(others), known, likely)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Findings of ``docs`` (doc_id, path, text), with a forest learned from those of known form."""
-    found = stored(with_features(candidates(docs), dictionary(docs)), "secrets-candidates")
-    model = learn(found.withColumn("label", known_forms(found)))
-    return judged(found, model)
+    words = vocabulary(docs)
+    known, likely = dictionary(words), transitions(words)
+    found = stored(with_features(candidates(docs), known, likely), "secrets-candidates")
+    teaching = lessons(found.withColumn("label", F.when(taught(), known_forms(found))), known, likely)
+    return judged(found, None if teaching is None else learn(stored(teaching, "secrets-lessons")))
 
 
 def op2_secrets(spark, directory: str) -> DataFrame:

@@ -139,6 +139,75 @@ def test_secrets_are_found_and_words_are_not(spark):
     assert {(r.doc_id, r.start) for r in unseen if r.secret} == told
 
 
+def forest_of(docs):
+    """The forest that ``scan`` learns, what it knows of the corpus, and labelled findings of held-out documents."""
+    words_ = secrets.vocabulary(docs)
+    known, likely = secrets.dictionary(words_), secrets.transitions(words_)
+    found = secrets.with_features(secrets.candidates(docs), known, likely)
+    label = secrets.known_forms(found)
+    model = secrets.learn(secrets.lessons(found.withColumn("label", F.when(secrets.taught(), label)), known, likely))
+    held = found.where(~secrets.taught()).withColumn("label", label).where("label = 1")
+    unseen = secrets.with_features(secrets.surrounded(held, known), known, likely)
+    return model, known, likely, unseen.withColumns({"doc_id": F.lit(1), "start": F.monotonically_increasing_id()})
+
+
+def verdicts(rows, model):
+    return {r.start: r.secret for r in secrets.judged(rows, model).collect()}
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    docs = spark.createDataFrame(secret_rows(random.Random(9)), "doc_id long, text string, path string")
+    return forest_of(docs)
+
+
+def test_surroundings_decide(spark, forest):
+    model, known, likely, _ = forest
+    value, mixed = hashlib.sha1(b"some value").hexdigest(), "q7Rz2LmX0pVb8TnKc4Ya6W"
+    cases = [
+        (value, "src", 'token = "', 1), (mixed, "src", "password = ", 1), (value, "src", "sha256:", 0),
+        (value, "src", "at commit ", 0), (value, "src", "example password = ", 0), (value, "tests/fixture/a", "password = ", 0),
+        (mixed, "src", "sha256:", 0), ("3f2b1c9e-5d1a-4a6e-9a57-0f6c1d2e3b4a", "src", "id = ", 0),
+        ("getThe" + "".join(w.title() for w in known[:4]), "src", "password = ", 0), ("x" * 24, "src", "password = ", 0),
+    ]
+    rows = [(1, i, c, p, b, " end") for i, (c, p, b, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "doc_id long, start long, candidate string, path string, before string, after string")
+    out = verdicts(secrets.with_features(df, known, likely), model)
+    assert [int(out[i]) for i in range(len(cases))] == [c[-1] for c in cases]
+
+
+def test_secrets_of_held_out_findings(forest):
+    model, _, _, unseen = forest
+    rows = unseen.select("start", "label").collect()
+    out = verdicts(unseen, model)
+    right = sum(out[r.start] and r.label == 1 for r in rows)
+    print("precision", right / sum(out.values()), "recall", right / sum(r.label for r in rows), "of", len(rows))
+    assert len(rows) > 500 and right / sum(out.values()) >= 0.95 and right / sum(r.label for r in rows) >= 0.95
+
+
+@pytest.mark.parametrize("family", secrets.FAMILIES)
+def test_each_family_of_features_changes_verdicts(spark, forest, family):
+    model, _, _, unseen = forest
+    rows = unseen.toPandas()
+    other = rows.copy()
+    names = secrets.FAMILIES[family]
+    other[names] = rows[names].sample(frac=1, random_state=3).to_numpy()
+    given, changed = (verdicts(spark.createDataFrame(r), model) for r in (rows, other))
+    assert any(given[i] != changed[i] for i in given)
+
+
+def test_transitions_tell_words_from_noise(spark):
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, sentence(rng, 40), "p") for i in range(50)], "doc_id long, text string, path string")
+    likely = secrets.transitions(secrets.vocabulary(docs))
+    counts = Counter(p for r in docs.collect() for w in re.findall(r"\b[a-z]{3,8}\b", r.text.lower()) for p in zip(w, w[1:]))
+    assert len(likely) == 676
+    for a in "abz":
+        n = sum(c for (x, _), c in counts.items() if x == a) + 26
+        got = likely[(ord(a) - 97) * 26 : (ord(a) - 96) * 26]
+        assert got == pytest.approx([math.log((counts[a, chr(97 + b)] + 1) / n) for b in range(26)])
+
+
 def test_without_labelled_findings_all_are_kept(spark):
     df = spark.createDataFrame([(1, "x antidisestablishment y", "p")], "doc_id long, text string, path string")
     assert [(r.probability, r.secret) for r in secrets.scan(df).collect()] == [(1.0, True)]
