@@ -1,9 +1,11 @@
 """Document quality learned from preference pairs by the Bradley-Terry model.
 
-Every labelled good document should be preferred to every bad one. Pairs are drawn from
-a sample of labelled rows, and a linear score is fitted by logistic loss on the
-differences of their features. The threshold is a quantile of the training scores, at
-the share of bad labels; scores are shifted so that it lies at ``CUT``.
+Every labelled good document should be preferred to every bad one. All labelled rows are
+dealt into cells, in the order of a hash: each row of the larger kind meets ``PARTNERS`` rows
+of the other, and those take part equally often. A linear score is fitted by logistic loss
+on the differences of all features that meet, by Newton steps that are sums over the cells.
+The threshold is the exact quantile of the scores of all labelled rows, at the share of bad
+labels; scores are shifted so that it lies at ``CUT``.
 
 * Features come from the text alone: never from labels, language, source or id.
 * Null text counts as empty; empty texts get the score of their features like others.
@@ -15,15 +17,21 @@ the share of bad labels; scores are shifted so that it lies at ``CUT``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docops.llm.common import sample_by_hash, set_aside, stored, table, words
+from docops.llm.common import set_aside, stored, table, words
+from docops.plans.skew import OrderedRanges
 
-#: Labelled rows of each kind that are learned from, and pairs drawn for each of them.
-SAMPLE = 10_000
+#: Rows of each kind in a cell, and cells that are stored as one row.
 PARTNERS = 8
+CELLS = 64
+#: Sums are added as whole multiples of this, so that their order does not matter.
+QUANTUM = 2.0**-52
 RIDGE = 1e-3
 CUT = 0.7
 UNTAUGHT = 0.75
@@ -68,31 +76,101 @@ def features(text: Column) -> Column:
     return F.concat(F.array(*shares, *roots), tail)
 
 
-def learn(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    """Weights, with the shift last, of the Bradley-Terry model on pairs of the two sets."""
-    everything = np.concatenate([good, bad])
-    mean, scale = everything.mean(axis=0), everything.std(axis=0)
-    scale[scale == 0] = 1
-    random = np.random.default_rng(SEED)
-    rounds = PARTNERS * max(len(good), len(bad))
-    first = np.resize(random.permutation(len(good)), rounds)
-    second = random.integers(0, len(bad), rounds)
-    if len(bad) > len(good):
-        first, second = random.integers(0, len(good), rounds), np.resize(random.permutation(len(bad)), rounds)
-    gap = (good[first] - bad[second]) / scale
-    w = np.zeros(gap.shape[1])
-    for _ in range(30):  # Newton steps; the ridge keeps separable pairs finite
-        p = 1 / (1 + np.exp(-np.clip(gap @ w, -30, 30)))
-        gradient = gap.T @ (1 - p) / rounds - RIDGE * w
-        curve = (gap * (p * (1 - p))[:, None]).T @ gap / rounds + RIDGE * np.eye(len(w))
+def pair_sums(good: np.ndarray, bad: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, gradient and curvature of all pairs of ``good`` and ``bad`` within each cell, in one array.
+
+    Both are (cells, rows, features); a row of nan is none.
+    """
+    some = ~np.isnan(good[:, :, None, 0] + bad[:, None, :, 0])
+    good, bad = np.nan_to_num(good), np.nan_to_num(bad)
+    p = 1 / (1 + np.exp(-np.clip((good @ w)[:, :, None] - (bad @ w)[:, None, :], -30, 30)))
+    miss, bend = (1 - p) * some, p * (1 - p) * some
+    gradient = np.einsum("ci,cif->f", miss.sum(2), good) - np.einsum("cj,cjf->f", miss.sum(1), bad)
+    cross = np.tensordot(good, bend @ bad, ([0, 1], [0, 1]))
+    curve = np.tensordot(good * bend.sum(2)[:, :, None], good, ([0, 1], [0, 1])) - cross - cross.T
+    curve += np.tensordot(bad * bend.sum(1)[:, :, None], bad, ([0, 1], [0, 1]))
+    return np.concatenate([[some.sum()], gradient, curve.ravel()])
+
+
+def newton(sums: Callable[[np.ndarray], np.ndarray], width: int) -> np.ndarray:
+    """Weights of least logistic loss, from ``pair_sums`` at given weights."""
+    w = np.zeros(width)
+    for _ in range(30):  # the ridge keeps separable pairs finite
+        found = sums(w)
+        found = found[1:] / found[0]
+        gradient = found[:width] - RIDGE * w
+        curve = found[width:].reshape(width, width) + RIDGE * np.eye(width)
         step = np.linalg.solve(curve, gradient)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    w = w / scale
+    return w
+
+
+def learn(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Weights, with the shift last, of the Bradley-Terry model on all pairs of two sets in memory."""
+    everything = np.concatenate([good, bad])
+    mean, scale = everything.mean(axis=0), everything.std(axis=0)
+    scale[scale == 0] = 1
+    w = newton(lambda w: pair_sums(good[None] / scale, bad[None] / scale, w), len(scale)) / scale
     return np.append(w, -(mean @ w))
 
 
+def dealt(taught: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """All rows of ``taught`` (label, _f, _h, doc_id) in cells: (slots, labels, values), ``CELLS`` cells a row."""
+    more = max(counts, key=counts.get)
+    slots = -(-counts[more] // PARTNERS) * PARTNERS
+
+    def kind(label: int) -> DataFrame:
+        rows = taught.where(F.col("label") == label).select("label", "_f", "_h", "doc_id")
+        slot = F.col("_n") - 1
+        if label != more:  # as often as there are places
+            slot = F.explode(F.sequence(slot, F.lit(slots - 1).cast("long"), F.lit(counts[label]).cast("long")))
+        return OrderedRanges(rows, ["_h", "doc_id"]).numbered("_n").select(slot.alias("slot"), "label", "_f")
+
+    block = F.floor(F.col("slot") / (PARTNERS * CELLS)).alias("block")
+    rows = F.sort_array(F.collect_list(F.struct("slot", "label", "_f"))).alias("rows")
+    blocks = kind(0).unionByName(kind(1)).groupBy(block).agg(rows)
+    return blocks.select(
+        F.col("rows.slot").alias("slots"), F.col("rows.label").alias("labels"), F.flatten("rows._f").alias("values")
+    )
+
+
+def _summed(w: np.ndarray, scale: np.ndarray):
+    """Blocks of cells to the sums of this task, in whole quanta as text."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                slots, labels, values = (batch.column(i)[row].values.to_numpy() for i in range(3))
+                cells = np.full((2, CELLS, PARTNERS, len(w)), np.nan)
+                cell, place = np.divmod(slots % (CELLS * PARTNERS), PARTNERS)
+                cells[labels, cell, place] = values.reshape(len(slots), -1) / scale
+                found = [int(x) for x in np.rint(pair_sums(cells[1], cells[0], w) / QUANTUM)]
+                total = found if total is None else [a + b for a, b in zip(total, found)]
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([[str(x) for x in total]])], ["sums"])
+
+    return summed
+
+
+def learned(taught: DataFrame, counts: dict[int, int]) -> np.ndarray:
+    """Weights of the Bradley-Terry model on all rows of ``taught``; only sums come to the driver."""
+    width = taught.select(F.size("_f")).first()[0]
+    spread = taught.select(*[F.stddev_pop(F.col("_f")[i]) for i in range(width)]).first()
+    # Rounded, as the last digits depend on the order of the rows.
+    scale = np.array([float(f"{x:.9g}") for x in spread])
+    scale[scale < 1e-12] = 1
+    cells = stored(dealt(taught, counts), "quality-cells")
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        parts = [[int(x) for x in r["sums"]] for r in cells.mapInArrow(_summed(w, scale), "sums array<string>").collect()]
+        return np.array([float(sum(column)) for column in zip(*parts)]) * QUANTUM
+
+    return newton(sums, width) / scale
+
+
 def labelled(docs: DataFrame, labels: DataFrame, quality: str = "quality") -> DataFrame:
     """(doc_id, label) with label 0 or 1, from the rows that may be learned from."""
     taught = labels.where(F.col("doc_id").isNotNull() & F.col(quality).isNotNull() & ~held_out())
@@ -108,8 +186,7 @@ def held_out() -> Column:
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without their texts, with held_out, score and predicted.
 
-    The texts are read once. Only the bounded sample of labelled rows and two counts
-    come to the driver.
+    The texts are read once. Only sums, counts and cut points come to the driver.
     """
     docs, back = set_aside(docs.drop(*OWN), ("doc_id", "text"))
     kept = [c for c in docs.columns if c != "text"]
@@ -136,27 +213,17 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _score(rows: DataFrame, labels: DataFrame) -> Column:
     taught = rows.select("doc_id", "_f").join(labelled(rows, labels), "doc_id")
+    taught = stored(taught.withColumn("_h", F.xxhash64("doc_id", "_f")), "quality-taught")
     counts = {r["label"]: r["count"] for r in taught.groupBy("label").count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return F.lit(UNTAUGHT)
-    sample = {}
-    for label in (0, 1):
-        rows_of = sample_by_hash(taught.where(F.col("label") == label), ["doc_id", "_f"], SAMPLE, counts[label])
-        sample[label] = np.array([r["_f"] for r in rows_of.select("_f").collect()])
-    weights = learn(sample[1], sample[0])
-    values = np.concatenate([sample[1], sample[0]]) @ weights[:-1] + weights[-1]
-    # Each sampled row stands for its share of the labelled rows of its kind.
-    stands = np.repeat([counts[1] / len(sample[1]), counts[0] / len(sample[0])], [len(sample[1]), len(sample[0])])
-    order = np.argsort(values, kind="stable")
-    reached = np.cumsum(stands[order])
-    at = min(int(np.searchsorted(reached, counts[0] * (1 - 1e-9))), len(values) - 2)
-    threshold = values[order][at : at + 2].mean()  # halfway between the neighbours of the quantile
-    line = F.aggregate(
-        F.zip_with("_f", F.array(*[F.lit(float(x)) for x in weights[:-1]]), lambda a, b: a * b),
-        F.lit(float(weights[-1] - threshold + np.log(CUT / (1 - CUT)))),
-        lambda total, x: total + x,
-    )
-    return 1 / (1 + F.exp(-line))
+    weights = F.array(*[F.lit(float(x)) for x in learned(taught, counts)])
+    products = F.zip_with("_f", weights, lambda a, b: a * b)
+    line = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    # Halfway between the neighbours of the quantile.
+    ranked = OrderedRanges(taught.select(line.alias("_v"), "_h"), ["_v", "_h"])
+    threshold = ranked.rows_between(counts[0] - 1, counts[0] + 1, "_at").agg(F.avg("_v")).first()[0]
+    return 1 / (1 + F.exp(-(line + F.lit(float(np.log(CUT / (1 - CUT)) - threshold)))))
 
 
 def op5_quality(spark, directory: str) -> DataFrame:

@@ -52,6 +52,45 @@ def test_quality_of_awkward_rows(spark):
     assert quality.good_documents(docs, none).count() == len(rows)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """Each row meets the other kind, and weights and threshold are those of all rows."""
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 7 != 0), [float(x) for x in rng.normal(i % 7 != 0, 1, 3)]) for i in range(25_000)]
+    taught = spark.createDataFrame(rows, "doc_id long, label int, _f array<double>").withColumn("_h", F.xxhash64("doc_id"))
+    counts = Counter(r[1] for r in rows)
+    met = Counter()
+    pairs = 0
+    for r in quality.dealt(taught, counts).collect():
+        values = np.array(r["values"]).reshape(-1, 3)
+        met.update((label, tuple(v)) for label, v in zip(r["labels"], values))
+        places = Counter((slot // quality.PARTNERS, label) for slot, label in zip(r["slots"], r["labels"]))
+        pairs += sum(n * places[cell, 0] for (cell, label), n in places.items() if label == 1)
+    assert set(met) == {(label, tuple(f)) for _, label, f in rows}
+    assert {n for (label, _), n in met.items() if label == 1} == {1} and pairs == quality.PARTNERS * counts[1]
+    assert max(n for (label, _), n in met.items() if label == 0) - min(n for (label, _), n in met.items() if label == 0) <= 1
+    kinds = [np.array([f for _, label, f in rows if label == k]) for k in (0, 1)]
+    assert quality.learned(taught, counts) == pytest.approx(quality.learn(kinds[1][::5], kinds[0][::5])[:-1], rel=0.1)
+
+
+def test_quality_threshold_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(rng.normal(i % 2, 0.5))]) for i in range(44_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, _f array<double>")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(44_000)], "doc_id long, quality int")
+    score = quality._score(docs, labels)
+    taught = docs.where(~quality.held_out()).withColumn("score", score)
+    bad = taught.where("doc_id % 2 = 0").count()
+    assert bad > 15_000 and taught.where(F.col("score") < quality.CUT).count() == bad
+
+
+def test_quality_with_few_rows_of_one_kind(spark):
+    for good, bad in ((1, 1), (1, 30), (9, 2), (700, 3)):
+        rows = [(i, int(i < good), [float(i < good) + i * 1e-3, 1.0]) for i in range(good + bad)]
+        taught = spark.createDataFrame(rows, "doc_id long, label int, _f array<double>").withColumn("_h", F.xxhash64("doc_id"))
+        weights = quality.learned(taught, {1: good, 0: bad})
+        assert np.isfinite(weights).all() and weights[0] > 0 and abs(weights[1]) < 1e-9
+
+
 def test_ranking_separates_pairs():
     rng = np.random.default_rng(1)
     good, bad = rng.normal(1, 1, (300, 3)), rng.normal(-1, 1, (100, 3))
