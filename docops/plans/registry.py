@@ -82,14 +82,17 @@ def ingest_json_lists(spark, directory):
     def total(values):
         return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
-    fitting = rows.where("NOT rejected").select(
+    def fitting(value):
+        return F.when(~F.col("rejected"), value)
+
+    # One pass: rejected documents give their id alone.
+    return rows.select(
         "event_id",
-        F.size("doc.k").alias("k_count"),
-        total(F.col("doc.k")).alias("k_sum"),
-        F.array_join(F.flatten("doc.person.name"), ",").alias("names"),
-        total(F.flatten("doc.person.n")).alias("n_sum"),
+        fitting(F.size("doc.k")).alias("k_count"),
+        fitting(total(F.col("doc.k"))).alias("k_sum"),
+        fitting(F.array_join(F.flatten("doc.person.name"), ",")).alias("names"),
+        fitting(total(F.flatten("doc.person.n"))).alias("n_sum"),
     )
-    return rows.where("rejected").select("event_id").unionByName(fitting, allowMissingColumns=True)
 
 
 @_query

@@ -93,3 +93,10 @@ def test_points_in_three_forms_and_rejected_documents(spark):
 def test_one_key_is_pushed_to_the_scan(spark, capsys):
     registry.doc_get(spark, SMALL).explain()
     assert "EqualTo(doc_id,1)" in capsys.readouterr().out
+
+
+def test_lists_are_parsed_in_one_pass(spark):
+    df = registry.registered()["ingest_json_lists"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("try_parse_json") == 1
+    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
