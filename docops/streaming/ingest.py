@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -68,17 +70,26 @@ class BulkIngest:
 
     def flush(self, ops: DataFrame, batch: int) -> None:
         """Applies one batch; repeating it writes the same rows again."""
-        ops = ops.select(*OPERATION).persist()
+        kept = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(df.persist())
+            return kept[-1]
+
         try:
-            self._flush(ops, batch)
+            self._flush(keep(ops.select(*OPERATION)), batch, keep)
         finally:
-            ops.unpersist()
+            for df in kept:
+                df.unpersist()
 
-    def _flush(self, ops: DataFrame, batch: int) -> None:
+    def _flush(self, ops: DataFrame, batch: int, keep: Callable[[DataFrame], DataFrame]) -> None:
         keys = checked_broadcast(ops.select(*KEY).distinct())
-        before = self.table.state(batch, keys)
-        marked = join_summary(ops, before, KEY, ["last_seq"]).withColumn(
-            "late", F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))
+        # Both are used by the search for hot keys, the outcomes and the new states: joined once.
+        before = keep(self.table.state(batch, keys))
+        marked = keep(
+            join_summary(ops, before, KEY, ["last_seq"]).withColumn(
+                "late", F.coalesce(F.col("seq") <= F.col("last_seq"), F.lit(False))
+            )
         )
         base = before.select(
             F.col("last_seq").alias("seq"),
