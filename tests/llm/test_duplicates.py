@@ -194,3 +194,25 @@ def test_long_texts_are_hashed_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(substrings, "PIECE", 500)
     out = substrings.remove_repeats(frame(spark, rows)).collect()
     assert Counter(tuple(r) for r in out) == Counter((r[0], *x) for r, x in zip(rows, slow_strings(rows)))
+
+
+def test_equal_windows_are_compared_once(spark, monkeypatch):
+    """What repeats around frequent anchors: rows follow the windows that differ, not the places."""
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(chr(97 + int(x)) for x in rng.integers(0, 26, n))
+    passage = letters(4000)
+    rows = [(i, letters(50) + passage + letters(50), *[None] * 7) for i in range(40)]
+    rows += [(100 + i, "ab" * (600 + i), *[None] * 7) for i in range(5)]
+    kept = {}
+
+    def spy(df, name, real=substrings.stored):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(substrings, "HOT", 10)
+    monkeypatch.setattr(substrings, "stored", spy)
+    out = substrings.remove_repeats(frame(spark, rows)).collect()
+    assert Counter(tuple(r) for r in out) == Counter((r[0], *x) for r, x in zip(rows, slow_strings(rows)))
+    places = kept["substrings-anchors"].count()
+    assert places > 2000
+    assert all(kept[name].count() < 2 * places for name in ("substrings-windows", "substrings-blocks", "substrings-found"))
