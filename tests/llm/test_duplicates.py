@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from docops.llm import graph, linedup, simhash, substrings
 from tests.llm.helpers import awkward_rows, frame
@@ -216,3 +217,21 @@ def test_equal_windows_are_compared_once(spark, monkeypatch):
     places = kept["substrings-anchors"].count()
     assert places > 2000
     assert all(kept[name].count() < 2 * places for name in ("substrings-windows", "substrings-blocks", "substrings-found"))
+
+
+@pytest.mark.parametrize("hot", [2, 100])
+def test_rows_of_large_groups_are_joined_once(spark, monkeypatch, hot):
+    """Groups above and below the bound of the broadcast, groups that are missing, and keys that are null."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    values = [(1, i) for i in range(9)] + [(2, 20), (2, 21), (3, 30), (None, 40)]
+    rows = spark.createDataFrame(values, "h long, pos long")
+    groups = rows.where("h < 3").groupBy("h").agg(F.count("*").alias("n"))
+    sizes = {1: 9, 2: 2}
+    for how in ("inner", "left"):
+        out = substrings._grouped(rows, groups, ["h"], how).collect()
+        expected = Counter((h, p, sizes.get(h)) for h, p in values if how == "left" or h in sizes)
+        assert Counter((r.h, r.pos, r.n) for r in out) == expected
+    calls, real = [], substrings._grouped
+    monkeypatch.setattr(substrings, "_grouped", lambda rows, groups, keys, *how: calls.append(keys) or real(rows, groups, keys, *how))
+    substrings.remove_repeats(frame(spark, [(i, "ab" * 300, *[None] * 7) for i in range(3)]))
+    assert ["h"] in calls  # the anchors of one gram too
