@@ -1,6 +1,7 @@
 """SimHash, line runs and repeated strings against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -235,3 +236,60 @@ def test_rows_of_large_groups_are_joined_once(spark, monkeypatch, hot):
     monkeypatch.setattr(substrings, "_grouped", lambda rows, groups, keys, *how: calls.append(keys) or real(rows, groups, keys, *how))
     substrings.remove_repeats(frame(spark, [(i, "ab" * 300, *[None] * 7) for i in range(3)]))
     assert ["h"] in calls  # the anchors of one gram too
+
+
+def slow_cuts(rows, length=substrings.LENGTH):
+    """(spans, remaining bytes) of every row."""
+    texts = [(r[1] or "").encode() for r in rows]
+    seen = Counter()
+    for t in texts:
+        seen.update(t[i : i + length] for i in range(len(t) - length + 1))
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = b"x" * length
+        spans = [m.span() for m in re.finditer(rb"x+", gone)]
+        yield tuple(spans), bytes(b for b, g in zip(t, gone) if not g)
+
+
+def passage_rows():
+    """Passages of over 50 words in several documents, cut inside characters, beside copies and clean documents."""
+    rng = np.random.default_rng(8)
+    letters = lambda n: "".join(chr(97 + int(x)) for x in rng.integers(0, 26, n))
+    words = lambda n: " ".join(letters(8) for _ in range(n))
+    passage, wide = words(60), "".join(chr(0x4E00 + int(x)) for x in rng.integers(0, 5000, 300))
+    rows = [(i, f"{words(20)} {passage} {words(20 + i)}") for i in range(6)]
+    # The characters before the passage differ in their first byte only: the cut begins inside them.
+    rows += [(10, "a\u4e01" + wide + "z"), (11, "b\u5e01" + wide + "y")]
+    rows += [(20 + i, words(70)) for i in range(6)] + [(30, words(70) + "\u6f22" * 5)]
+    rows += [(40 + i, "x" + passage[:380]) for i in range(3)]  # copies below the length
+    rows += [(50 + i % 2, f"{passage} {wide}") for i in range(4)] + [(60, None), (61, ""), (None, passage), (None, None)]
+    return [(*r, *[None] * 7) for r in rows], passage
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_texts_and_spans_left_by_the_cut(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
+    for rows in (passage_rows()[0], [r for r in awkward_rows() if r[0] != 905]):
+        out = substrings.cut_repeats(frame(spark, rows)).collect()
+        found = Counter((r.doc_id, r.n_bytes, tuple(tuple(s) for s in r.spans), bytes(r.kept)) for r in out)
+        assert found == Counter((r[0], len((r[1] or "").encode()), *x) for r, x in zip(rows, slow_cuts(rows)))
+
+
+def test_planted_passages_are_gone_from_the_query(spark, tmp_path):
+    """The remaining text itself shows which passages went and which documents were left alone."""
+    rows, passage = passage_rows()
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = substrings.op9_substrings(spark, str(tmp_path))
+    assert out.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    out = out.collect()
+    kept = [x[1] for x in slow_cuts(rows)]
+    # Broken characters are replaced in the text only; the digest is of the bytes.
+    assert any("\ufffd" in r.text for r in out)
+    assert Counter((r.doc_id, r.text, r.kept_sha256) for r in out) == Counter(
+        (r[0], k.decode(errors="replace"), hashlib.sha256(k).hexdigest()) for r, k in zip(rows, kept)
+    )
+    assert not any(passage in r.text for r in out)
+    clean = {r[0]: r[1] for r in rows if r[0] is not None and 20 <= r[0] < 50}
+    assert {r.doc_id: r.text for r in out if r.doc_id in clean} == clean
