@@ -283,6 +283,50 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert topk.exact_top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def _brute_top_k(vectors, is_query, k=5):
+    expected = []
+    for query, q in vectors:
+        if is_query(query):
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), vec) for vec, v in vectors if vec != query)
+            expected += [(query, i + 1, vec, -score) for i, (score, vec) in enumerate(scores[:k])]
+    return sorted(expected)
+
+
+def test_top_k_of_many_groups_and_slices_equals_brute_force(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("QUERIES_AT_ONCE", 3), ("GROUP_BYTES", 1 << 10), ("partitions", lambda df: 300)):
+        monkeypatch.setattr(topk, name, value)
+    sizes, grid = [], topk._grid
+    monkeypatch.setattr(topk, "_grid", lambda *a: sizes.append(grid(*a)) or sizes[-1])
+    whole = np.random.default_rng(11).integers(-200, 200, (400, 6))
+    whole[100:140] = whole[7]  # ties across blocks
+    df = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in enumerate(whole.tolist())], "vec_id long, embedding array<double>")
+    out = topk.exact_top_k(df, F.col("vec_id") % 10 == 0).collect()
+    assert min(sizes[0]) > 1
+    assert sorted(map(tuple, out)) == _brute_top_k(list(enumerate(whole.tolist())), lambda i: i % 10 == 0)
+
+
+def test_top_k_sends_no_queries_through_the_driver(spark):
+    """The only broadcast is one row for each split, however small the query chunks are estimated."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df = spark.createDataFrame([(i, [i / 256, 1.0]) for i in range(200)], "vec_id long, embedding array<double>")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+        plan = topk.exact_top_k(df, F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastExchange") == 1
+
+
+def test_top_k_grid_bounds_groups_and_copies():
+    gb = 10**9
+    for size, asked, tasks in ((gb // 10, gb // 500, 25), (2 * gb, gb // 25, 200), (10 * gb, gb // 5, 3000), (gb, gb, 200)):
+        groups, slices = topk._grid(size, asked, size // 500_000, asked // 30_000, tasks)
+        assert size / groups <= topk.GROUP_BYTES
+        assert groups * slices >= min(tasks, 64)
+        assert size * slices + asked * groups <= 4 * gb + 8 * size + asked * size / topk.GROUP_BYTES
+    assert topk._grid(0, 0, 0, 0, 8) == (1, 1)
+
+
 URLS = ["http://www.A.com/x/?b=2&a=1&utm_source=z#top", "https://a.com:443/x?a=1&b=2", "http://b.org/", None, "no url"]
 
 
